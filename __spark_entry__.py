@@ -292,7 +292,7 @@ def kpi_table_range_replace(spark, sf_dir):
 
 def kpi_lookup(spark, sf_dir):
     kpi = ops.daily_kpi(_clean(spark, sf_dir), ops.MOTOR_VIBRATION, START, END)
-    return _plain(ops.kpi_lookup(kpi, "2024-01-10", "7"))
+    return _plain(ops.kpi_lookup(kpi, "2024-01-07", "7"))
 
 
 def max_clean_date(spark, sf_dir):
@@ -578,7 +578,7 @@ def oracle_sql() -> dict[str, str]:
         "kpi_table_range_replace": replaced,
         "kpi_lookup": f"""
           SELECT * FROM ({_kpi_sql("clean", "motor", device_keys, motor)})
-          WHERE dt = '2024-01-10' AND device_id = '7'""",
+          WHERE dt = '2024-01-07' AND device_id = '7'""",
         "max_clean_date": f"SELECT max(dt) AS max_dt FROM clean WHERE dt BETWEEN '{START}' AND '{END}'",
         "avg_temp_by_type": """
           SELECT device_type, CAST(sum(temperature) AS DOUBLE) / NULLIF(count(temperature), 0) AS avg_temperature_c

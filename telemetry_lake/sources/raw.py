@@ -54,8 +54,8 @@ def read_raw(spark: SparkSession, path: str, groups: Iterable[DateGroup] | None
 
 
 def _folder_pattern(path: str, group: DateGroup) -> str:
-    hours = group.get("hours")
-    return f"{path}/dt={group['dt']}/hour=" + ("{" + ",".join(hours) + "}" if hours else "*")
+    day, hours = f"{path}/dt={group['dt']}", group.get("hours")
+    return f"{day}/hour={{{','.join(hours)}}}" if hours else day
 
 
 def normalize(df: DataFrame, numeric_cols: Iterable[str] = NUMERIC_COLUMNS) -> DataFrame:
