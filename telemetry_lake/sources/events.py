@@ -2,60 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from telemetry_lake.functions.rules import RangeRule
-from telemetry_lake.functions.times import date_text, hour_text
 
-# Event type -> (device type, column of the value, column of the count in props).
-EVENT_DEVICES = {
-    "click": ("hvac_unit", "temperature_c", "humidity_pct"),
-    "purchase": ("motor", "vibration_mm_s", "rpm"),
-    "view": ("cold_storage_unit", "temperature_c", "door_open_count"),
-    "signup": ("smart_meter", "energy_kwh", "voltage"),
-    "error": ("unmapped", "temperature_c", "humidity_pct"),
-}
-
-EVENT_RULES = tuple(
-    RangeRule(device, value_column, 0.5, 200.0)
-    for device, value_column, _ in EVENT_DEVICES.values()
-    if device != "unmapped"
+EVENT_RULES = (
+    RangeRule("hvac_unit", "temperature_c", 0.5, 200.0),
+    RangeRule("motor", "vibration_mm_s", 0.5, 200.0),
+    RangeRule("cold_storage_unit", "temperature_c", 0.5, 200.0),
+    RangeRule("smart_meter", "energy_kwh", 0.5, 200.0),
 )
 
 
-def _by_type(source: Column, position: int, target: str) -> Column:
-    """`source` for the event types whose device reports it in `target`, else null."""
-    types = [event for event, mapping in EVENT_DEVICES.items() if mapping[position] == target]
-    return F.when(F.col("event_type").isin(types), source)
-
-
 def readings_from_events(events: DataFrame) -> DataFrame:
     """Hourly readings: the user is the device, several events of an hour are duplicates.
 
-    Missing values: battery for k = 99, the measured value for k = 98, facility for k = 97.
+    Event types stand for device types; `error` for one without rules. Missing values:
+    battery for k = 99, the measured value for k = 98, facility for k = 97.
     """
-    k = F.get_json_object("props", "$.k").cast("int")
-    value = F.when(k != 98, F.col("value").cast("decimal(18,2)"))
-    hour = F.date_trunc("hour", "ts")
-    device = F.create_map(*(F.lit(v) for event, (name, *_) in EVENT_DEVICES.items() for v in (event, name)))
-    measured = {
-        target: _by_type(source, position, target)
-        for source, position in ((value, 1), (k.cast("double"), 2))
-        for target in dict.fromkeys(mapping[position] for mapping in EVENT_DEVICES.values())
-    }
-    return events.select(
+    parsed = events.selectExpr(
+        "event_id",
+        "cast(user_id AS string) AS device_id",
+        "event_type",
+        "ts",
+        "date_trunc('hour', ts) AS event_ts",
+        "cast(value AS decimal(18,2)) AS value",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+    )
+    return parsed.selectExpr(
         "event_id",
-        F.col("user_id").cast("string").alias("device_id"),
-        device[F.col("event_type")].alias("device_type"),
-        F.when(k != 97, F.concat(F.lit("FAC-0"), (k % 3 + 1).cast("string"))).alias("facility_id"),
-        F.concat(F.lit("zone-"), (k % 4).cast("string")).alias("zone"),
-        F.lit("OK").alias("status_code"),
-        F.lit("1.0.0").alias("firmware_version"),
-        F.date_format(hour, "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("timestamp"),
-        hour.alias("event_ts"),
-        F.when(k != 99, k.cast("double")).alias("battery_pct"),
-        *(column.alias(name) for name, column in measured.items()),
-        date_text(F.col("ts")).alias("dt"),
-        hour_text(F.col("ts")).alias("hour"),
+        "device_id",
+        "CASE event_type WHEN 'click' THEN 'hvac_unit' WHEN 'purchase' THEN 'motor' WHEN 'view' THEN 'cold_storage_unit' "
+        "WHEN 'signup' THEN 'smart_meter' WHEN 'error' THEN 'unmapped' END AS device_type",
+        "CASE WHEN k <> 97 THEN concat('FAC-0', cast(k % 3 + 1 AS string)) END AS facility_id",
+        "concat('zone-', cast(k % 4 AS string)) AS zone",
+        "'OK' AS status_code",
+        "'1.0.0' AS firmware_version",
+        "date_format(event_ts, \"yyyy-MM-dd'T'HH:mm:ss'+00:00'\") AS timestamp",
+        "event_ts",
+        "CASE WHEN k <> 99 THEN cast(k AS double) END AS battery_pct",
+        "CASE WHEN k <> 98 AND event_type IN ('click', 'view', 'error') THEN value END AS temperature_c",
+        "CASE WHEN event_type IN ('click', 'error') THEN cast(k AS double) END AS humidity_pct",
+        "CASE WHEN k <> 98 AND event_type = 'purchase' THEN value END AS vibration_mm_s",
+        "CASE WHEN event_type = 'purchase' THEN cast(k AS double) END AS rpm",
+        "CASE WHEN event_type = 'view' THEN cast(k AS double) END AS door_open_count",
+        "CASE WHEN k <> 98 AND event_type = 'signup' THEN value END AS energy_kwh",
+        "CASE WHEN event_type = 'signup' THEN cast(k AS double) END AS voltage",
+        "date_format(ts, 'yyyy-MM-dd') AS dt",
+        "date_format(ts, 'HH') AS hour",
     )
