@@ -87,12 +87,17 @@ def register_partitions(spark: SparkSession, lake: Lake, table: str, manifest: D
 
 
 def drop_partitions(spark: SparkSession, lake: Lake, table: str, partitions: Iterable[Mapping]) -> None:
-    """Remove partitions from the catalog and their folders."""
-    partitions = list(partitions)
-    if not partitions:
+    """Remove partitions from the catalog and their folders; those not listed are passed over."""
+    wanted = {"/".join(f"{name}={value}" for name, value in spec.items()): spec for spec in partitions}
+    listed = [folder for folder in listed_partitions(spark, lake, table) if folder in wanted] if wanted else []
+    if not listed:
         return
-    spark.sql(f"ALTER TABLE {lake.table(table)} DROP IF EXISTS {_specs(partitions, ', ')}")
-    for spec in partitions:
-        folder = "/".join(f"{name}={value}" for name, value in spec.items())
+    spark.sql(f"ALTER TABLE {lake.table(table)} DROP IF EXISTS {_specs((wanted[f] for f in listed), ', ')}")
+    for folder in listed:
         storage.delete(spark, f"{lake.path(table)}/{folder}")
     spark.catalog.refreshTable(lake.table(table))
+
+
+def listed_partitions(spark: SparkSession, lake: Lake, table: str) -> list[str]:
+    """The table's partitions in the catalog, as `name=value/...`."""
+    return [row[0] for row in spark.sql(f"SHOW PARTITIONS {lake.table(table)}").collect()]

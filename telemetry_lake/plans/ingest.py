@@ -17,6 +17,7 @@ from telemetry_lake.operators.audit import audit_records
 from telemetry_lake.operators.marks import current_marks, newer_marks
 from telemetry_lake.operators.summary import partition_manifest, run_max_key, run_summary
 from telemetry_lake.schemas import GROUPS, MARKS
+from telemetry_lake.session import size_shuffles
 from telemetry_lake.sinks import append_audit, append_marks, write_clean, write_quarantine
 from telemetry_lake.sources.raw import DateGroup, normalize, read_raw, with_event_ts
 from telemetry_lake.storage import Staging
@@ -46,7 +47,9 @@ def ingest(
     read by this run that now has no good (or no bad) rows loses its old partition.
     """
     started = _utc_now()
-    readings = with_event_ts(normalize(read_raw(spark, lake.path(RAW_READINGS), groups)))
+    raw = read_raw(spark, lake.path(RAW_READINGS), groups)
+    size_shuffles(raw)
+    readings = with_event_ts(normalize(raw))
     with Staging(spark) as staging:
         # First pass, key columns only. Its stored result has a known size, which decides
         # whether the rows of the second pass have to be shuffled at all.

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from telemetry_lake.functions.times import in_dates
 from telemetry_lake.lake import QUARANTINED, READINGS, Lake
 from telemetry_lake.operators.kpi import DEVICE_HEALTH_TABLE, DEVICE_KPIS, daily_kpi, device_health, max_clean_date
 from telemetry_lake.plans.ingest import move_mark
+from telemetry_lake.session import size_shuffles
 from telemetry_lake.sinks import range_replace
 
 REFRESH_ID = "kpi_refresh"
@@ -18,6 +20,7 @@ def refresh(spark: SparkSession, lake: Lake, start: str, end: str) -> str | None
     The mark moves only after all five tables, and only to a date that has rows.
     """
     good, bad = spark.table(lake.table(READINGS)), spark.table(lake.table(QUARANTINED))
+    size_shuffles(good.where(in_dates(start, end)))
     range_replace(spark, lake, DEVICE_HEALTH_TABLE, device_health(good, bad, start, end), start, end)
     for spec in DEVICE_KPIS:
         range_replace(spark, lake, spec.table, daily_kpi(good, spec, start, end), start, end)

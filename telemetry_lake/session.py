@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import math
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job needs, whoever created the session.
 JOB_CONF = {
@@ -15,8 +17,15 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A shuffled join whose smaller side turns out to have partitions up to this size
+    # looks rows up in a hash map instead of sorting the wide side.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
+# Input per shuffle partition to start with, and the most partitions worth scheduling.
+PARTITION_BYTES = 128 << 20
+MAX_PARTITIONS = 100_000
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the job settings to an existing session and return it."""
@@ -34,3 +43,17 @@ def build_session(app_name: str = "telemetry_lake", **conf: str) -> SparkSession
     for key, value in {**JOB_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def size_shuffles(scan: DataFrame, bytes_per_partition: int = PARTITION_BYTES) -> int:
+    """Let shuffles of the scanned rows start with enough partitions to fit in memory.
+
+    The number follows the size of the files behind `scan` and is never below
+    spark.sql.shuffle.partitions; AQE merges the partitions that turn out small.
+    """
+    spark = scan.sparkSession
+    size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(floor, min(MAX_PARTITIONS, math.ceil(size / bytes_per_partition)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+    return partitions

@@ -36,17 +36,18 @@ def write_quarantine(df: DataFrame, lake: Lake, scattered: bool = False) -> None
     _replace_partitions(as_text.select(*QUARANTINE.names), lake.table(QUARANTINED), scattered)
 
 
-def land_raw(df: DataFrame, path: str, landed_at: datetime, time_col: str = "timestamp") -> None:
+def land_raw(
+    df: DataFrame, path: str, landed_at: datetime, time_col: str = "timestamp", scattered: bool = False
+) -> None:
     """Write incoming readings as JSON lines below the dt/hour of their own time (UTC).
 
     A reading whose time cannot be read is filed under the hour it landed in, so that
-    the gate gets to see it. No readings write nothing.
+    the gate gets to see it. No readings write nothing. `scattered` is for an import of
+    many hours mixed in every task.
     """
     ts = F.coalesce(event_time(F.col(time_col)), F.lit(landed_at.strftime("%Y-%m-%d %H:00:00")).cast("timestamp"))
-    (
-        df.withColumns({"dt": date_text(ts), "hour": hour_text(ts)})
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dt", "hour")
-        .json(path)
-    )
+    landed = df.withColumns({"dt": date_text(ts), "hour": hour_text(ts)})
+    if scattered:
+        landed = landed.hint("rebalance", "dt", "hour")
+    writer = landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("dt", "hour").json(path)

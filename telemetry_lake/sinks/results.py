@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.functions.times import in_dates
-from telemetry_lake.lake import MARK_LOG, PIPELINE_RUNS, Lake, drop_partitions
+from telemetry_lake.lake import MARK_LOG, PIPELINE_RUNS, Lake, drop_partitions, listed_partitions
 from telemetry_lake.schemas import AUDIT, MARKS
 
 
@@ -30,7 +30,7 @@ def range_replace(spark: SparkSession, lake: Lake, table: str, new: DataFrame, s
         new.hint("rebalance", "dt").write.insertInto(lake.table(table), overwrite=True)
     finally:
         new.unpersist()
-    listed = [row[0].removeprefix("dt=") for row in spark.sql(f"SHOW PARTITIONS {lake.table(table)}").collect()]
+    listed = [folder.removeprefix("dt=") for folder in listed_partitions(spark, lake, table)]
     stale = [{"dt": dt} for dt in listed if start <= dt <= end and dt not in present]
     drop_partitions(spark, lake, table, stale)
 

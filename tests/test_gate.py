@@ -1,5 +1,7 @@
 """Gate flags on hand-made rows, and the duplicate count against a window."""
 
+import random
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -8,8 +10,9 @@ from pyspark.sql import functions as F
 
 from telemetry_lake import operators as ops
 from telemetry_lake import sources
+from telemetry_lake.functions import SENSOR_RULES
 from telemetry_lake.operators import gate
-from telemetry_lake.schemas import CLEAN, QUARANTINE, RAW
+from telemetry_lake.schemas import CLEAN, NUMERIC_COLUMNS, QUARANTINE, RAW
 
 T0 = "2026-01-01T00:00:00+00:00"
 
@@ -112,6 +115,41 @@ def test_one_hot_key_is_spread_over_the_reducers(spark):
     assert sum(sizes) == 64_000 and max(sizes) < 2 * 64_000 / 8
 
 
+def test_random_rows_against_plain_python(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(3000):
+        kind = rng.choice(["hvac_unit", "motor", "cold_storage_unit", "smart_meter", "toaster", None])
+        row = reading(rng.choice([None, *"abcdefgh"]), kind, f"2026-01-01T{rng.randrange(30):02d}:{rng.randrange(12):02d}:00+00:00")
+        for column in NUMERIC_COLUMNS:
+            row[column] = rng.choice([None, "999999", "x", str(rng.randrange(-30, 250)), str(round(rng.uniform(-30, 60), 2))])
+        rows.append(row | {"zone": str(i)})
+
+    def number(text):
+        try:
+            return float(text)
+        except (TypeError, ValueError):
+            return None
+
+    def hour(row):
+        return row["timestamp"] if int(row["timestamp"][11:13]) < 24 else None
+
+    copies = Counter((row["device_id"], hour(row)) for row in rows)
+    expected = {}
+    for row in rows:
+        null = row["device_id"] is None or row["device_type"] is None or hour(row) is None or number(row["battery_pct"]) is None
+        outside = any(
+            rule.device_type == row["device_type"]
+            and number(row[rule.column]) is not None
+            and not rule.low <= number(row[rule.column]) <= rule.high
+            for rule in SENSOR_RULES
+        )
+        expected[row["zone"]] = (copies[row["device_id"], hour(row)] > 1, null, outside)
+    flagged = ops.dq_gate(prepared(spark, rows))
+    assert {r.zone: (r._dup, r._null, r._range) for r in flagged.collect()} == expected
+    assert ops.clean(flagged).count() + ops.quarantine(flagged).count() == len(rows)
+
+
 def test_summary_operators(spark):
     rows = [reading(), reading("d2", hour="05"), reading("d3", hour="05", battery=None), reading("d4", dt="2026-01-02", battery=None)]
     summary = ops.run_summary(ops.dq_gate(prepared(spark, rows)))

@@ -13,7 +13,8 @@ from telemetry_lake import Lake, configure, create_tables, sinks, sources
 from telemetry_lake import operators as ops
 from telemetry_lake.lake import MARK_LOG, PIPELINE_RUNS, QUARANTINED, RAW_READINGS, READINGS, drop_partitions, register_partitions
 from telemetry_lake.plans import due_dates, due_groups, ingest, refresh, run
-from telemetry_lake.schemas import KPI_COLUMNS
+from telemetry_lake.schemas import CLEAN, KPI_COLUMNS
+from telemetry_lake.session import size_shuffles
 
 
 @pytest.fixture
@@ -244,6 +245,38 @@ def test_device_type_longer_than_its_column_is_refused(spark, lake):
         sinks.range_replace(spark, lake, "daily_device_health_summary", row, "2026-01-01", "2026-01-01")
 
 
+def test_a_hot_hour_is_split_and_small_hours_are_not(spark, lake):
+    """Rows of every hour in 16 tasks: few files for an hour, several for the one with a third of all rows."""
+    n = F.col("id")
+    rows = spark.range(0, 60_000, 1, 16).select(
+        F.sha2(n.cast("string"), 256).alias("device_id"),
+        F.lit("2026-01-01").alias("dt"),
+        F.when(n % 3 == 0, "05").otherwise(F.lpad((n % 24).cast("string"), 2, "0")).alias("hour"),
+    )
+    rows = rows.select(*(c if c in rows.columns else F.lit(None).cast(CLEAN[c].dataType).alias(c) for c in CLEAN.names))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
+    try:
+        sinks.write_clean(rows, lake, scattered=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    day = Path(lake.path(READINGS)) / "dt=2026-01-01"
+    files = {folder.name: len(list(folder.glob("*.parquet"))) for folder in day.iterdir()}
+    assert files.pop("hour=05") > 1
+    # Hours that share the hot hour's shuffle partition are cut along with it.
+    assert sorted(files.values())[len(files) // 2] <= 2 and max(files.values()) < 16
+    assert spark.table(lake.table(READINGS)).count() == 60_000
+
+
+def test_shuffles_follow_the_input_size(spark, lake):
+    spark.range(100_000).selectExpr("id", "uuid() AS u").write.parquet(lake.path("big"))
+    scan = spark.read.parquet(lake.path("big"))
+    try:
+        assert size_shuffles(scan) == 8
+        assert size_shuffles(scan, 1 << 16) > 32
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
 # --- golden numbers of the sample day, when its raw files are at hand ---
 
 SAMPLE_DAY = os.environ.get("SAMPLE_DAY_DIR")
