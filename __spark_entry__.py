@@ -73,8 +73,7 @@ def _new_lake(spark: SparkSession) -> Lake:
 def _device_marks(readings: DataFrame) -> DataFrame:
     """A mark per device: the last hour it reported in."""
     found = readings.select(F.col("device_id").alias("pipeline_id"), mark_key().alias("last_loaded_key"))
-    found = found.withColumns({c: F.lit(None).cast("string") for c in ("status", "last_aggregated_dt")})
-    return ops.advance_marks(found.limit(0), found)
+    return ops.current_marks(found)
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -190,8 +189,8 @@ def dq_flags(spark, sf_dir):
     ).agg(F.count("*").alias("rows"))
 
 
-def _with_id(df: DataFrame) -> DataFrame:
-    return df.select("event_id", "device_id", "device_type", "dt", "hour")
+def _with_id(df: DataFrame, *more: str) -> DataFrame:
+    return df.select("event_id", "device_id", "device_type", "dt", "hour", *more)
 
 
 def dq_clean(spark, sf_dir):
@@ -199,9 +198,7 @@ def dq_clean(spark, sf_dir):
 
 
 def dq_quarantine(spark, sf_dir):
-    return _with_id(_quarantine(spark, sf_dir)).join(
-        _readings(spark, sf_dir).select("event_id", "timestamp"), "event_id"
-    )
+    return _with_id(_quarantine(spark, sf_dir), "timestamp")
 
 
 # --- run summary and audit ---
@@ -315,7 +312,8 @@ def missing_dates(spark, sf_dir):
     """Every device feeds a KPI of its own that stopped at the device's first date."""
     readings = _readings(spark, sf_dir)
     own_id = F.concat(F.lit("kpi-"), F.col("device_id")).alias("pipeline_id")
-    own = readings.groupBy("device_id").agg(F.min("dt").alias("last_aggregated_dt")).select(own_id, "last_aggregated_dt")
+    first = F.min(F.col("dt").cast("date")).cast("string").alias("last_aggregated_dt")
+    own = readings.groupBy("device_id").agg(first).select(own_id, "last_aggregated_dt")
     marks = _device_marks(readings).drop("last_aggregated_dt").unionByName(own, allowMissingColumns=True)
     links = readings.select(own_id, F.col("device_id").alias("upstream_id")).distinct()
     return ops.missing_dates(marks, links, NOW.date())

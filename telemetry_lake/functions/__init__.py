@@ -15,6 +15,8 @@ from telemetry_lake.functions.times import (
     event_time_text,
     hour_text,
     in_dates,
+    key_number,
+    key_text,
     mark_key,
     two_digits,
 )
@@ -30,6 +32,8 @@ __all__ = [
     "event_time_text",
     "hour_text",
     "in_dates",
+    "key_number",
+    "key_text",
     "mark_key",
     "null_flag",
     "range_flag",

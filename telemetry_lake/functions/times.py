@@ -33,6 +33,18 @@ def mark_key(dt: str = "dt", hour: str = "hour") -> Column:
     return F.concat_ws("T", F.col(dt), F.col(hour))
 
 
+def key_number(key: Column) -> Column:
+    """The mark key's digits as a number, in the same order; null for another text."""
+    return F.translate(key, "-T", "").try_cast("bigint")
+
+
+def key_text(number: Column) -> Column:
+    """The mark key of `key_number`."""
+    digits = number.cast("string")
+    date_parts = F.concat_ws("-", *(F.substr(digits, F.lit(a), F.lit(n)) for a, n in ((1, 4), (5, 2), (7, 2))))
+    return F.when(number.isNotNull(), F.concat_ws("T", date_parts, F.substr(digits, F.lit(9), F.lit(2))))
+
+
 def in_dates(start: str, end: str, dt: str = "dt") -> Column:
     """Inclusive date range. Compares text with text, so the scan can prune on dt."""
     return F.col(dt).between(start, end)

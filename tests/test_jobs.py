@@ -156,6 +156,15 @@ def test_nothing_found_leaves_no_trace(spark, lake):
         assert spark.table(lake.table(table)).isEmpty()
 
 
+def test_overlapping_groups_read_a_file_once(spark, lake):
+    two_hours(lake)
+    raw = sources.read_raw(spark, lake.path(RAW_READINGS), [{"dt": "2026-01-01", "hours": ["00"]}, *GROUP, *GROUP])
+    assert raw.count() == 8
+    assert sources.read_raw(spark, lake.path(RAW_READINGS)).count() == 8
+    assert sources.read_raw(spark, lake.path(RAW_READINGS), [{"dt": "2026-01-01", "hours": ["01", "02"]}]).count() == 3
+    assert sources.read_raw(spark, lake.path(RAW_READINGS), []).isEmpty()
+
+
 def test_scheduled_runs_follow_the_marks(spark, lake):
     for day, hour in (("2026-01-01", "22"), ("2026-01-01", "23"), ("2026-01-02", "00")):
         put_raw(lake, [reading("m1", hour, day, vibration_mm_s=1.0)], day, hour)
