@@ -8,7 +8,8 @@ combine, and only the repeated ones are joined back:
 * few repeated keys: they are broadcast, the rows are not shuffled at all;
 * many: the rows are shuffled to them, but rows of the most frequent keys are flagged
   by a broadcast of at most HOT_KEYS keys and spread over the reducers. A key left out
-  of that list has at most 1/HOT_KEYS of the rows, so no task gets more than that share.
+  of that list has fewer than HOT_COPIES rows or at most 1/HOT_KEYS of all, so no task
+  gets more than that share of one key.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ FLAGS = ("_dup", "_null", "_range", "_is_bad")
 # Size bounds of the two broadcasts, in keys (about 100 bytes each).
 BROADCAST_KEYS = 500_000
 HOT_KEYS = 1_000
+# A key with fewer rows than this burdens no task, so it need not compete for that list.
+HOT_COPIES = 1_000
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str] = REPORT_KEY) -> DataFrame:
@@ -58,7 +61,7 @@ def flag_duplicates(
         marked = _mark(df, F.broadcast(keys), key, "_dup")
         return marked.withColumn("_dup", F.coalesce("_dup", F.lit(False)))
 
-    hottest = keys.orderBy(F.desc("copies")).limit(HOT_KEYS)
+    hottest = keys.where(F.col("copies") >= HOT_COPIES).orderBy(F.desc("copies")).limit(HOT_KEYS)
     rows = _mark(df, F.broadcast(hottest), key, "_hot")
     # A hot row needs no partner any more. Its scan partition number takes the place of
     # the 0 that the keys carry, which spreads the copies and is the same on a task retry.

@@ -119,7 +119,8 @@ def coverage_gaps(readings: DataFrame, key: str, start: str, end: str) -> DataFr
     key's day is reduced to a 24-bit map before the shuffle, and a key holds one number
     per date, so neither the readings nor the full calendar are ever moved.
     """
-    seen_hours = readings.groupBy(key, "dt").agg(F.expr("bit_or(shiftleft(1, cast(hour AS int)))").alias("seen"))
+    known = readings.where(F.col(key).isNotNull() & F.col("dt").isNotNull())
+    seen_hours = known.groupBy(key, "dt").agg(F.expr("bit_or(shiftleft(1, cast(hour AS int)))").alias("seen"))
     by_date = F.map_from_entries(F.collect_list(F.struct("dt", "seen"))).alias("by_date")
     days = (
         seen_hours.groupBy(key)

@@ -17,6 +17,10 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Larger scan splits and shuffle partitions than the defaults: raw text shrinks to a
+    # tenth as Parquet, and a split or a rebalanced partition becomes one output file.
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     # A shuffled join whose smaller side turns out to have partitions up to this size
     # looks rows up in a hash map instead of sorting the wide side.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",

@@ -75,6 +75,7 @@ def test_split_columns(spark):
 def test_duplicates_equal_the_window(spark, mode, monkeypatch):
     """A third of all rows share one key, some keys are null, some repeat a few times."""
     monkeypatch.setattr(gate, "HOT_KEYS", 2)
+    monkeypatch.setattr(gate, "HOT_COPIES", 3)
     n = F.col("id")
     rows = spark.range(0, 6000, 1, 7).select(
         "id",

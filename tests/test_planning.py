@@ -125,6 +125,7 @@ def test_marks_only_move_forward(spark):
 def test_coverage_gaps(spark):
     rows = [("a", "2026-01-01", f"{h:02d}") for h in range(24) if h not in (3, 17)] * 2
     rows += [("a", "2026-01-02", f"{h:02d}") for h in range(24)] + [("b", "2026-01-02", "23")]
+    rows += [(None, "2026-01-01", "00"), ("a", None, "00"), ("a", "2025-12-31", "00")]
     gaps = ops.coverage_gaps(spark.createDataFrame(rows, ["device_id", "dt", "hour"]), "device_id", "2026-01-01", "2026-01-02")
     found = {tuple(r) for r in gaps.collect()}
     assert {g for g in found if g[0] == "a"} == {("a", "2026-01-01", "03"), ("a", "2026-01-01", "17")}
