@@ -53,12 +53,17 @@ def _flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.dq_gate(_readings(spark, sf_dir), EVENT_RULES)
 
 
+def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    flagged = _flagged(spark, sf_dir)
+    return ops.clean(flagged), ops.quarantine(flagged)
+
+
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.clean(_flagged(spark, sf_dir))
+    return _split(spark, sf_dir)[0]
 
 
 def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.quarantine(_flagged(spark, sf_dir))
+    return _split(spark, sf_dir)[1]
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -243,7 +248,7 @@ def audit_history(spark, sf_dir):
 
 
 def kpi_device_health(spark, sf_dir):
-    return _plain(ops.device_health(_clean(spark, sf_dir), _quarantine(spark, sf_dir), START, END))
+    return _plain(ops.device_health(*_split(spark, sf_dir), START, END))
 
 
 def _device_kpi(spec):
@@ -255,8 +260,9 @@ def _device_kpi(spec):
 
 def good_and_bad_per_group(spark, sf_dir):
     keys = ["dt", "device_type", "facility_id"]
-    good = _clean(spark, sf_dir).groupBy(*keys).agg(F.count("*").alias("good"))
-    bad = _quarantine(spark, sf_dir).groupBy(*keys).agg(F.count("*").alias("bad"))
+    good, bad = _split(spark, sf_dir)
+    good = good.groupBy(*keys).agg(F.count("*").alias("good"))
+    bad = bad.groupBy(*keys).agg(F.count("*").alias("bad"))
     return ops.full_join(good, bad, keys).fillna(0, ["good", "bad"])
 
 

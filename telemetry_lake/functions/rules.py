@@ -38,7 +38,7 @@ REPORT_KEY = ("device_id", "event_ts")
 
 def any_of(conditions: Iterable[Column]) -> Column:
     """OR of the conditions where an unknown counts as false, so a flag is never null."""
-    return reduce(lambda left, right: left | right, (F.coalesce(c, F.lit(False)) for c in conditions), F.lit(False))
+    return F.coalesce(reduce(lambda left, right: left | right, conditions, F.lit(False)), F.lit(False))
 
 
 def null_flag(columns: Iterable[str]) -> Column:
@@ -51,6 +51,11 @@ def range_flag(rules: Iterable[RangeRule], type_col: str = "device_type") -> Col
 
     Bounds are inclusive. A null value and a device type without rules pass.
     """
+    by_type: dict[str, list[RangeRule]] = {}
+    for rule in rules:
+        by_type.setdefault(rule.device_type, []).append(rule)
     return any_of(
-        (F.col(type_col) == rule.device_type) & ~F.col(rule.column).between(rule.low, rule.high) for rule in rules
+        (F.col(type_col) == device_type)
+        & any_of(~F.col(rule.column).between(rule.low, rule.high) for rule in of_type)
+        for device_type, of_type in by_type.items()
     )

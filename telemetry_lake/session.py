@@ -26,6 +26,12 @@ JOB_CONF = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
+# Settings that must be there when the session is created.
+CREATION_CONF = {
+    # Do not look up the Python call site of every column expression: rules make many.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 # Input per shuffle partition to start with, and the most partitions worth scheduling.
 PARTITION_BYTES = 128 << 20
 MAX_PARTITIONS = 100_000
@@ -44,7 +50,7 @@ def build_session(app_name: str = "telemetry_lake", **conf: str) -> SparkSession
     Master, memory and executor counts belong to spark-submit and are not set here.
     """
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**JOB_CONF, **conf}.items():
+    for key, value in {**JOB_CONF, **CREATION_CONF, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
