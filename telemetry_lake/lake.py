@@ -55,6 +55,8 @@ def create_tables(spark: SparkSession, lake: Lake, tables: Iterable[str] = tuple
             continue
         columns, file_format, partitions = TABLES[table]
         has_data = storage.exists(spark, lake.path(table))
+        if not has_data:
+            storage.make_folder(spark, lake.path(table))
         spark.sql(
             f"CREATE TABLE {lake.table(table)} ({columns}) USING {file_format} "
             + (f"PARTITIONED BY ({', '.join(partitions)}) " if partitions else "")

@@ -62,6 +62,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _locate(spark, path)
+    fs.mkdirs(target)
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Existing paths for a glob pattern; an absent parent gives an empty list."""
     fs, target = _locate(spark, pattern)
