@@ -373,7 +373,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return kpi_device_health(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name -> callable(spark, sf_dir)."""
     listed = (
         scan_date_groups,
@@ -476,7 +476,7 @@ def _kpi_sql(source: str, device_type: str, keys: str, measures: str) -> str:
     )
 
 
-def oracle_sql() -> dict[str, str]:
+def lake_sql() -> dict[str, str]:
     """Query name -> the same result in DuckDB SQL."""
     motor = f"{_mean2('reading')} AS avg_vibration_mm_s, CAST(max(reading) AS DOUBLE) AS max_vibration_mm_s"
     device_keys = "device_id, facility_id"
@@ -619,3 +619,27 @@ def oracle_sql() -> dict[str, str]:
                 EXCEPT SELECT device_id, event_ts FROM readings)""",
     }
     return {name: READINGS_CTE + sql for name, sql in body.items()}
+
+
+# --- everything registered ---
+
+
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators; none where that part is not installed."""
+    try:
+        import corpus_pipeline
+        from telemetry_lake.llm import queries as llm
+    except ModuleNotFoundError as error:
+        if error.name in ("corpus_pipeline", "telemetry_lake.llm"):
+            return {}, {}
+        raise
+    sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.ORACLES, **sql}
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {**lake_queries(), **_training_data()[0]}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {**lake_sql(), **_training_data()[1]}

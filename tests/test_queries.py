@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as registry
 
 SF_DIR = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+QUERIES, ORACLES = registry.lake_queries(), registry.lake_sql()
 
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables are not there")
 
