@@ -200,11 +200,12 @@ def near_duplicates(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id that links reach) and kept, for every row."""
     rows = stage(sketched(docs, size, id_col, text_col), "sketches")
-    roots = classes(rows, docs, size, percent, id_col, text_col)
-    named = rows.drop("bands").where("node IS NOT NULL").join(roots, "node", "left")
-    named = stage(named.select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root")), "named")
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = named.join(least, "root").select("doc_id", "n_shingles", "component_id")
+    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"))
+    linked = classes(rows, docs, size, percent, id_col, text_col).join(nodes, "node")
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
+    linked = stage(linked.join(least, "root").select("node", "component_id"), "linked")
+    named = nodes.join(linked, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
+    out = rows.where("node IS NOT NULL").join(stage(named, "named"), "node").select("doc_id", "n_shingles", "component_id")
     # Rows without words would all meet under one null key, so they stay out of the joins.
     alone = rows.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")

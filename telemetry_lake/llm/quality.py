@@ -113,7 +113,10 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     failures = bits[0]
     for bit in bits[1:]:
         failures = failures.bitwiseOR(bit)
-    return measure(docs, id_col, text_col).withColumn("failures", failures.cast("long"))
+    # As the output of a generator the ledger is evaluated once; a plain projection would be
+    # copied into every filter on it.
+    entry = F.struct(*MEASURES, failures.cast("long").alias("failures"))
+    return measure(docs, id_col, text_col).select("doc_id", F.inline(F.array(entry)))
 
 
 def apply_policy(book: DataFrame, policy: str = LATEST) -> DataFrame:

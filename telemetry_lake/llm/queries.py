@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import neardup, quality, toxicity
+from telemetry_lake.llm import decontaminate, neardup, packing, quality, toxicity
 from telemetry_lake.llm.common import fold
 
 
@@ -32,6 +33,21 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select("doc_id", *measures, base_failed.alias("base_failed"), "kept", "failures")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def pieces(docs: DataFrame) -> DataFrame:
+    """Packed pieces with the checksum of their ids."""
+    packed = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    columns = ["doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"]
+    return packed.select(*columns)
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces(_table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), size=4)
 
@@ -39,6 +55,8 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_packing": op5_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
 }
 
