@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telemetry_lake.llm import neardup, quality, queries, toxicity
+from telemetry_lake.llm import decontaminate, neardup, quality, queries, toxicity
 from telemetry_lake.llm.common import stage
 
 
@@ -25,13 +25,27 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return neardup.keep_one(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark item."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    return queries.pieces(docs)
+
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("toxicity", drop_toxic),
     ("near_dedup", near_dedup),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
 ]
 
+# Learning the lexicon, banded alignment and a tokenizer's ids are beyond SQL: the run is
+# tested against brute force.
 ORACLE_SQL = None
 
 
