@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm.common import map_arrow
-from telemetry_lake.llm.tokens import Encoder
+from telemetry_lake.llm.tokens import worker_encoder
 
 WINDOW = 4096
 END_ID = 2
@@ -170,7 +170,7 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(key, key_type), *longs[:2], ids, *longs[2:]], names)
 
     def work(batches):
-        encoder, packer = Encoder(tokenizer), Packer(window)
+        encoder, packer = worker_encoder(tokenizer), Packer(window)
         base = TaskContext.get().partitionId() << 40
         held, size, key_type = [], 0, None
         for batch in batches:

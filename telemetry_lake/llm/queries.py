@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import chat, decontaminate, html, neardup, packing, quality, tokencount, toxicity, urls
+from telemetry_lake.llm import chat, decontaminate, html, lm, neardup, packing, quality, tokencount, toxicity, urls
 from telemetry_lake.llm.common import fold
 
 
@@ -59,6 +59,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces(_table(spark, sf_dir, "documents"))
 
 
+# Ids of the tokenizer, and the one of its end token.
+LM_IDS, LM_END = 49_408, 49_407
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = fold("doc_id", 5) == 1
+    path = public_tokenizers.path("word_bpe_49k.json")
+    scored = lm.score(_table(spark, sf_dir, "documents"), ~held_out, path, LM_END, LM_IDS)
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), *columns)
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     texts = html.main_texts(pages, html.learn(pages))
@@ -97,6 +109,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_packing": op5_packing,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_html_extraction": op7_html_extraction,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_counts": op9_token_counts,

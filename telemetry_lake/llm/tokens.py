@@ -3,22 +3,94 @@
 from __future__ import annotations
 
 import os
-from itertools import chain
+import re
+import sys
+import types
 
 import numpy as np
 
 # Distinct pieces a worker remembers; then it starts anew.
-CACHE_PIECES = 1 << 19
+CACHE_PIECES = 1 << 20
+# Name of the module that holds a worker's encoders.
+STORE = "telemetry_lake_worker_encoders"
 # Pieces encoded by one call, and the control character that parts them there.
 CALL_PIECES = 1000
 MARK = "\x01"
+# How a vocabulary marks the last token of a run of letters, and the pieces that are one such run.
+WORD_END = "</w>"
+_RUN = re.compile(r"[a-zà-öø-ÿ]+")
+# Bytes of a piece that its hash covers; the rare longer pieces are encoded each time.
+HASHED = 256
+
+# Kinds of bytes. Pieces end at white space and wherever letters, digits and ASCII
+# punctuation meet; OTHER (apostrophes, controls, most of Unicode) is left where it is.
+SPACE, LETTER, MARKS, DIGIT, OTHER = range(5)
+
+
+def _kinds() -> np.ndarray:
+    table = np.full(256, OTHER, dtype=np.uint8)
+    table[list(b" \t\n\x0b\x0c\r")] = SPACE
+    table[list(b"abcdefghijklmnopqrstuvwxyz")] = LETTER
+    table[list(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")] = MARKS
+    table[list(b"0123456789")] = DIGIT
+    return table
+
+
+_KINDS = _kinds()
+_LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+_WEIGHTS = np.random.default_rng(7).integers(1, 1 << 63, HASHED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def pieces(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of lower-cased UTF-8 bytes."""
+    kind = _KINDS[text]
+    # Two-byte letters U+00C0 to U+023F, but for the signs U+00D7 and U+00F7, and U+0130,
+    # whose lower case ends in a combining mark.
+    lead = np.flatnonzero((text[:-1] >= 0xC3) & (text[:-1] <= 0xC8))
+    first, second = text[lead], text[lead + 1]
+    lead = lead[~((first == 0xC3) & ((second == 0x97) | (second == 0xB7)) | (first == 0xC4) & (second == 0xB0))]
+    kind[lead] = LETTER
+    kind[lead + 1] = LETTER
+    before = np.concatenate([[np.uint8(SPACE)], kind[:-1]])
+    meets = (kind != before) & (kind != OTHER) & (before != OTHER)
+    full = kind != SPACE
+    begin = full & (meets | (before == SPACE))
+    # A piece ends at the next start or white space, whichever comes first.
+    borders = np.flatnonzero(begin | ~full & (before != SPACE))
+    starts = np.flatnonzero(begin)
+    return starts, np.append(borders, len(text))[np.searchsorted(borders, starts, "right")]
+
+
+def piece_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pieces of at most HASHED bytes: weighted sums of bytes, mixed with the length."""
+    sizes = ends - starts
+    firsts = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(firsts, sizes)
+    values = text[place + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)
+    total = np.add.reduceat(values * _WEIGHTS[place], firsts) + sizes.astype(np.uint64)
+    total ^= total >> np.uint64(31)
+    return total * np.uint64(0x9E3779B97F4A7C15)
+
+
+def worker_encoder(path: str) -> Encoder:
+    """The encoder of this worker process, with what it has learnt in earlier tasks.
+
+    Functions are shipped by value, so their globals start anew in each task; a module
+    that only this process knows keeps the encoders.
+    """
+    store = sys.modules.setdefault(STORE, types.ModuleType(STORE))
+    if path not in store.__dict__:
+        store.__dict__[path] = Encoder(path)
+    return store.__dict__[path]
 
 
 class Encoder:
     """Ids of texts, equal to encoding each whole text with add_special_tokens=False.
 
-    For tokenizers that never join what a space or line end parts (as `word_bpe_49k`
-    does): the text is cut there, and only pieces not met before are encoded.
+    For tokenizers that ignore the case of A-Z and white space, and never join letters,
+    digits and ASCII punctuation with each other, as `word_bpe_49k`: the text is cut
+    there, and only pieces not met before are encoded. Texts with a special token's
+    string are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -26,48 +98,108 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         alone = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         apart = self.tokenizer.encode(f"a {MARK} a", add_special_tokens=False).ids
         inner = self.tokenizer.encode("a", add_special_tokens=False).ids
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.mark = alone[0] if len(alone) == 1 and apart == inner + alone + inner else None
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {"": 0}
+        self.known: dict[int, int] = {}
         self.ids = [np.zeros(0, dtype=np.uint32)]
-        self.sizes = [np.zeros(1, dtype=np.int64)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode new pieces, CALL_PIECES of them in one text, parted by MARK if that stands for itself."""
-        plain = [p for p in pieces if MARK not in p] if self.mark is not None else []
-        texts = [f" {MARK} ".join(plain[k : k + CALL_PIECES]) for k in range(0, len(plain), CALL_PIECES)]
-        for encoded in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = np.array(encoded.ids, dtype=np.uint32)
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
-            self.sizes.append(np.diff(ends, prepend=-1) - 1)
-            self.ids.append(ids[ids != self.mark])
-        rest = [p for p in pieces if MARK in p] if plain else pieces
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-        self.sizes.append(np.array([len(own) for own in found], dtype=np.int64))
-        self.ids.append(np.array([i for own in found for i in own], dtype=np.uint32))
-        self.known.update(zip(plain + rest, range(len(self.known), len(self.known) + len(pieces)), strict=True))
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        self.sizes = [np.zeros(0, dtype=np.int64)]
+
+    def encode_pieces(self, found: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """The pieces' order in the result, their ids in one array, and how many each has.
+
+        CALL_PIECES of them go into one text. Where one run of letters follows another,
+        the ids that end a word tell them apart; other pieces are parted by MARK, if that
+        stands for itself.
+        """
+        runs = [k for k, piece in enumerate(found) if _RUN.fullmatch(piece)]
+        others = sorted(set(range(len(found))).difference(runs))
+        ids, sizes = [np.zeros(0, dtype=np.uint32)], [np.zeros(0, dtype=np.int64)]
+        for numbers, parted in ((runs, self._runs), (others, self._marked)):
+            for k in range(0, len(numbers), CALL_PIECES):
+                own, many = parted([found[n] for n in numbers[k : k + CALL_PIECES]])
+                ids.append(own)
+                sizes.append(many)
+        return runs + others, np.concatenate(ids), np.concatenate(sizes)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+
+    def _runs(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._ids(" ".join(found))
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != len(found) or ends[-1] != len(ids) - 1:
+            return self._marked(found)
+        return ids, np.diff(ends, prepend=-1)
+
+    def _marked(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        joined = f" {MARK} ".join(found)
+        if self.mark is None or joined.count(MARK) != len(found) - 1:
+            lists = [self._ids(piece) for piece in found]
+            return np.concatenate(lists), np.array([len(own) for own in lists], dtype=np.int64)
+        ids = self._ids(joined)
+        ends = np.append(np.flatnonzero(ids == self.mark), len(ids))
+        return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
+
+    def _numbers(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number under which each piece's ids are remembered."""
+        hashes, first, inverse = np.unique(piece_hashes(text, starts, ends), return_index=True, return_inverse=True)
+        numbers = list(map(self.known.get, hashes.tolist()))
+        if None in numbers:
+            new = [k for k, number in enumerate(numbers) if number is None]
+            raw = text.tobytes()
+            cuts = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+            order, ids, sizes = self.encode_pieces([raw[a:b].decode() for a, b in cuts])
+            self.ids.append(ids)
+            self.sizes.append(sizes)
+            values = hashes.tolist()
+            for k in order:
+                numbers[new[k]] = self.known[values[new[k]]] = len(self.known)
+        return np.array(numbers, dtype=np.int64)[inverse]
+
+    def encode(self, texts: list[str | bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text's ids start."""
+        raw = [text.encode() if isinstance(text, str) else text or b"" for text in texts]
+        odd = {k for k, text in enumerate(raw) if any(special in text for special in self.special)}
+        cut = [b"" if k in odd else text for k, text in enumerate(raw)]
+        out, many = self._encode_cut(cut)
+        if odd:
+            parts = np.split(out, np.cumsum(many)[:-1])
+            for k in odd:
+                parts[k] = np.array(self.tokenizer.encode(raw[k].decode(), add_special_tokens=False).ids, dtype=np.uint32)
+            out, many = np.concatenate(parts), np.array([len(part) for part in parts])
+        return out, np.concatenate([[0], np.cumsum(many)]).astype(np.int64)
+
+    def _encode_cut(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > CACHE_PIECES:
             self._forget()
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        flat = list(chain.from_iterable(split))
-        numbers = list(map(self.known.get, flat))
-        if None in numbers:
-            self._learn(sorted({piece for piece, number in zip(flat, numbers, strict=True) if number is None}))
-            numbers = list(map(self.known.get, flat))
+        text = _LOWER[np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)]
+        starts, ends = pieces(text)
+        if not len(starts):
+            return np.zeros(0, dtype=np.uint32), np.zeros(len(raw), dtype=np.int64)
+        short = ends - starts <= HASHED
+        numbers = np.zeros(len(starts), dtype=np.int64)
+        if short.any():
+            numbers[short] = self._numbers(text, starts[short], ends[short])
         self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
         ids, sizes = self.ids[0], self.sizes[0]
-        first = np.cumsum(sizes) - sizes
-        at = np.array(numbers, dtype=np.int64)
-        many = sizes[at]
-        ends = np.cumsum(many)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[at] - ends + many, many)
-        pieces = np.cumsum([0, *map(len, split)])
-        return ids[places], np.concatenate([[0], ends])[pieces]
+        if not short.all():
+            held = text.tobytes()
+            cuts = zip(starts[~short], ends[~short], strict=True)
+            order, long_ids, long_sizes = self.encode_pieces([held[a:b].decode() for a, b in cuts])
+            numbers[np.flatnonzero(~short)[order]] = len(sizes) + np.arange(len(long_sizes))
+            ids, sizes = np.concatenate([ids, long_ids]), np.concatenate([sizes, long_sizes])
+        many = sizes[numbers]
+        stops = np.cumsum(many)
+        places = np.arange(stops[-1]) + np.repeat((np.cumsum(sizes) - sizes)[numbers] - stops + many, many)
+        begins = np.cumsum([0, *(len(own) + 1 for own in raw)])[:-1]
+        of = np.searchsorted(begins, starts, "right") - 1
+        return ids[places], np.bincount(of, weights=many, minlength=len(raw)).astype(np.int64)
