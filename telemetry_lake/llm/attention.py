@@ -22,24 +22,53 @@ NONE = -1
 Parameters = dict[str, np.ndarray]
 
 
-def start(counts: np.ndarray) -> Parameters:
-    """Parameters before training: small noise, and biases that give each unit its share of `counts`."""
+SHAPES = {
+    "embed": (UNITS + 1, WIDTH),
+    "place": (WINDOW, WIDTH),
+    "qkv": (WIDTH, 3 * WIDTH),
+    "out": (WIDTH, WIDTH),
+    "group": (WIDTH, GROUPS),
+    "group_bias": (GROUPS,),
+    "unit": (GROUPS, WIDTH, MEMBERS),
+    "unit_bias": (GROUPS, MEMBERS),
+}
+# Counts that each pair of units gets beforehand, shared out by the second one's frequency,
+# and the bound of a pair's log ratio.
+PRIOR, RATIO_BOUND = 20.0, 4.0
+
+
+def start(counts: np.ndarray, pairs: np.ndarray) -> Parameters:
+    """Parameters before training, from how often units, and pairs of neighbours, occur.
+
+    The biases give each unit its share. The embeddings and output weights are the best
+    low-rank fit (by singular values, weighted by frequency) of how much a unit before
+    changes the odds of a group, and of a unit in its group. The rest is small noise.
+    """
     noise = np.random.default_rng(1)
-    share = (counts.astype(np.float64) + 0.5).reshape(GROUPS, MEMBERS)
-
-    def small(*shape: int) -> np.ndarray:
-        return noise.normal(0, 0.1, shape).astype(np.float32)
-
-    return {
-        "embed": small(UNITS + 1, WIDTH),
-        "place": small(WINDOW, WIDTH),
-        "qkv": small(WIDTH, 3 * WIDTH),
-        "out": small(WIDTH, WIDTH),
-        "group": small(WIDTH, GROUPS),
-        "group_bias": np.log(share.sum(1) / share.sum()).astype(np.float32),
-        "unit": small(GROUPS, WIDTH, MEMBERS),
-        "unit_bias": np.log(share / share.sum(1, keepdims=True)).astype(np.float32),
-    }
+    p = {name: noise.normal(0, 0.1, shape).astype(np.float32) for name, shape in SHAPES.items()}
+    p["out"] *= np.float32(0.1)
+    p["place"] *= np.float32(0.1)
+    share = (counts.astype(np.float64) + 0.5) / (counts + 0.5).sum()
+    before = pairs.sum(axis=1, keepdims=True)
+    given = ((pairs + PRIOR * share) / (before + PRIOR)).reshape(UNITS + 1, GROUPS, MEMBERS)
+    share = share.reshape(GROUPS, MEMBERS)
+    group, group_given = share.sum(axis=1), given.sum(axis=2)
+    p["group_bias"] = np.log(group).astype(np.float32)
+    p["unit_bias"] = np.log(share / group[:, None]).astype(np.float32)
+    by_unit = np.log(given / group_given[:, :, None]) - np.log(share / group[:, None])
+    by_group = np.log(group_given / group)
+    ratios = np.concatenate([by_unit.reshape(UNITS + 1, UNITS), by_group], axis=1).clip(-RATIO_BOUND, RATIO_BOUND)
+    rows = np.sqrt((before + 1) / (before + 1).sum())
+    columns = np.sqrt(np.concatenate([share.ravel(), group]))
+    left, values, right = np.linalg.svd(rows * ratios * columns, full_matrices=False)
+    root = np.sqrt(values[:WIDTH])
+    embed, output = left[:, :WIDTH] * root / rows, root[:, None] * right[:WIDTH] / columns
+    scale = ((embed**2).mean() / max((output**2).mean(), 1e-12)) ** 0.25 or 1.0
+    embed, output = embed / scale, output * scale
+    p["embed"] = embed.astype(np.float32)
+    p["unit"] = np.ascontiguousarray(output[:, :UNITS].reshape(WIDTH, GROUPS, MEMBERS).transpose(1, 0, 2), dtype=np.float32)
+    p["group"] = output[:, UNITS:].astype(np.float32)
+    return p
 
 
 # Scores are kept within these bounds, so that exponentials need no maximum taken off first.
@@ -160,12 +189,13 @@ class Adam:
 
 
 def flatten(p: Parameters) -> np.ndarray:
-    return np.concatenate([value.ravel() for value in p.values()])
+    return np.concatenate([p[name].ravel() for name in SHAPES])
 
 
-def unflatten(values: np.ndarray, like: Parameters) -> Parameters:
+def unflatten(values: np.ndarray) -> Parameters:
     out, at = {}, 0
-    for name, value in like.items():
-        out[name] = values[at : at + value.size].reshape(value.shape).astype(np.float32)
-        at += value.size
+    for name, shape in SHAPES.items():
+        size = int(np.prod(shape))
+        out[name] = values[at : at + size].reshape(shape).astype(np.float32)
+        at += size
     return out

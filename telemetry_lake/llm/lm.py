@@ -2,14 +2,16 @@
 
 1. Words (and one end per document) of all training documents are counted in Spark. The
    counts give the unigram score, and through each word's subword ids the exact counts of
-   all ids: which of them are output units, and the shares of the others.
+   all ids (which of them are output units, and the shares of the others) and of the
+   pairs of neighbours, from which the model's embeddings start.
 2. From every training document one block of words in SAMPLE, chosen by a hash of the
    text, is a training window, so the windows grow with the corpus. In each of ROUNDS
    every partition trains a copy of the parameters on its windows; Spark averages the
    copies by the number of targets.
 3. Texts are scored in windows that overlap: a window's first targets only give context,
    so each token is scored once, after at least OVERLAP tokens of context or its text's
-   start.
+   start. A word's probability is the product over its ids, mixed with the word's share
+   of the training words by WORD_SHARE.
 
 The most frequent words are sent to the tasks as arrays of bounded size. Counts of all
 other words come from a join on the word's 64-bit hash.
@@ -40,6 +42,8 @@ from telemetry_lake.llm.tokens import worker_encoder
 SAMPLE, BLOCK_WORDS = 16, 14
 ROUNDS, BATCH, RATE = 3, 64, 0.01
 OVERLAP = 8
+# Weight of a word's own share against the attention model's probability.
+WORD_SHARE = 0.5
 # Words whose counts and ids go to every task: 2^20 take some 30 MB.
 SENT_WORDS = 1 << 20
 # Distinct words that a task counts before it passes them on, or remembers when scoring.
@@ -64,8 +68,10 @@ class Ids:
 
     def of(self, words: list[bytes]) -> list[np.ndarray]:
         ids, starts = self.encoder.encode([w.decode("utf-8", "replace").strip() for w in words])
-        end = np.array([self.end_id], dtype=np.uint32)
-        return [end if w == END else ids[a:b] for w, a, b in zip(words, starts[:-1], starts[1:], strict=True)]
+        end, none = np.array([self.end_id], dtype=np.uint32), np.zeros(1, dtype=np.uint32)
+        cuts = zip(words, starts[:-1].tolist(), starts[1:].tolist(), strict=True)
+        # The tokenizer may drop all of a word of rare white space; id 0 stands for it then.
+        return [end if w == END else ids[a:b] if a < b else none for w, a, b in cuts]
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -126,6 +132,43 @@ class Vocabulary:
         return cls(unit, share, np.bincount(unit, weights=counts, minlength=A.UNITS))
 
 
+def neighbours(words: DataFrame, vocabulary: Vocabulary, end_id: int) -> np.ndarray:
+    """How often each unit (or START) stands before each other, over all training words.
+
+    Within words from the words' counts; between words as if these were independent.
+    """
+    unit = words.sparkSession.sparkContext.broadcast(vocabulary.unit)
+    cells = A.UNITS * A.UNITS
+
+    def work(batches):
+        total = np.zeros(cells + 2 * A.UNITS)
+        for batch in batches:
+            lists, n = batch.column(1), batch.column(0).to_numpy().astype(float)
+            units = unit.value[lists.flatten().to_numpy()]
+            sizes = np.diff(lists.offsets.to_numpy())
+            firsts = np.cumsum(sizes) - sizes
+            inner = np.ones(len(units), dtype=bool)
+            inner[firsts] = False
+            second = np.flatnonzero(inner)
+            total[:cells] += np.bincount(units[second - 1] * A.UNITS + units[second], np.repeat(n, sizes)[second], cells)
+            total[cells : cells + A.UNITS] += np.bincount(units[firsts], n, A.UNITS)
+            total[cells + A.UNITS :] += np.bincount(units[firsts + sizes - 1], n, A.UNITS)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["cell", "n"])
+
+    counted = words.select("n", "ids").mapInArrow(work, "cell long, n double")
+    frame = counted.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    total = np.zeros(cells + 2 * A.UNITS)
+    total[frame["cell"].to_numpy(dtype=int)] = frame["n"].to_numpy()
+    first, last = total[cells : cells + A.UNITS], np.append(total[cells + A.UNITS :], 0.0)
+    # Ends follow words but stand before none; a text's start stands before its first word.
+    texts = words.where(F.col("hash") == word_hash(END)).agg(F.sum("n")).first()[0] or 0
+    last[vocabulary.unit[end_id]] -= texts
+    last[A.START] = texts
+    pairs = np.vstack([total[:cells].reshape(A.UNITS, A.UNITS), np.zeros(A.UNITS)])
+    return pairs + np.outer(last, first / max(1.0, first.sum()))
+
+
 def sample_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, end_id: int) -> DataFrame:
     """`units`: the unit before a sampled block (or START), then up to WINDOW of it and what follows."""
     unit = texts.sparkSession.sparkContext.broadcast(vocabulary.unit)
@@ -169,19 +212,17 @@ def _windows(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return inputs, targets
 
 
-def train(windows: DataFrame, vocabulary: Vocabulary) -> A.Parameters:
+def train(windows: DataFrame, parameters: A.Parameters) -> A.Parameters:
     """Parameters after ROUNDS of training copies in all partitions and averaging them.
 
     A copy comes back as rows of place and weighted value, summed by Spark: the driver
     gets one row per parameter.
     """
-    parameters = A.start(vocabulary.counts)
     for number in range(ROUNDS):
         sent = windows.sparkSession.sparkContext.broadcast(A.flatten(parameters))
-        counts = vocabulary.counts
 
-        def work(batches, sent=sent, number=number, counts=counts):
-            own = A.unflatten(sent.value.copy(), A.start(counts))
+        def work(batches, sent=sent, number=number):
+            own = A.unflatten(sent.value.copy())
             adam, seen = A.Adam(own, RATE), 0
             for batch in batches:
                 column = batch.column(0)
@@ -200,7 +241,7 @@ def train(windows: DataFrame, vocabulary: Vocabulary) -> A.Parameters:
         copies = windows.mapInArrow(work, "place long, value double")
         sums = copies.groupBy("place").agg(F.sum("value").alias("value")).toPandas().sort_values("place")["value"].to_numpy()
         if len(sums):
-            parameters = A.unflatten((sums[:-1] / sums[-1]).astype(np.float32), parameters)
+            parameters = A.unflatten((sums[:-1] / sums[-1]).astype(np.float32))
     return parameters
 
 
@@ -236,53 +277,60 @@ def score(
     counts = np.zeros(ids)
     counts[counted["id"].to_numpy(dtype=int)] = counted["n"].to_numpy(dtype=float)
     vocabulary = Vocabulary.of(counts)
-    parameters = train(stage(sample_windows(learnt, vocabulary, tokenizer, end_id), "windows"), vocabulary)
+    parameters = A.start(vocabulary.counts, neighbours(words, vocabulary, end_id))
+    parameters = train(stage(sample_windows(learnt, vocabulary, tokenizer, end_id), "windows"), parameters)
     least = _threshold(words, SENT_WORDS)
-    rows = stage(_scored(texts, words.where(F.col("n") >= least), vocabulary, parameters, tokenizer, end_id), "scored")
-    open_words = rows.select("row", F.explode(F.arrays_zip("hashes", "times")).alias("one")).select("row", "one.hashes", "one.times")
+    sent = words.where(F.col("n") >= least)
+    rows = stage(_scored(texts, sent, tokens, vocabulary, parameters, tokenizer, end_id), "scored")
+    open_words = rows.select("row", F.explode(F.arrays_zip("hashes", "spelt")).alias("one")).select("row", "one.hashes", "one.spelt")
     found = open_words.join(words.where(F.col("n") < least).select(F.col("hash").alias("hashes"), "n"), "hashes", "left")
-    logs = F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)
-    known = F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)
-    sums = found.groupBy("row").agg(F.sum(logs).alias("more"), F.sum(known).alias("more_known"))
+    spelt, own = F.col("spelt") + math.log(1 - WORD_SHARE), F.log(F.col("n") * (WORD_SHARE / max(1, tokens)))
+    mixed = F.coalesce(F.greatest(spelt, own) + F.log1p(F.exp(-F.abs(spelt - own))), spelt) / math.log(10)
+    sums = found.groupBy("row").agg(
+        F.sum(F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("more"), F.count("n").alias("more_known"), F.sum(mixed).alias("more_score")
+    )
     base = F.col("logs") + F.coalesce("more", F.lit(0.0)) - F.col("n_tokens") * math.log10(tokens + 0.5 * (distinct + 1))
     columns = [
         "doc_id", "training", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), "score",
+        F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     ]
     # Texts without open words stay out of the join.
-    whole = rows.where(F.size("hashes") == 0).withColumns({"more": F.lit(0.0), "more_known": F.lit(0).cast("long")})
+    whole = rows.where(F.size("hashes") == 0).withColumns({"more": F.lit(0.0), "more_known": F.lit(0).cast("long"), "more_score": F.lit(0.0)})
     return rows.where(F.size("hashes") > 0).join(sums, "row").select(*columns).union(whole.select(*columns))
 
 
-def _scored(texts: DataFrame, sent: DataFrame, vocabulary: Vocabulary, parameters: A.Parameters, tokenizer: str, end_id: int) -> DataFrame:
-    """Per text the model's score and its sums over the sent words; other words as hashes with counts."""
+def _scored(
+    texts: DataFrame, sent: DataFrame, tokens: int, vocabulary: Vocabulary, parameters: A.Parameters, tokenizer: str, end_id: int
+) -> DataFrame:
+    """Per text the sums over the sent words; of each other word its hash and log probability as spelt by the model."""
     frame = sent.toPandas().sort_values("hash")
     lists = frame["ids"].tolist()
     flat = np.concatenate([np.asarray(own, dtype=np.uint16 if len(vocabulary.unit) <= 1 << 16 else np.uint32) for own in lists]) if lists else np.zeros(0, np.uint16)
     table = (frame["hash"].to_numpy(dtype=np.int64), frame["n"].to_numpy(dtype=np.int64), np.cumsum([0, *map(len, lists)]), flat)
-    shared = texts.sparkSession.sparkContext.broadcast((table, vocabulary.unit, vocabulary.share, A.flatten(parameters), vocabulary.counts))
+    shared = texts.sparkSession.sparkContext.broadcast((table, vocabulary.unit, vocabulary.share, A.flatten(parameters)))
     kind = texts.schema["doc_id"].dataType.simpleString()
     with_row = texts.select("doc_id", "text", "training", F.monotonically_increasing_id().alias("row"))
 
     def work(batches):
-        table, unit, share, values, counts = shared.value
-        scorer = _Scorer(table, unit, share, A.unflatten(values, A.start(counts)), Ids(tokenizer, end_id))
+        table, unit, share, values = shared.value
+        scorer = _Scorer(table, tokens, unit, share, A.unflatten(values), Ids(tokenizer, end_id))
         for batch in batches:
-            n, known, logs, scores, hashes, times = scorer.score(as_bytes(batch.column(1)))
-            ends = np.cumsum([0, *map(len, hashes)]).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(ends, np.concatenate(part).astype(np.int64)) for part in (hashes, times)]
+            n, known, logs, scores, ends, *rest = scorer.score(as_bytes(batch.column(1)))
+            lists = [pa.ListArray.from_arrays(ends.astype(np.int32), part) for part in rest]
             arrays = [batch.column(3), batch.column(0), batch.column(2), *map(pa.array, (n, known, logs, scores)), *lists]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "training", "n_tokens", "n_known", "logs", "score", "hashes", "times"])
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "doc_id", "training", "n_tokens", "n_known", "logs", "score", "hashes", "spelt"])
 
-    schema = f"row long, doc_id {kind}, training boolean, n_tokens long, n_known long, logs double, score double, hashes array<long>, times array<long>"
+    schema = f"row long, doc_id {kind}, training boolean, n_tokens long, n_known long, logs double, score double, hashes array<long>, spelt array<double>"
     return map_arrow(with_row, work, schema)
 
 
 class _Scorer:
     """Scores texts of one task; remembers the words it has met."""
 
-    def __init__(self, table, unit, share, parameters, encoder):
-        self.table, self.unit, self.share, self.parameters, self.encoder = table, unit, share, parameters, encoder
+    def __init__(self, table, tokens, unit, share, parameters, encoder):
+        self.table, self.tokens, self.unit, self.share = table, tokens, unit, share
+        self.parameters, self.encoder = parameters, encoder
         self._forget()
 
     def _forget(self) -> None:
@@ -317,24 +365,24 @@ class _Scorer:
         at = np.array(numbers, dtype=np.int64)
         lengths = np.array([len(own) for own in split], dtype=np.int64)
         firsts = np.cumsum(lengths) - lengths
-        own_counts = counts[at]
-        logs = np.add.reduceat(np.where(own_counts >= 0, np.log10(np.maximum(own_counts, 0) + 0.5), 0.0), firsts)
-        known = np.add.reduceat((own_counts > 0).astype(np.int64), firsts)
-        open_hashes, times = [], []
-        for first, length in zip(firsts, lengths, strict=True):
-            part = slice(first, first + length)
-            found, many = np.unique(hashes[at[part]][own_counts[part] < 0], return_counts=True)
-            open_hashes.append(found)
-            times.append(many)
         many = sizes[at]
         ends = np.cumsum(many)
         places = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[at] - ends + many, many)
-        own_ids = ids[places]
-        id_ends = ends[firsts + lengths - 1]
-        return lengths, known, logs, self._model(own_ids, np.concatenate([[0], id_ends])), open_hashes, times
-
-    def _model(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """log10 probability of each text's ids; no text is empty, as each has its end."""
+        spelt = self._spelt(ids[places], np.concatenate([[0], ends[firsts + lengths - 1]]))
+        spelt = np.add.reduceat(spelt, ends - many)
+        own = counts[at]
+        is_open = own < 0
+        with np.errstate(divide="ignore"):
+            share = np.log(np.maximum(own, 0) * (WORD_SHARE / max(1, self.tokens)))
+        mixed = np.logaddexp(share, spelt + math.log(1 - WORD_SHARE)) / math.log(10)
+        logs = np.add.reduceat(np.where(is_open, 0.0, np.log10(np.maximum(own, 0) + 0.5)), firsts)
+        scores = np.add.reduceat(np.where(is_open, 0.0, mixed), firsts)
+        known = np.add.reduceat((own > 0).astype(np.int64), firsts)
+        open_ends = np.concatenate([[0], np.cumsum(np.add.reduceat(is_open.astype(np.int64), firsts))])
+        return lengths, known, logs, scores, open_ends, hashes[at[is_open]], spelt[is_open]
+
+    def _spelt(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Log probability of each id in its text; no text is empty, as each has its end."""
         units = self.unit[ids]
         sizes = np.diff(starts)
         step = A.WINDOW - OVERLAP
@@ -354,5 +402,4 @@ class _Scorer:
             inputs[number[k : k + CHUNK] == 0, 0] = A.START
             wanted = there & ((columns >= OVERLAP) | (number[k : k + CHUNK] == 0)[:, None])
             logs[at[wanted]] = A.log_probabilities(self.parameters, inputs, targets, wanted)
-        logs += self.share[ids]
-        return np.add.reduceat(logs, starts[:-1]) / math.log(10)
+        return logs + self.share[ids]
