@@ -123,6 +123,8 @@ def read(source: str | None) -> Page:
             # What an end tag leaves open inside of it ends with it.
             while stack.pop()[0] != tag:
                 pass
+        elif tag not in INLINE:
+            page.events[-1] = (None, "/p")  # ends nothing that is open
         at = next((k for k, (own, _) in enumerate(stack) if own == root), None)
         within = at is not None
         page.inside[-1] = within and page.inside[-1]
@@ -165,6 +167,8 @@ class Weights:
     def tag(self, name: str) -> float:
         """Of a tag: never above a small cost, nor below that of its kind."""
         plain = name.lstrip("/")
+        if plain in RAW or plain in APART:
+            return LEAST_COST  # no words of these count, so they need not part those around them
         cost = INLINE_COST if plain in INLINE else BLOCK_COST if plain in BLOCKS else OTHER_COST
         return max(cost, min(LEAST_COST, self.tags.get(name, cost)))
 
