@@ -18,7 +18,7 @@ WHITE_CLASS = r"[\x20\x09-\x0D]"
 SLICE_ROWS = 512
 
 # The same for its bytes: a slice is cut before it holds more, but for a single longer row.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def fold(doc_id: str, parts: int) -> Column:

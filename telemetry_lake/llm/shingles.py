@@ -7,7 +7,7 @@ import pyarrow as pa
 import xxhash
 
 # Words whose hashes a worker remembers; then it starts anew.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 18
 # Finaliser constants of a 64-bit mixer.
 MIX_1, MIX_2 = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 STEP = 0x9E3779B97F4A7C15
