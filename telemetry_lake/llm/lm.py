@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,9 +158,9 @@ def neighbours(words: DataFrame, vocabulary: Vocabulary, end_id: int) -> np.ndar
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["cell", "n"])
 
     counted = words.select("n", "ids").mapInArrow(work, "cell long, n double")
-    frame = counted.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    found = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(cells + 2 * A.UNITS)
-    total[frame["cell"].to_numpy(dtype=int)] = frame["n"].to_numpy()
+    total[found["cell"].to_numpy()] = found["n"].to_numpy()
     first, last = total[cells : cells + A.UNITS], np.append(total[cells + A.UNITS :], 0.0)
     # Ends follow words but stand before none; a text's start stands before its first word.
     texts = words.where(F.col("hash") == word_hash(END)).agg(F.sum("n")).first()[0] or 0
@@ -304,10 +305,13 @@ def _scored(
     texts: DataFrame, sent: DataFrame, tokens: int, vocabulary: Vocabulary, parameters: A.Parameters, tokenizer: str, end_id: int
 ) -> DataFrame:
     """Per text the sums over the sent words; of each other word its hash and log probability as spelt by the model."""
-    frame = sent.toPandas().sort_values("hash")
-    lists = frame["ids"].tolist()
-    flat = np.concatenate([np.asarray(own, dtype=np.uint16 if len(vocabulary.unit) <= 1 << 16 else np.uint32) for own in lists]) if lists else np.zeros(0, np.uint16)
-    table = (frame["hash"].to_numpy(dtype=np.int64), frame["n"].to_numpy(dtype=np.int64), np.cumsum([0, *map(len, lists)]), flat)
+    # As Arrow arrays from end to end: a million Python lists would not fit the driver.
+    found = sent.select("hash", "n", "ids").toArrow().sort_by("hash").combine_chunks()
+    lists = found["ids"].chunk(0) if found.num_rows else pa.array([], pa.list_(pa.int32()))
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    small = np.uint16 if len(vocabulary.unit) <= 1 << 16 else np.uint32
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(small)
+    table = (found["hash"].to_numpy(), found["n"].to_numpy(), np.concatenate([[0], np.cumsum(sizes)]), flat)
     shared = texts.sparkSession.sparkContext.broadcast((table, vocabulary.unit, vocabulary.share, A.flatten(parameters)))
     kind = texts.schema["doc_id"].dataType.simpleString()
     with_row = texts.select("doc_id", "text", "training", F.monotonically_increasing_id().alias("row"))
