@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,16 +18,17 @@ from pyspark.sql import types as T
 
 from telemetry_lake import operators as ops
 from telemetry_lake import sinks, sources
-from telemetry_lake.functions import in_dates, mark_key, null_flag, range_flag
+from telemetry_lake.functions import mark_key, null_flag, range_flag
 from telemetry_lake.functions.rules import REPORT_KEY, REQUIRED_COLUMNS
 from telemetry_lake.functions.times import event_time_text
-from telemetry_lake.lake import PIPELINE_RUNS, QUARANTINED, RAW_READINGS, READINGS, Lake, create_tables, register_partitions
+from telemetry_lake.lake import MARK_LOG, PIPELINE_RUNS, QUARANTINED, RAW_READINGS, READINGS, Lake, create_tables, drop_lake
 from telemetry_lake.plans import run
+from telemetry_lake.schemas import KPI_COLUMNS, NUMERIC_COLUMNS, TEXT_COLUMNS
 from telemetry_lake.session import configure
 from telemetry_lake.sources.events import EVENT_RULES, readings_from_events
 from telemetry_lake.storage import new_work_path
 
-START, END = "2024-01-01", "2024-01-31"
+# When batches land and runs start; later than all readings.
 NOW = datetime(2024, 2, 1, 5, 37)
 RUN = {
     "run_id": "run-1",
@@ -70,9 +72,27 @@ def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.run_summary(_flagged(spark, sf_dir))
 
 
-def _new_lake(spark: SparkSession) -> Lake:
-    """An empty lake of its own in the shared work folder."""
-    return Lake(new_work_path(spark, "lake"), f"lake_{uuid.uuid4().hex}")
+def _window(readings: DataFrame) -> tuple[str, str]:
+    """First and last date of the readings."""
+    first, last = readings.agg(F.min("dt"), F.max("dt")).first()
+    return first, last
+
+
+def _after(end: str) -> datetime:
+    """In the morning after the last date: the clock of the planners."""
+    return datetime.fromisoformat(end) + timedelta(days=1, hours=5, minutes=37)
+
+
+def _in_new_lake(spark: SparkSession, work: Callable[[Lake], DataFrame]) -> DataFrame:
+    """What `work` makes of an empty lake of its own in the shared folder, which goes afterwards.
+
+    The result is checkpointed, so that it outlives the tables it was read from.
+    """
+    lake = Lake(new_work_path(configure(spark), "lake"), f"lake_{uuid.uuid4().hex}")
+    try:
+        return work(lake).checkpoint()
+    finally:
+        drop_lake(spark, lake)
 
 
 def _device_marks(readings: DataFrame) -> DataFrame:
@@ -96,52 +116,72 @@ def scan_date_groups(spark, sf_dir):
     """All hours due since a first run ended in mid-day: part of a date, then whole dates."""
     mark = spark.createDataFrame([("p", "2024-01-01", "11")], ["pipeline_id", "last_loaded_dt", "last_loaded_hour"])
     due = ops.missing_hours(mark, datetime(2024, 1, 31, 0, 30))
-    groups = [{"dt": r.dt, "hours": r.hours if r.dt == START else []} for r in due.collect()]
+    groups = [{"dt": r.dt, "hours": r.hours if r.dt == "2024-01-01" else []} for r in due.collect()]
     rows = sources.where_groups(_readings(spark, sf_dir), groups)
     return rows.groupBy("dt", "hour").agg(F.count("*").alias("rows"), F.sum("battery_pct").alias("battery"))
 
 
-def _landed(spark, sf_dir) -> str:
-    path = new_work_path(spark, "raw")
-    sinks.land_raw(_readings(spark, sf_dir).drop("event_id", "event_ts", "dt", "hour"), path, NOW)
-    return path
+def _incoming(readings: DataFrame) -> DataFrame:
+    return readings.drop("event_id", "event_ts", "dt", "hour")
+
+
+def _land(readings: DataFrame, lake: Lake, batch: str = "b1") -> None:
+    sinks.land_raw(_incoming(readings), lake, batch, NOW)
 
 
 def land_and_scan_raw(spark, sf_dir):
     """Land as JSON lines, scan the folders of the backfilled dates, normalise."""
-    groups = [r.asDict() for r in ops.backfill_groups(spark, START, END).collect()]
-    raw = sources.with_event_ts(sources.normalize(sources.read_raw(spark, _landed(spark, sf_dir), groups)))
-    return _reading_rows(raw.withColumn("event_ts", event_time_text(F.col("event_ts"))))
 
+    def work(lake):
+        readings = _readings(spark, sf_dir)
+        _land(readings, lake)
+        groups = [r.asDict() for r in ops.backfill_groups(spark, *_window(readings)).collect()]
+        raw = sources.with_event_ts(sources.normalize(sources.read_raw(spark, lake.path(RAW_READINGS), groups)))
+        return _reading_rows(raw, "timestamp")
 
-def _reading_rows(df: DataFrame) -> DataFrame:
-    value = F.coalesce("temperature_c", "vibration_mm_s", "energy_kwh")
-    return df.select(
-        "device_id",
-        "device_type",
-        "facility_id",
-        "zone",
-        F.coalesce("battery_pct", F.lit(-1.0)).alias("battery_pct"),
-        F.coalesce(value, F.lit(-1.0)).cast("double").alias("reading"),
-        "event_ts",
-        "dt",
-        "hour",
-    )
+    return _in_new_lake(spark, work)
+
+
+def land_two_batches(spark, sf_dir):
+    """Batches that share all their hours, the second without readable times, the first one landed again."""
+
+    def work(lake):
+        rows = _incoming(_readings(spark, sf_dir))
+        late = F.col("device_id").cast("long") % 2 == 1
+        first, second = rows.where(~late), rows.where(late)
+        sinks.land_raw(first, lake, "a", NOW)
+        sinks.land_raw(second.withColumn("timestamp", F.concat(F.lit("at "), "timestamp")), lake, "b", NOW)
+        sinks.land_raw(second, lake, "c", NOW)
+        sinks.land_raw(first, lake, "a", NOW)
+        table = spark.table(lake.table(RAW_READINGS))
+        return table.groupBy("dt", "hour").agg(
+            F.count("*").alias("rows"), F.count(F.when(F.col("timestamp").startswith("at "), 1)).alias("unreadable")
+        )
+
+    return _in_new_lake(spark, work)
+
+
+def _reading_rows(df: DataFrame, *more: str) -> DataFrame:
+    """All columns of a table of readings; numbers as doubles, missing ones as -1."""
+    numbers = [F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in NUMERIC_COLUMNS]
+    time = F.col("event_ts") if dict(df.dtypes)["event_ts"] == "string" else event_time_text(F.col("event_ts"))
+    return df.select(*TEXT_COLUMNS, *numbers, time.alias("event_ts"), "dt", "hour", *more)
 
 
 def register_raw_partitions(spark, sf_dir):
-    """Files written by path become visible to the catalog table."""
-    lake = _new_lake(configure(spark))
-    create_tables(spark, lake, [RAW_READINGS])
-    readings = _readings(spark, sf_dir)
-    sinks.land_raw(readings.drop("event_id", "event_ts", "dt", "hour"), lake.path(RAW_READINGS), NOW)
-    register_partitions(spark, lake, RAW_READINGS, readings.select("dt", "hour"))
-    return spark.table(lake.table(RAW_READINGS)).groupBy("dt", "hour").agg(F.count("*").alias("rows"))
+    """Landed files are visible in the catalog table."""
+
+    def work(lake):
+        _land(_readings(spark, sf_dir), lake)
+        return spark.table(lake.table(RAW_READINGS)).groupBy("dt", "hour").agg(F.count("*").alias("rows"))
+
+    return _in_new_lake(spark, work)
 
 
 def normalize_numeric(spark, sf_dir):
     k = F.get_json_object("props", "$.k")
-    text = F.when(k == "99", "n/a").when(k != "98", F.when(k < "5", k).otherwise(F.col("value").cast("string")))
+    text = F.when(k == "99", "n/a").when(k == "97", "NaN").when(k == "96", "-Infinity")
+    text = text.when(k != "98", F.when(k < "5", k).otherwise(F.col("value").cast("string")))
     mixed = _events(spark, sf_dir).select("event_id", text.alias("number"))
     return sources.normalize(mixed, ["number"]).withColumn("number", F.coalesce("number", F.lit(-1.0)))
 
@@ -149,24 +189,27 @@ def normalize_numeric(spark, sf_dir):
 def parse_event_time(spark, sf_dir):
     k = F.get_json_object("props", "$.k")
     text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
-    text = F.when(k == "99", "nope").when(k < "5", F.concat(text, F.lit("+02:00"))).otherwise(F.concat(text, F.lit("Z")))
+    text = F.when(k == "99", "nope").when(k == "98", "12:30").when(k < "5", F.concat(text, F.lit("+02:00"))).otherwise(F.concat(text, F.lit("Z")))
     parsed = sources.with_event_ts(_events(spark, sf_dir).select("event_id", text.alias("timestamp")))
     return parsed.select("event_id", F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss").alias("event_ts"))
 
 
 def clean_table(spark, sf_dir):
-    lake = _new_lake(configure(spark))
-    create_tables(spark, lake, [READINGS])
-    sinks.write_clean(_clean(spark, sf_dir), lake)
-    rows = sources.read_clean(spark, lake.path(READINGS))
-    return _reading_rows(rows.withColumn("event_ts", event_time_text(F.col("event_ts"))))
+    def work(lake):
+        create_tables(spark, lake, [READINGS])
+        sinks.write_clean(_clean(spark, sf_dir), lake)
+        return _reading_rows(sources.read_clean(spark, lake.path(READINGS)))
+
+    return _in_new_lake(spark, work)
 
 
 def quarantine_table(spark, sf_dir):
-    lake = _new_lake(configure(spark))
-    create_tables(spark, lake, [QUARANTINED])
-    sinks.write_quarantine(_quarantine(spark, sf_dir), lake)
-    return _reading_rows(sources.read_quarantine(spark, lake.path(QUARANTINED)))
+    def work(lake):
+        create_tables(spark, lake, [QUARANTINED])
+        sinks.write_quarantine(_quarantine(spark, sf_dir), lake)
+        return _reading_rows(sources.read_quarantine(spark, lake.path(QUARANTINED)), "timestamp", "raw_line")
+
+    return _in_new_lake(spark, work)
 
 
 # --- gate ---
@@ -226,34 +269,38 @@ def partition_manifest(spark, sf_dir):
 
 
 def audit_records(spark, sf_dir):
-    """Whole-day groups for a range that ends after the last date found."""
+    """Whole-day groups for the range of the data."""
     summary = _summary(spark, sf_dir)
     last = F.split(ops.run_max_key(summary).scalar(), "T")[0]
-    return ops.audit_records(ops.backfill_groups(spark, START, END), summary, last, RUN)
+    return ops.audit_records(ops.backfill_groups(spark, *_window(_readings(spark, sf_dir))), summary, last, RUN)
 
 
 def audit_history(spark, sf_dir):
     """Two runs appended to the audit table: the whole range, then the hours of a re-run."""
-    lake = _new_lake(configure(spark))
-    create_tables(spark, lake, [PIPELINE_RUNS])
-    sinks.append_audit(audit_records(spark, sf_dir), lake)
-    again = spark.createDataFrame([(START, ["22", "23"])], ["dt", "hours"])
-    rerun = ops.run_summary(sources.where_groups(_flagged(spark, sf_dir), [{"dt": START, "hours": ["22", "23"]}]))
-    sinks.append_audit(ops.audit_records(again, rerun, START, {**RUN, "run_id": "run-2"}), lake)
-    history = sources.read_audit(spark, lake.path(PIPELINE_RUNS))
-    return history.select("run_id", "target_date", "hours_processed", "status", "records_clean", "records_quarantined")
+
+    def work(lake):
+        create_tables(spark, lake, [PIPELINE_RUNS])
+        sinks.append_audit(audit_records(spark, sf_dir), lake)
+        start, _ = _window(_readings(spark, sf_dir))
+        again = spark.createDataFrame([(start, ["22", "23"])], ["dt", "hours"])
+        rerun = ops.run_summary(sources.where_groups(_flagged(spark, sf_dir), [{"dt": start, "hours": ["22", "23"]}]))
+        sinks.append_audit(ops.audit_records(again, rerun, start, {**RUN, "run_id": "run-2"}), lake)
+        history = sources.read_audit(spark, lake.path(PIPELINE_RUNS))
+        return history.select("run_id", "target_date", "hours_processed", "status", "records_clean", "records_quarantined")
+
+    return _in_new_lake(spark, work)
 
 
 # --- KPIs ---
 
 
 def kpi_device_health(spark, sf_dir):
-    return _plain(ops.device_health(*_split(spark, sf_dir), START, END))
+    return _plain(ops.device_health(*_split(spark, sf_dir), *_window(_readings(spark, sf_dir))))
 
 
 def _device_kpi(spec):
     def query(spark, sf_dir):
-        return _plain(ops.daily_kpi(_clean(spark, sf_dir), spec, START, END))
+        return _plain(ops.daily_kpi(_clean(spark, sf_dir), spec, *_window(_readings(spark, sf_dir))))
 
     return query
 
@@ -268,7 +315,8 @@ def good_and_bad_per_group(spark, sf_dir):
 
 def _motor_versions(spark, sf_dir):
     """Motor KPI of all readings, and of the clean ones for the middle of the range."""
-    old = ops.daily_kpi(_readings(spark, sf_dir), ops.MOTOR_VIBRATION, START, END)
+    readings = _readings(spark, sf_dir)
+    old = ops.daily_kpi(readings, ops.MOTOR_VIBRATION, *_window(readings))
     new = ops.daily_kpi(_clean(spark, sf_dir), ops.MOTOR_VIBRATION, *MIDDLE)
     return old, new
 
@@ -283,23 +331,35 @@ def range_replace(spark, sf_dir):
 
 def kpi_table_range_replace(spark, sf_dir):
     """The same replacement done twice over in a stored KPI table."""
-    lake = _new_lake(configure(spark))
-    table = ops.MOTOR_VIBRATION.table
-    create_tables(spark, lake, [table])
-    old, new = _motor_versions(spark, sf_dir)
-    sinks.range_replace(spark, lake, table, old, START, END)
-    for _ in range(2):
-        sinks.range_replace(spark, lake, table, new, *MIDDLE)
-    return _plain(spark.table(lake.table(table)))
+
+    def work(lake):
+        table = ops.MOTOR_VIBRATION.table
+        create_tables(spark, lake, [table])
+        old, new = _motor_versions(spark, sf_dir)
+        sinks.range_replace(spark, lake, table, old, *_window(_readings(spark, sf_dir)))
+        for _ in range(2):
+            sinks.range_replace(spark, lake, table, new, *MIDDLE)
+        return _plain(spark.table(lake.table(table)))
+
+    return _in_new_lake(spark, work)
 
 
 def kpi_lookup(spark, sf_dir):
-    kpi = ops.daily_kpi(_clean(spark, sf_dir), ops.MOTOR_VIBRATION, START, END)
-    return _plain(ops.kpi_lookup(kpi, "2024-01-07", "7"))
+    """One device on one date, from the stored table."""
+
+    def work(lake):
+        table = ops.MOTOR_VIBRATION.table
+        create_tables(spark, lake, [table])
+        start, end = _window(_readings(spark, sf_dir))
+        kpi = ops.daily_kpi(_clean(spark, sf_dir), ops.MOTOR_VIBRATION, start, end)
+        sinks.range_replace(spark, lake, table, kpi, start, end)
+        return _plain(ops.kpi_lookup(spark.table(lake.table(table)), "2024-01-07", "7"))
+
+    return _in_new_lake(spark, work)
 
 
 def max_clean_date(spark, sf_dir):
-    return ops.max_clean_date(_clean(spark, sf_dir), START, END)
+    return ops.max_clean_date(_clean(spark, sf_dir), *_window(_readings(spark, sf_dir)))
 
 
 def avg_temp_by_type(spark, sf_dir):
@@ -310,7 +370,8 @@ def avg_temp_by_type(spark, sf_dir):
 
 
 def missing_hours(spark, sf_dir):
-    due = ops.missing_hours(_device_marks(_readings(spark, sf_dir)), NOW)
+    readings = _readings(spark, sf_dir)
+    due = ops.missing_hours(_device_marks(readings), _after(_window(readings)[1]))
     return due.select("pipeline_id", "dt", F.explode("hours").alias("hour"))
 
 
@@ -322,20 +383,21 @@ def missing_dates(spark, sf_dir):
     own = readings.groupBy("device_id").agg(first).select(own_id, "last_aggregated_dt")
     marks = _device_marks(readings).drop("last_aggregated_dt").unionByName(own, allowMissingColumns=True)
     links = readings.select(own_id, F.col("device_id").alias("upstream_id")).distinct()
-    return ops.missing_dates(marks, links, NOW.date())
+    return ops.missing_dates(marks, links, _after(_window(readings)[1]).date())
 
 
 def backfill_groups(spark, sf_dir):
     """The dates of a backfill with the readings waiting there."""
-    waiting = _readings(spark, sf_dir).groupBy("dt").agg(F.count("*").alias("rows"))
-    groups = ops.backfill_groups(spark, START, END).select("dt", F.size("hours").alias("hours_listed"))
+    readings = _readings(spark, sf_dir)
+    waiting = readings.groupBy("dt").agg(F.count("*").alias("rows"))
+    groups = ops.backfill_groups(spark, *_window(readings)).select("dt", F.size("hours").alias("hours_listed"))
     return groups.join(waiting, "dt", "left").fillna(0, ["rows"])
 
 
 def advance_marks(spark, sf_dir):
     """Marks of the first half of the month, then everything found, older rows included."""
     readings = _readings(spark, sf_dir)
-    marks = _device_marks(readings.where(in_dates(START, "2024-01-15")))
+    marks = _device_marks(readings.where(F.col("dt") <= "2024-01-15"))
     found = readings.select(F.col("device_id").alias("pipeline_id"), mark_key().alias("last_loaded_key"))
     advanced = ops.advance_marks(marks, found)
     return advanced.select("pipeline_id", "last_loaded_dt", "last_loaded_hour", "last_loaded_key")
@@ -351,21 +413,39 @@ def newer_marks(spark, sf_dir):
 
 def expected_partitions(spark, sf_dir):
     """The calendar with the readings of each hour, zero where there are none."""
-    rows = _readings(spark, sf_dir).groupBy("dt", "hour").agg(F.count("*").alias("rows"))
-    return ops.expected_partitions(spark, START, END).join(rows, ["dt", "hour"], "left").fillna(0, ["rows"])
+    readings = _readings(spark, sf_dir)
+    rows = readings.groupBy("dt", "hour").agg(F.count("*").alias("rows"))
+    return ops.expected_partitions(spark, *_window(readings)).join(rows, ["dt", "hour"], "left").fillna(0, ["rows"])
 
 
 def hour_coverage(spark, sf_dir):
-    return ops.coverage_gaps(_readings(spark, sf_dir), "device_id", START, END)
+    readings = _readings(spark, sf_dir)
+    gaps = ops.coverage_gaps(readings, "device_id", *_window(readings))
+    return gaps.withColumn("hours", F.concat_ws(",", "hours"))
 
 
 def full_run(spark, sf_dir):
-    """Land, backfill through the gate into the tables, refresh the KPIs; device health at the end."""
-    lake = _new_lake(configure(spark))
-    readings = _readings(spark, sf_dir).drop("event_id", "event_ts", "dt", "hour")
-    sinks.land_raw(readings, lake.path(RAW_READINGS), NOW)
-    run(spark, lake, backfill={"start_date": START, "end_date": END}, now=NOW, rules=EVENT_RULES)
-    return _plain(spark.table(lake.table(ops.DEVICE_HEALTH_TABLE)))
+    """Land, backfill through the gate into the tables, refresh the KPIs: all that the run wrote, in one long form."""
+
+    def work(lake):
+        readings = _readings(spark, sf_dir)
+        start, end = _window(readings)
+        _land(readings, lake)
+        run(spark, lake, backfill={"start_date": start, "end_date": end}, now=NOW, max_days=100_000, rules=EVENT_RULES)
+        parts = []
+        for table in (READINGS, QUARANTINED, PIPELINE_RUNS, MARK_LOG, *KPI_COLUMNS):
+            df = spark.table(lake.table(table))
+            if table in (READINGS, QUARANTINED):
+                df = df.groupBy("dt", "hour").agg(F.count("*").alias("rows"))
+            # Run ids and times of a run differ each time. Averages of raw numbers may differ in
+            # the last place from averages of decimals; the queries of the KPIs compare those.
+            varying = {"run_id", "run_timestamp", "started_at", "completed_at", "duration_seconds"}
+            varying |= {c for c in df.columns if c.startswith(("avg_", "stddev_")) and c != "avg_battery_pct"}
+            values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")) for c in sorted(set(df.columns) - varying)]
+            parts.append(df.select(F.lit(table).alias("table"), F.concat_ws("|", *values).alias("row")))
+        return reduce(DataFrame.union, parts)
+
+    return _in_new_lake(spark, work)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -378,6 +458,7 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         scan_date_groups,
         land_and_scan_raw,
+        land_two_batches,
         register_raw_partitions,
         normalize_numeric,
         parse_event_time,
@@ -456,8 +537,26 @@ per_date AS (
 marks AS (SELECT device_id, max(event_ts) AS last_ts, min(dt) AS first_dt FROM readings GROUP BY device_id)
 """
 
-READING_ROWS = """device_id, device_type, facility_id, zone, COALESCE(battery_pct, -1) AS battery_pct,
-  COALESCE(CAST(reading AS DOUBLE), -1) AS reading, strftime(event_ts, '%Y-%m-%dT%H:%M:%S.000Z') AS event_ts, dt, hour"""
+def _measure_sql(name: str, value: str, *types: str) -> str:
+    listed = ", ".join(f"'{t}'" for t in types)
+    return f"COALESCE(CASE WHEN device_type IN ({listed}) THEN CAST({value} AS DOUBLE) END, -1) AS {name}"
+
+
+READING_ROWS = ", ".join(
+    [
+        "device_id, device_type, facility_id, zone, 'OK' AS status_code, '1.0.0' AS firmware_version",
+        "COALESCE(battery_pct, -1) AS battery_pct",
+        _measure_sql("temperature_c", "reading", "hvac_unit", "cold_storage_unit", "unmapped"),
+        _measure_sql("humidity_pct", "second", "hvac_unit", "unmapped"),
+        _measure_sql("vibration_mm_s", "reading", "motor"),
+        _measure_sql("rpm", "second", "motor"),
+        _measure_sql("door_open_count", "second", "cold_storage_unit"),
+        _measure_sql("energy_kwh", "reading", "smart_meter"),
+        _measure_sql("voltage", "second", "smart_meter"),
+        "strftime(event_ts, '%Y-%m-%dT%H:%M:%S.000Z') AS event_ts, dt, hour",
+    ]
+)
+TIME_TEXT = "strftime(event_ts, '%Y-%m-%dT%H:%M:%S+00:00') AS \"timestamp\""
 
 
 def _round2(expr: str) -> str:
@@ -472,10 +571,59 @@ def _mean2(column: str) -> str:
 def _kpi_sql(source: str, device_type: str, keys: str, measures: str) -> str:
     return (
         f"SELECT dt, {keys}, {measures}, count(*) AS reading_count FROM {source} "
-        f"WHERE device_type = '{device_type}' AND dt BETWEEN '{START}' AND '{END}' GROUP BY dt, {keys}"
+        f"WHERE device_type = '{device_type}' GROUP BY dt, {keys}"
     )
 
 
+def _long_sql(table: str, source: str, **columns: str) -> str:
+    """Rows of one table of `full_run`: its columns by name, as text."""
+    values = ", ".join(f"COALESCE(CAST({columns[name]} AS VARCHAR), '-')" for name in sorted(columns))
+    return f"SELECT '{table}' AS \"table\", concat_ws('|', {values}) AS \"row\" FROM ({source})"
+
+
+def _full_run_sql(health: str, audit: str) -> str:
+    money, rate = "CAST({} AS DECIMAL(10,2))", "CAST({} AS DECIMAL(5,2))"
+    keys = {"dt": "dt", "device_id": "device_id", "facility_id": "facility_id", "reading_count": "reading_count"}
+
+    def kpi(table: str, device_type: str, more_keys: str = "", **measures: str) -> str:
+        named = ", ".join([f"{sql} AS {name}" for name, sql in measures.items()] + ["1 AS one"])
+        source = _kpi_sql("clean", device_type, "device_id, facility_id" + more_keys, named)
+        return _long_sql(table, source, **keys, **{name: name for name in measures}, **({"zone": "zone"} if more_keys else {}))
+
+    counts = {c: c for c in ("dt", "device_type", "facility_id", "clean_reading_count", "quarantined_reading_count", "total_reading_count")}
+    hourly = 'SELECT dt, hour, count(*) AS "rows" FROM {} GROUP BY dt, hour'
+    hour_columns = {"dt": "dt", "hour": "hour", "rows": '"rows"'}
+    last = "(SELECT max(dt || 'T' || hour) AS key FROM readings)"
+    parts = [
+        _long_sql(READINGS, hourly.format("clean"), **hour_columns),
+        _long_sql(QUARANTINED, hourly.format("bad"), **hour_columns),
+        _long_sql(
+            PIPELINE_RUNS, audit, dt="target_date", target_date="target_date", hours_processed="'ALL'", status="'SUCCESS'",
+            records_clean="records_clean", records_quarantined="records_quarantined",
+        ),
+        _long_sql(
+            MARK_LOG, last, pipeline_id="'ingest'", status="NULL", last_loaded_dt="split_part(key, 'T', 1)",
+            last_loaded_hour="split_part(key, 'T', 2)", last_loaded_key="key", last_aggregated_dt="NULL",
+        ),
+        _long_sql(
+            MARK_LOG, "SELECT max(dt) AS dt FROM clean", pipeline_id="'kpi_refresh'", status="NULL", last_loaded_dt="NULL",
+            last_loaded_hour="NULL", last_loaded_key="NULL", last_aggregated_dt="dt",
+        ),
+        _long_sql(
+            ops.DEVICE_HEALTH_TABLE, health, **counts, dq_failure_rate_pct=rate.format("dq_failure_rate_pct"),
+            avg_battery_pct=money.format("avg_battery_pct"), min_battery_pct=money.format("min_battery_pct"),
+        ),
+        kpi(ops.MOTOR_VIBRATION.table, "motor", max_vibration_mm_s=money.format("max(reading)")),
+        kpi(ops.COLD_STORAGE.table, "cold_storage_unit", total_door_open_count="CAST(sum(second) AS BIGINT)"),
+        kpi(ops.HVAC_STABILITY.table, "hvac_unit", ", zone"),
+        kpi(
+            ops.ENERGY_VOLTAGE.table, "smart_meter", total_energy_kwh=money.format("sum(reading)"),
+            min_voltage=money.format("min(second)"),
+        ),
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def lake_sql() -> dict[str, str]:
     """Query name -> the same result in DuckDB SQL."""
     motor = f"{_mean2('reading')} AS avg_vibration_mm_s, CAST(max(reading) AS DOUBLE) AS max_vibration_mm_s"
@@ -498,28 +646,35 @@ def lake_sql() -> dict[str, str]:
       UNION ALL
       SELECT * FROM ({_kpi_sql("clean", "motor", device_keys, motor)})
         WHERE dt BETWEEN '{MIDDLE[0]}' AND '{MIDDLE[1]}'"""
-    calendar = f"SELECT CAST(d AS TIMESTAMP) AS ts FROM generate_series(TIMESTAMP '{START}', TIMESTAMP '{END} 23:00', INTERVAL 1 HOUR) g(d)"
+    calendar = """SELECT ts FROM (SELECT unnest(generate_series(
+      CAST((SELECT min(dt) FROM readings) AS TIMESTAMP), CAST((SELECT max(dt) FROM readings) AS TIMESTAMP) + INTERVAL 23 HOUR,
+      INTERVAL 1 HOUR)) AS ts)"""
     audit = f"""
-      SELECT g.dt AS target_date, COALESCE(p.records_clean, 0)::INTEGER AS records_clean,
-             COALESCE(p.records_quarantined, 0)::INTEGER AS records_quarantined
+      SELECT g.dt AS target_date, COALESCE(p.records_clean, 0)::BIGINT AS records_clean,
+             COALESCE(p.records_quarantined, 0)::BIGINT AS records_quarantined
       FROM (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS dt FROM ({calendar})) g LEFT JOIN per_date p ON g.dt = p.dt
       WHERE g.dt <= (SELECT max(dt) FROM readings)"""
     body = {
         "scan_date_groups": """
           SELECT dt, hour, count(*) AS "rows", sum(battery_pct) AS battery FROM readings
           WHERE (dt = '2024-01-01' AND hour >= '12') OR dt BETWEEN '2024-01-02' AND '2024-01-30' GROUP BY dt, hour""",
-        "land_and_scan_raw": f"SELECT {READING_ROWS} FROM readings",
+        "land_and_scan_raw": f"SELECT {READING_ROWS}, {TIME_TEXT} FROM readings",
+        "land_two_batches": """
+          SELECT dt, hour, count(*) AS "rows", count(*) FILTER (late) AS unreadable FROM (
+            SELECT dt, hour, false AS late FROM readings
+            UNION ALL SELECT '2024-02-01', '05', true FROM readings WHERE CAST(device_id AS BIGINT) % 2 = 1)
+          GROUP BY dt, hour""",
         "register_raw_partitions": 'SELECT dt, hour, count(*) AS "rows" FROM readings GROUP BY dt, hour',
         "normalize_numeric": """
-          SELECT event_id, COALESCE(TRY_CAST(CASE WHEN k = 99 THEN 'n/a' WHEN k = 98 THEN NULL
+          SELECT event_id, COALESCE(TRY_CAST(CASE WHEN k = 99 THEN 'n/a' WHEN k IN (96, 97, 98) THEN NULL
               WHEN CAST(k AS VARCHAR) < '5' THEN CAST(k AS VARCHAR) ELSE CAST(value AS VARCHAR) END AS DOUBLE), -1)
               AS number FROM ev""",
         "parse_event_time": """
-          SELECT event_id, CASE WHEN k = 99 THEN NULL WHEN CAST(k AS VARCHAR) < '5'
+          SELECT event_id, CASE WHEN k IN (98, 99) THEN NULL WHEN CAST(k AS VARCHAR) < '5'
               THEN strftime(ts - INTERVAL 2 HOUR, '%Y-%m-%d %H:%M:%S')
               ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS event_ts FROM ev""",
         "clean_table": f"SELECT {READING_ROWS} FROM clean",
-        "quarantine_table": f"SELECT {READING_ROWS} FROM bad",
+        "quarantine_table": f"SELECT {READING_ROWS}, {TIME_TEXT}, NULL AS raw_line FROM bad",
         "dq_nulls": "SELECT event_id, is_null FROM flagged",
         "dq_ranges": "SELECT event_id, out_of_range FROM flagged",
         "dq_duplicates": "SELECT event_id, is_duplicate FROM flagged",
@@ -545,11 +700,11 @@ def lake_sql() -> dict[str, str]:
           SELECT 'run-1' AS run_id, target_date, 'ALL' AS hours_processed, 'SUCCESS' AS status,
                  records_clean, records_quarantined FROM ({audit})
           UNION ALL
-          SELECT 'run-2', '{START}', '22,23', 'SUCCESS', (count(*) FILTER (NOT is_bad))::INTEGER,
-                 (count(*) FILTER (is_bad))::INTEGER
-          FROM flagged WHERE dt = '{START}' AND hour IN ('22', '23')""",
+          SELECT 'run-2', (SELECT min(dt) FROM readings), '22,23', 'SUCCESS', (count(*) FILTER (NOT is_bad))::BIGINT,
+                 (count(*) FILTER (is_bad))::BIGINT
+          FROM flagged WHERE dt = (SELECT min(dt) FROM readings) AND hour IN ('22', '23')""",
         "kpi_device_health": health,
-        "full_run": health,
+        "full_run": _full_run_sql(health, audit),
         "good_and_bad_per_group": """
           SELECT COALESCE(c.dt, q.dt) AS dt, COALESCE(c.device_type, q.device_type) AS device_type,
                  COALESCE(c.facility_id, q.facility_id) AS facility_id,
@@ -583,15 +738,15 @@ def lake_sql() -> dict[str, str]:
         "kpi_lookup": f"""
           SELECT * FROM ({_kpi_sql("clean", "motor", device_keys, motor)})
           WHERE dt = '2024-01-07' AND device_id = '7'""",
-        "max_clean_date": f"SELECT max(dt) AS max_dt FROM clean WHERE dt BETWEEN '{START}' AND '{END}'",
+        "max_clean_date": "SELECT max(dt) AS max_dt FROM clean",
         "avg_temp_by_type": """
           SELECT device_type, CAST(sum(temperature) AS DOUBLE) / NULLIF(count(temperature), 0) AS avg_temperature_c
           FROM (SELECT *, CASE WHEN device_type NOT IN ('motor', 'smart_meter') THEN reading END AS temperature FROM clean)
           WHERE dt = '2024-01-15' GROUP BY device_type""",
         "missing_hours": """
           SELECT device_id AS pipeline_id, strftime(h, '%Y-%m-%d') AS dt, strftime(h, '%H') AS hour
-          FROM (SELECT device_id, unnest(generate_series(last_ts + INTERVAL 1 HOUR, TIMESTAMP '2024-02-01 04:00',
-                INTERVAL 1 HOUR)) AS h FROM marks)""",
+          FROM (SELECT device_id, unnest(generate_series(last_ts + INTERVAL 1 HOUR, 
+                (SELECT CAST(max(dt) AS TIMESTAMP) + INTERVAL 28 HOUR FROM readings), INTERVAL 1 HOUR)) AS h FROM marks)""",
         "missing_dates": """
           SELECT 'kpi-' || device_id AS pipeline_id, start_date, end_date FROM (
             SELECT device_id, strftime(CAST(first_dt AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') AS start_date,
@@ -614,9 +769,9 @@ def lake_sql() -> dict[str, str]:
           SELECT strftime(c.ts, '%Y-%m-%d') AS dt, strftime(c.ts, '%H') AS hour, count(r.event_id) AS "rows"
           FROM ({calendar}) c LEFT JOIN readings r ON r.event_ts = c.ts GROUP BY c.ts""",
         "hour_coverage": f"""
-          SELECT device_id, strftime(ts, '%Y-%m-%d') AS dt, strftime(ts, '%H') AS hour
+          SELECT device_id, strftime(ts, '%Y-%m-%d') AS dt, string_agg(strftime(ts, '%H'), ',' ORDER BY ts) AS hours
           FROM (SELECT device_id, c.ts FROM marks CROSS JOIN ({calendar}) c
-                EXCEPT SELECT device_id, event_ts FROM readings)""",
+                EXCEPT SELECT device_id, event_ts FROM readings) GROUP BY ALL""",
     }
     return {name: READINGS_CTE + sql for name, sql in body.items()}
 

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def event_time(text: Column) -> Column:
-    """ISO-8601 text to timestamp; null when it cannot be read."""
-    return F.try_to_timestamp(text)
+    """ISO-8601 text to timestamp; null when it cannot be read.
+
+    A text without a date would be read as of today, another time on each run, so it is null.
+    """
+    return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(text))
 
 
 def event_time_text(ts: Column) -> Column:

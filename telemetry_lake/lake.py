@@ -9,13 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from telemetry_lake import storage
-from telemetry_lake.schemas import AUDIT, CLEAN, KPI_COLUMNS, MARKS, QUARANTINE, RAW
+from telemetry_lake.schemas import AUDIT, CLEAN, KPI_COLUMNS, MARKS, QUARANTINE, RAW, RAW_LINE
 
+# --- fixed values: table names ---
 RAW_READINGS = "raw_readings"
 READINGS = "sensor_readings"
 QUARANTINED = "quarantine_sensor_readings"
 PIPELINE_RUNS = "pipeline_runs"
 MARK_LOG = "progress_marks"
+# --- end of fixed values ---
 
 
 @dataclass(frozen=True)
@@ -59,6 +61,7 @@ def create_tables(spark: SparkSession, lake: Lake, tables: Iterable[str] = tuple
             storage.make_folder(spark, lake.path(table))
         spark.sql(
             f"CREATE TABLE {lake.table(table)} ({columns}) USING {file_format} "
+            + (f"OPTIONS (columnNameOfCorruptRecord '{RAW_LINE}') " if table == RAW_READINGS else "")
             + (f"PARTITIONED BY ({', '.join(partitions)}) " if partitions else "")
             + f"LOCATION '{lake.path(table)}'"
         )
@@ -89,17 +92,20 @@ def register_partitions(spark: SparkSession, lake: Lake, table: str, manifest: D
 
 
 def drop_partitions(spark: SparkSession, lake: Lake, table: str, partitions: Iterable[Mapping]) -> None:
-    """Remove partitions from the catalog and their folders; those not listed are passed over."""
-    wanted = {"/".join(f"{name}={value}" for name, value in spec.items()): spec for spec in partitions}
-    listed = [folder for folder in listed_partitions(spark, lake, table) if folder in wanted] if wanted else []
-    if not listed:
+    """Remove partitions from the catalog and their folders; those not there are passed over.
+
+    Only the partitions asked for are looked at, however many the table has.
+    """
+    partitions = list(partitions)
+    if not partitions:
         return
-    spark.sql(f"ALTER TABLE {lake.table(table)} DROP IF EXISTS {_specs((wanted[f] for f in listed), ', ')}")
-    for folder in listed:
-        storage.delete(spark, f"{lake.path(table)}/{folder}")
+    spark.sql(f"ALTER TABLE {lake.table(table)} DROP IF EXISTS {_specs(partitions, ', ')}")
+    for spec in partitions:
+        storage.delete(spark, "/".join([lake.path(table), *(f"{name}={value}" for name, value in spec.items())]))
     spark.catalog.refreshTable(lake.table(table))
 
 
-def listed_partitions(spark: SparkSession, lake: Lake, table: str) -> list[str]:
-    """The table's partitions in the catalog, as `name=value/...`."""
-    return [row[0] for row in spark.sql(f"SHOW PARTITIONS {lake.table(table)}").collect()]
+def drop_lake(spark: SparkSession, lake: Lake) -> None:
+    """Remove the database with its entries, and all files below the root."""
+    spark.sql(f"DROP DATABASE IF EXISTS {lake.database} CASCADE")
+    storage.delete(spark, lake.root)

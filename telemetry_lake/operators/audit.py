@@ -19,7 +19,7 @@ def audit_records(groups: DataFrame, summary: DataFrame, last_dt: Column | str,
     `run` holds the values that are the same for all records of the run.
     """
     reached = groups.where(F.col("dt") <= last_dt)
-    counts = [F.coalesce(c, F.lit(0)).cast("int").alias(c) for c in ("records_clean", "records_quarantined")]
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("records_clean", "records_quarantined")]
     hours = F.when(F.size("hours") > 0, F.concat_ws(",", "hours")).otherwise("ALL")
     records = reached.join(counts_per_date(summary), "dt", "left").select(
         "dt", F.col("dt").alias("target_date"), hours.alias("hours_processed"), *counts

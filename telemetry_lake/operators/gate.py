@@ -8,8 +8,8 @@ combine, and only the repeated ones are joined back:
 * few repeated keys: they are broadcast, the rows are not shuffled at all;
 * many: the rows are shuffled to them, but rows of the most frequent keys are flagged
   by a broadcast of at most HOT_KEYS keys and spread over the reducers. A key left out
-  of that list has fewer than HOT_COPIES rows or at most 1/HOT_KEYS of all, so no task
-  gets more than that share of one key.
+  of that list has fewer than HOT_COPIES rows or at most 1/HOT_KEYS of all: 1 GB at
+  100 TB, which is one task's share of the input.
 """
 
 from __future__ import annotations
@@ -27,12 +27,13 @@ from telemetry_lake.functions.rules import (
     null_flag,
     range_flag,
 )
+from telemetry_lake.schemas import RAW_LINE
 
 FLAGS = ("_dup", "_null", "_range", "_is_bad")
 
-# Size bounds of the two broadcasts, in keys (about 100 bytes each).
+# Size bounds of the two broadcasts, in keys of about 100 bytes: 50 MB and 10 MB.
 BROADCAST_KEYS = 500_000
-HOT_KEYS = 1_000
+HOT_KEYS = 100_000
 # A key with fewer rows than this burdens no task, so it need not compete for that list.
 HOT_COPIES = 1_000
 
@@ -93,7 +94,7 @@ def dq_gate(
 
 def clean(flagged: DataFrame) -> DataFrame:
     """Good rows without the flags and without the time text, which event_ts replaces."""
-    return flagged.where(~_bad()).drop(*FLAGS, "timestamp")
+    return flagged.where(~_bad()).drop(*FLAGS, "timestamp", RAW_LINE)
 
 
 def quarantine(flagged: DataFrame) -> DataFrame:

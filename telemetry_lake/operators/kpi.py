@@ -25,16 +25,17 @@ def mean(column: str) -> Column:
 
 
 def rounded(value: Column) -> Column:
-    return F.round(value, 2).cast(MEASURE)
+    """Two places; null where the value does not fit, so that one reading cannot stop a run."""
+    return F.round(value, 2).try_cast(MEASURE)
 
 
 # How each aggregate of a KPI is computed and stored.
 AGGREGATES = {
     "avg": lambda c: rounded(mean(c)),
     "sum": lambda c: rounded(F.sum(c)),
-    "total": lambda c: F.round(F.sum(c)).cast("bigint"),
-    "min": lambda c: F.min(c).cast(MEASURE),
-    "max": lambda c: F.max(c).cast(MEASURE),
+    "total": lambda c: F.round(F.sum(c)).try_cast("bigint"),
+    "min": lambda c: F.min(c).try_cast(MEASURE),
+    "max": lambda c: F.max(c).try_cast(MEASURE),
     "stddev": lambda c: rounded(F.stddev_samp(F.col(c).cast("double"))),
 }
 
@@ -110,7 +111,7 @@ def device_health(clean: DataFrame, quarantine: DataFrame, start: str, end: str)
         .agg(
             F.count("*").alias("good"),
             rounded(mean("battery_pct")).alias("avg_battery_pct"),
-            F.min("battery_pct").cast(MEASURE).alias("min_battery_pct"),
+            F.min("battery_pct").try_cast(MEASURE).alias("min_battery_pct"),
         )
     )
     bad = quarantine.where(in_dates(start, end)).groupBy(*keys).agg(F.count("*").alias("bad"))

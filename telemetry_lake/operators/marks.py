@@ -46,14 +46,17 @@ def advance_marks(marks: DataFrame, found: DataFrame) -> DataFrame:
     last_aggregated_dt, any number of rows per key, combined before the shuffle. A null
     or older value changes nothing.
     """
+    return _records(_advanced(marks, found))
+
+
+def _advanced(marks: DataFrame, found: DataFrame) -> DataFrame:
+    """The later values, and the marks' own as `old_...`."""
     new = _latest(found).select("pipeline_id", *(F.col(c).alias(f"new_{c}") for c in VALUES))
-    joined = marks.join(new, "pipeline_id", "full")
-    return _records(joined.withColumns({c: F.greatest(c, f"new_{c}") for c in VALUES}))
+    joined = marks.join(new, "pipeline_id", "full").withColumns({f"old_{c}": F.col(c) for c in VALUES})
+    return joined.withColumns({c: F.greatest(c, f"new_{c}") for c in VALUES})
 
 
 def newer_marks(marks: DataFrame, found: DataFrame) -> DataFrame:
     """The part of `found` that moves a mark forward, one full record per key."""
-    before = marks.select("pipeline_id", *(F.col(c).alias(f"old_{c}") for c in VALUES))
-    after = advance_marks(marks, found).join(before, "pipeline_id", "left")
     same = [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in VALUES]
-    return after.where(~(same[0] & same[1])).select(*MARKS.names)
+    return _records(_advanced(marks, found).where(~(same[0] & same[1])))

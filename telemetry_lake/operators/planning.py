@@ -12,7 +12,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.functions.times import two_digits
+from telemetry_lake.functions.times import in_dates, two_digits
 from telemetry_lake.schemas import GROUPS
 
 # --- fixed values: backfill limit in days, hours looked back without a mark ---
@@ -92,9 +92,9 @@ def check_backfill(start: str, end: str, max_days: int = MAX_BACKFILL_DAYS) -> N
         raise ValueError(f"backfill of {days} days is over the {max_days}-day safety cap; split the range")
 
 
-def backfill_groups(spark: SparkSession, start: str, end: str) -> DataFrame:
+def backfill_groups(spark: SparkSession, start: str, end: str, max_days: int = MAX_BACKFILL_DAYS) -> DataFrame:
     """Every date of the range as a whole day: (dt, hours) with no hours. Marks are not read."""
-    check_backfill(start, end)
+    check_backfill(start, end, max_days)
     return _dates(spark, start, end).select(
         F.col("day").cast("string").alias("dt"), F.array().cast(GROUPS["hours"].dataType).alias("hours")
     )
@@ -112,22 +112,26 @@ def _dates(spark: SparkSession, start: str, end: str) -> DataFrame:
     return spark.range(1).select(F.explode(F.sequence(first, last)).alias("day")).where(F.col("day") >= first)
 
 
-def coverage_gaps(readings: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Expected (key, dt, hour) without rows, for every key in `readings`.
+def coverage_gaps(readings: DataFrame, key: str, start: str, end: str, keys: DataFrame | None = None) -> DataFrame:
+    """Expected hours without rows: (key, dt, hours), for every key and date that lacks some.
 
-    An hour skipped in mid-day never becomes due again by the marks; this finds it. A
-    key's day is reduced to a 24-bit map before the shuffle, and a key holds one number
-    per date, so neither the readings nor the full calendar are ever moved.
+    An hour skipped in mid-day never becomes due again by the marks; this finds it.
+    `keys` says which keys report (by default all that ever did), so a key without any
+    row in the range appears too. Only the range is scanned for hours. A key's day is
+    reduced to a 24-bit map before the shuffle, and a key holds one number per date of
+    the range, so neither the readings nor the full calendar are ever moved.
     """
-    known = readings.where(F.col(key).isNotNull() & F.col("dt").isNotNull())
-    seen_hours = known.groupBy(key, "dt").agg(F.expr("bit_or(shiftleft(1, cast(hour AS int)))").alias("seen"))
-    by_date = F.map_from_entries(F.collect_list(F.struct("dt", "seen"))).alias("by_date")
-    days = (
-        seen_hours.groupBy(key)
-        .agg(by_date)
-        .select(key, "by_date", F.explode(F.sequence(*(_day(date.fromisoformat(d)) for d in (start, end)))).alias("day"))
-        .select(key, F.col("day").cast("string").alias("dt"), "by_date")
-        .withColumn("seen", F.coalesce(F.try_element_at("by_date", F.col("dt")), F.lit(0)))
+    known = F.col(key).isNotNull()
+    keys = (readings if keys is None else keys).where(known).select(key).distinct()
+    seen_hours = (
+        readings.where(known & in_dates(start, end))
+        .groupBy(key, "dt")
+        .agg(F.expr("bit_or(shiftleft(1, cast(hour AS int)))").alias("seen"))
     )
+    by_date = seen_hours.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("dt", "seen"))).alias("by_date"))
+    first, last = (_day(date.fromisoformat(d)) for d in (start, end))
+    days = keys.join(by_date, key, "left").select(key, "by_date", F.explode(F.sequence(first, last)).alias("day"))
+    days = days.select(key, F.col("day").cast("string").alias("dt"), "by_date")
+    days = days.withColumn("seen", F.coalesce(F.try_element_at("by_date", F.col("dt")), F.lit(0)))
     unseen = F.expr("filter(sequence(0, 23), h -> getbit(seen, h) = 0)")
-    return days.select(key, "dt", F.explode(F.transform(unseen, two_digits)).alias("hour"))
+    return days.where("seen <> (1 << 24) - 1").select(key, "dt", F.transform(unseen, two_digits).alias("hours"))

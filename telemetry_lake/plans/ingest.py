@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,21 +51,18 @@ def ingest(
     readings = with_event_ts(normalize(raw))
     with Staging(spark) as staging:
         # First pass, key columns only. Its stored result has a known size, which decides
-        # whether the rows of the second pass have to be shuffled at all.
+        # how the second pass joins the rows with it; the rows are the same either way.
         keys = staging.save(gate.duplicate_keys(readings, key), "duplicate_keys")
-        keys_are_few = keys.count() <= broadcast_keys
-        flagged = gate.dq_gate(readings, rules, required, key, keys, keys_are_few)
-        # Used three times: summary and two writes. Lost blocks are computed again.
-        flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            summary = staging.save(run_summary(flagged), "summary")
-            max_key = run_max_key(summary).first().max_key
-            if max_key is None:
-                return None
-            write_clean(gate.clean(flagged), lake, scattered=not keys_are_few)
-            write_quarantine(gate.quarantine(flagged), lake, scattered=not keys_are_few)
-        finally:
-            flagged.unpersist()
+        flagged = gate.dq_gate(readings, rules, required, key, keys, keys.count() <= broadcast_keys)
+        # Used three times, by the summary and two writes: stored once on the shared folder,
+        # so that a lost executor costs no second parse and join.
+        flagged = staging.save(flagged, "flagged")
+        summary = staging.save(run_summary(flagged), "summary")
+        max_key = run_max_key(summary).first().max_key
+        if max_key is None:
+            return None
+        write_clean(gate.clean(flagged), lake)
+        write_quarantine(gate.quarantine(flagged), lake)
         if prune_stale:
             _prune(spark, lake, partition_manifest(summary))
         run = _run_values(started)

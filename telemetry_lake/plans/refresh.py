@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from telemetry_lake.functions.times import in_dates
 from telemetry_lake.lake import QUARANTINED, READINGS, Lake
@@ -24,7 +25,9 @@ def refresh(spark: SparkSession, lake: Lake, start: str, end: str) -> str | None
     range_replace(spark, lake, DEVICE_HEALTH_TABLE, device_health(good, bad, start, end), start, end)
     for spec in DEVICE_KPIS:
         range_replace(spark, lake, spec.table, daily_kpi(good, spec, start, end), start, end)
-    last = max_clean_date(good, start, end).first().max_dt
+    # The health table just written knows the dates with clean rows; it has a few rows a date.
+    health = spark.table(lake.table(DEVICE_HEALTH_TABLE)).withColumn("dt", F.col("dt").cast("string"))
+    last = max_clean_date(health.where("clean_reading_count > 0"), start, end).first().max_dt
     if last is not None:
         move_mark(spark, lake, REFRESH_ID, "last_aggregated_dt", last)
     return last

@@ -10,10 +10,16 @@ from pyspark.sql import SparkSession
 
 from telemetry_lake.lake import MARK_LOG, Lake, create_tables
 from telemetry_lake.operators.marks import current_marks
-from telemetry_lake.operators.planning import backfill_groups, check_backfill, missing_dates, missing_hours
+from telemetry_lake.operators.planning import (
+    MAX_BACKFILL_DAYS,
+    backfill_groups,
+    check_backfill,
+    missing_dates,
+    missing_hours,
+)
 from telemetry_lake.plans.ingest import INGEST_ID, ingest
 from telemetry_lake.plans.refresh import REFRESH_ID, refresh
-from telemetry_lake.session import configure
+from telemetry_lake.session import job_settings
 from telemetry_lake.sources.raw import DateGroup
 
 MODES = ("full", "ingest_only", "kpi_only")
@@ -35,31 +41,37 @@ def run(
     mode: str = "full",
     backfill: Mapping[str, str] | None = None,
     now: datetime | None = None,
+    max_days: int = MAX_BACKFILL_DAYS,
     **ingest_options,
 ) -> RunResult:
-    """Run the stages of `mode`; `backfill` is {"start_date", "end_date"} instead of the marks."""
+    """Run the stages of `mode`; `backfill` is {"start_date", "end_date"} instead of the marks.
+
+    The session's settings are those of the caller again when it ends.
+    """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}, use one of {MODES}")
     if backfill:
-        check_backfill(backfill["start_date"], backfill["end_date"])
-    configure(spark)
-    create_tables(spark, lake)
+        check_backfill(backfill["start_date"], backfill["end_date"], max_days)
     now = now or datetime.now(timezone.utc)
 
     groups, loaded, dates, aggregated = [], None, None, None
-    if mode != "kpi_only":
-        groups = due_groups(spark, lake, backfill, now)
-        loaded = ingest(spark, lake, groups, **ingest_options) if groups else None
-    if mode != "ingest_only":
-        dates = due_dates(spark, lake, backfill, now)
-        aggregated = refresh(spark, lake, *dates) if dates else None
+    with job_settings(spark):
+        create_tables(spark, lake)
+        if mode != "kpi_only":
+            groups = due_groups(spark, lake, backfill, now, max_days)
+            loaded = ingest(spark, lake, groups, **ingest_options) if groups else None
+        if mode != "ingest_only":
+            dates = due_dates(spark, lake, backfill, now)
+            aggregated = refresh(spark, lake, *dates) if dates else None
     return RunResult(groups, loaded, dates, aggregated)
 
 
-def due_groups(spark: SparkSession, lake: Lake, backfill: Mapping[str, str] | None, now: datetime) -> list[DateGroup]:
+def due_groups(
+    spark: SparkSession, lake: Lake, backfill: Mapping[str, str] | None, now: datetime, max_days: int = MAX_BACKFILL_DAYS
+) -> list[DateGroup]:
     """Date groups of one lake, oldest first: one small row per date."""
     if backfill:
-        due = backfill_groups(spark, backfill["start_date"], backfill["end_date"])
+        due = backfill_groups(spark, backfill["start_date"], backfill["end_date"], max_days)
     else:
         own = spark.createDataFrame([(INGEST_ID,)], ["pipeline_id"])
         due = missing_hours(own.join(_marks(spark, lake), "pipeline_id", "left"), now)

@@ -17,6 +17,8 @@ NUMERIC_COLUMNS = (
     "voltage",
 )
 PARTITION_COLUMNS = ("dt", "hour")
+# The text of a line that cannot be read, for the people who look at the quarantine.
+RAW_LINE = "raw_line"
 # --- end of fixed values ---
 
 
@@ -31,6 +33,7 @@ _PARTITIONS = _fields(PARTITION_COLUMNS, T.StringType())
 RAW = T.StructType(
     _fields(TEXT_COLUMNS + ("timestamp",), T.StringType())
     + _fields(NUMERIC_COLUMNS, T.StringType())
+    + _fields((RAW_LINE,), T.StringType())
     + _PARTITIONS
 )
 
@@ -46,10 +49,11 @@ CLEAN = T.StructType(
 QUARANTINE = T.StructType(
     _fields(TEXT_COLUMNS + ("timestamp",), T.StringType())
     + _fields(NUMERIC_COLUMNS, T.DoubleType())
-    + [T.StructField("event_ts", T.StringType())]
+    + _fields(("event_ts", RAW_LINE), T.StringType())
     + _PARTITIONS
 )
 
+# --- fixed values: columns of the audit, mark and KPI tables ---
 AUDIT = T.StructType(
     _fields(
         ("run_id", "run_timestamp", "target_date", "hours_processed", "status", "started_at", "completed_at"),
@@ -57,8 +61,8 @@ AUDIT = T.StructType(
     )
     + [
         T.StructField("duration_seconds", T.DoubleType()),
-        T.StructField("records_clean", T.IntegerType()),
-        T.StructField("records_quarantined", T.IntegerType()),
+        T.StructField("records_clean", T.LongType()),
+        T.StructField("records_quarantined", T.LongType()),
         T.StructField("dt", T.StringType()),
     ]
 )
@@ -77,27 +81,29 @@ GROUPS = T.StructType(
     ]
 )
 
-# Column lists of the daily KPI tables; dt, the partition column, comes last in Spark.
+# Column lists of the daily KPI tables; dt, the partition column, comes last in Spark. Keys
+# are STRING: a long one must not stop a run, and is never shortened.
 KPI_COLUMNS = {
     "daily_device_health_summary": (
-        "device_type VARCHAR(30), facility_id VARCHAR(50), clean_reading_count BIGINT, "
+        "device_type STRING, facility_id STRING, clean_reading_count BIGINT, "
         "quarantined_reading_count BIGINT, total_reading_count BIGINT, dq_failure_rate_pct DECIMAL(5,2), "
         "avg_battery_pct DECIMAL(10,2), min_battery_pct DECIMAL(10,2)"
     ),
     "daily_motor_vibration_trend": (
-        "device_id VARCHAR(50), facility_id VARCHAR(50), avg_vibration_mm_s DECIMAL(10,2), "
+        "device_id STRING, facility_id STRING, avg_vibration_mm_s DECIMAL(10,2), "
         "max_vibration_mm_s DECIMAL(10,2), reading_count BIGINT"
     ),
     "daily_cold_storage_risk": (
-        "device_id VARCHAR(50), facility_id VARCHAR(50), avg_temperature_c DECIMAL(10,2), "
+        "device_id STRING, facility_id STRING, avg_temperature_c DECIMAL(10,2), "
         "total_door_open_count BIGINT, reading_count BIGINT"
     ),
     "daily_hvac_stability": (
-        "device_id VARCHAR(50), facility_id VARCHAR(50), zone VARCHAR(50), avg_temperature_c DECIMAL(10,2), "
+        "device_id STRING, facility_id STRING, zone STRING, avg_temperature_c DECIMAL(10,2), "
         "stddev_temperature_c DECIMAL(10,2), reading_count BIGINT"
     ),
     "daily_energy_voltage_summary": (
-        "device_id VARCHAR(50), facility_id VARCHAR(50), total_energy_kwh DECIMAL(10,2), "
+        "device_id STRING, facility_id STRING, total_energy_kwh DECIMAL(10,2), "
         "avg_voltage DECIMAL(10,2), min_voltage DECIMAL(10,2), reading_count BIGINT"
     ),
 }
+# --- end of fixed values ---

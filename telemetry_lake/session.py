@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,9 +34,11 @@ CREATION_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-# Input per shuffle partition to start with, and the most partitions worth scheduling.
-PARTITION_BYTES = 128 << 20
-MAX_PARTITIONS = 100_000
+# Input per shuffle partition to start with: what an executor's core sorts in memory.
+PARTITION_BYTES = 256 << 20
+# What Spark takes a table for whose size it does not know.
+UNKNOWN_SIZE = (1 << 63) - 1
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -44,6 +48,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def job_settings(spark: SparkSession) -> Iterator[None]:
+    """The job settings for a while; afterwards the session has its own again.
+
+    For work that ends inside: a lazy result that is read later runs with the settings of then.
+    """
+    names = [*JOB_CONF, INITIAL_PARTITIONS]
+    before = {name: spark.conf.get(name, None) for name in names}
+    configure(spark)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def build_session(app_name: str = "telemetry_lake", **conf: str) -> SparkSession:
     """Create (or get) a session with the job settings; `conf` wins over them.
 
@@ -58,12 +81,16 @@ def build_session(app_name: str = "telemetry_lake", **conf: str) -> SparkSession
 def size_shuffles(scan: DataFrame, bytes_per_partition: int = PARTITION_BYTES) -> int:
     """Let shuffles of the scanned rows start with enough partitions to fit in memory.
 
-    The number follows the size of the files behind `scan` and is never below
-    spark.sql.shuffle.partitions; AQE merges the partitions that turn out small.
+    The number follows the size of the files behind `scan`, without an upper bound, and
+    is never below spark.sql.shuffle.partitions; AQE merges the partitions that turn out
+    small. A scan whose size the catalog does not know leaves the setting alone. Classic
+    sessions only: the size of a plan is not part of the Connect protocol.
     """
     spark = scan.sparkSession
     size = int(str(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    partitions = max(floor, min(MAX_PARTITIONS, math.ceil(size / bytes_per_partition)))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions)
+    if size >= int(spark.conf.get("spark.sql.defaultSizeInBytes", str(UNKNOWN_SIZE))):
+        return floor
+    partitions = max(floor, math.ceil(size / bytes_per_partition))
+    spark.conf.set(INITIAL_PARTITIONS, partitions)
     return partitions

@@ -1,53 +1,65 @@
-"""Sinks for readings. All replace whole dt/hour partitions, so a rerun gives the same files."""
+"""Sinks for readings. A rerun gives the same rows: tables replace whole hours, landing its own batch."""
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from telemetry_lake import storage
 from telemetry_lake.functions.times import date_text, event_time, event_time_text, hour_text
-from telemetry_lake.lake import QUARANTINED, READINGS, Lake
-from telemetry_lake.schemas import CLEAN, QUARANTINE
+from telemetry_lake.lake import QUARANTINED, RAW_READINGS, READINGS, Lake, create_tables, register_partitions
+from telemetry_lake.schemas import CLEAN, QUARANTINE, RAW_LINE
 
 
-def _replace_partitions(df: DataFrame, table: str, scattered: bool, *order: str) -> None:
+def _replace_partitions(df: DataFrame, table: str, *order: str) -> None:
     """Overwrite the partitions found in `df`; the insert lists them in the catalog.
 
-    `scattered` says every task holds rows of every hour (after a shuffle on another
-    key): a rebalance then gathers an hour into few files and splits a large one. Rows
-    still in scan order need no such shuffle. Sorting by device type inside an hour
-    replaces the writer's own sort and lets later scans skip row groups.
+    A task holds rows of many hours, whether they come from a shuffle or from a scan that
+    packs small files. The rebalance gathers an hour into few files and splits a large
+    one. Sorting by device type inside an hour replaces the writer's own sort and lets
+    later scans skip row groups.
     """
-    if scattered:
-        df = df.hint("rebalance", "dt", "hour")
+    df = df.hint("rebalance", "dt", "hour")
     df.sortWithinPartitions("dt", "hour", *order).write.insertInto(table, overwrite=True)
 
 
-def write_clean(df: DataFrame, lake: Lake, scattered: bool = False) -> None:
+def write_clean(df: DataFrame, lake: Lake) -> None:
     """Clean readings as Parquet."""
-    _replace_partitions(df.select(*CLEAN.names), lake.table(READINGS), scattered, "device_type", "device_id")
+    _replace_partitions(df.select(*CLEAN.names), lake.table(READINGS), "device_type", "device_id")
 
 
-def write_quarantine(df: DataFrame, lake: Lake, scattered: bool = False) -> None:
-    """Bad readings as JSON, for people to look at."""
+def write_quarantine(df: DataFrame, lake: Lake) -> None:
+    """Bad readings as JSON, for people to look at; with the text of lines that cannot be read."""
     as_text = df.withColumn("event_ts", event_time_text(F.col("event_ts")))
-    _replace_partitions(as_text.select(*QUARANTINE.names), lake.table(QUARANTINED), scattered)
+    if RAW_LINE not in df.columns:
+        as_text = as_text.withColumn(RAW_LINE, F.lit(None).cast("string"))
+    _replace_partitions(as_text.select(*QUARANTINE.names), lake.table(QUARANTINED))
 
 
-def land_raw(
-    df: DataFrame, path: str, landed_at: datetime, time_col: str = "timestamp", scattered: bool = False
-) -> None:
-    """Write incoming readings as JSON lines below the dt/hour of their own time (UTC).
+def land_raw(df: DataFrame, lake: Lake, batch: str, landed_at: datetime, time_col: str = "timestamp") -> None:
+    """Add a batch of incoming readings to the raw table, as JSON lines below the hour of their own time (UTC).
 
-    A reading whose time cannot be read is filed under the hour it landed in, so that
-    the gate gets to see it. No readings write nothing. `scattered` is for an import of
-    many hours mixed in every task.
+    `batch` names the batch and is part of its files' names. Landing it again replaces its
+    own files and nothing else, so a late or repeated batch never takes rows of another
+    away. Its hours are listed in the catalog. `landed_at` belongs to the batch: a reading
+    whose time cannot be read is filed under that hour, so that the gate gets to see it.
+    No readings write nothing.
     """
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
+        raise ValueError(f"batch {batch!r} is not made of letters, digits, _ and -")
+    spark = df.sparkSession
     ts = F.coalesce(event_time(F.col(time_col)), F.lit(landed_at.strftime("%Y-%m-%d %H:00:00")).cast("timestamp"))
     landed = df.withColumns({"dt": date_text(ts), "hour": hour_text(ts)})
-    if scattered:
-        landed = landed.hint("rebalance", "dt", "hour")
-    writer = landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    hours = landed.select("dt", "hour").distinct()
+    name, path = f"batch_{batch}.", lake.path(RAW_READINGS)
+    create_tables(spark, lake, [RAW_READINGS])
+    # At most one row per hour of the batch.
+    for row in hours.collect():
+        for file in storage.matching(spark, f"{path}/dt={row.dt}/hour={row.hour}/{name}-*"):
+            storage.delete(spark, file)
+    writer = landed.hint("rebalance", "dt", "hour").write.mode("append").option("mapreduce.output.basename", name)
     writer.partitionBy("dt", "hour").json(path)
+    register_partitions(spark, lake, RAW_READINGS, hours)

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetry_lake import storage
 from telemetry_lake.functions.times import in_dates
-from telemetry_lake.lake import MARK_LOG, PIPELINE_RUNS, Lake, drop_partitions, listed_partitions
+from telemetry_lake.lake import MARK_LOG, PIPELINE_RUNS, Lake, drop_partitions
+from telemetry_lake.operators.marks import current_marks
 from telemetry_lake.schemas import AUDIT, MARKS
+from telemetry_lake.storage import Staging
+
+# Files of the mark log before it is compacted.
+LOG_FILES = 16
 
 
 def replaced_range(old: DataFrame, new: DataFrame, start: str, end: str) -> DataFrame:
@@ -23,16 +30,14 @@ def range_replace(spark: SparkSession, lake: Lake, table: str, new: DataFrame, s
     are dropped. Running it again after a failure gives the same table.
     """
     columns = spark.table(lake.table(table)).columns
-    new = new.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with Staging(spark) as staging:
+        new = staging.save(new.select(*columns), table)
         # At most one value per date of the range.
         present = {str(row.dt) for row in new.select("dt").distinct().collect()}
         new.hint("rebalance", "dt").write.insertInto(lake.table(table), overwrite=True)
-    finally:
-        new.unpersist()
-    listed = [folder.removeprefix("dt=") for folder in listed_partitions(spark, lake, table)]
-    stale = [{"dt": dt} for dt in listed if start <= dt <= end and dt not in present]
-    drop_partitions(spark, lake, table, stale)
+    first, last = date.fromisoformat(start), date.fromisoformat(end)
+    days = (str(first + timedelta(days=n)) for n in range((last - first).days + 1))
+    drop_partitions(spark, lake, table, [{"dt": day} for day in days if day not in present])
 
 
 def append_audit(records: DataFrame, lake: Lake) -> None:
@@ -41,4 +46,17 @@ def append_audit(records: DataFrame, lake: Lake) -> None:
 
 
 def append_marks(records: DataFrame, lake: Lake) -> None:
-    records.select(*(F.col(c).cast("string") for c in MARKS.names)).write.insertInto(lake.table(MARK_LOG))
+    """Add mark records; a log of more than LOG_FILES files is replaced by one record per key.
+
+    The maxima are added before the files they stand for go, so a crash loses no mark.
+    """
+    spark = records.sparkSession
+    records = records.select(*(F.col(c).cast("string") for c in MARKS.names))
+    records.coalesce(1).write.insertInto(lake.table(MARK_LOG))
+    files = storage.matching(spark, f"{lake.path(MARK_LOG)}/*.parquet")
+    if len(files) > LOG_FILES:
+        marks = current_marks(spark.read.schema(MARKS).parquet(*files))
+        marks.coalesce(1).write.insertInto(lake.table(MARK_LOG))
+        for file in files:
+            storage.delete(spark, file)
+        spark.catalog.refreshTable(lake.table(MARK_LOG))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from telemetry_lake import storage
 from telemetry_lake.functions.times import event_time
-from telemetry_lake.schemas import NUMERIC_COLUMNS, RAW
+from telemetry_lake.schemas import NUMERIC_COLUMNS, RAW, RAW_LINE
 
 # A date group is {"dt": "YYYY-MM-DD", "hours": ["00", ...]}; no hours = the whole day.
 DateGroup = Mapping
@@ -41,9 +41,9 @@ def read_raw(spark: SparkSession, path: str, groups: Iterable[DateGroup] | None
 
     With groups only their directories are listed, not years of others. A folder
     that is not there counts as no rows. A line that is not JSON becomes a row of
-    nulls, which the gate quarantines.
+    nulls with the line in `raw_line`, which the gate quarantines.
     """
-    reader = spark.read.schema(RAW).option("basePath", path)
+    reader = spark.read.schema(RAW).option("basePath", path).option("columnNameOfCorruptRecord", RAW_LINE)
     if groups is None:
         return reader.json(path) if storage.exists(spark, path) else spark.createDataFrame([], RAW)
     groups = list(groups)
@@ -59,8 +59,15 @@ def _folder_pattern(path: str, group: DateGroup) -> str:
 
 
 def normalize(df: DataFrame, numeric_cols: Iterable[str] = NUMERIC_COLUMNS) -> DataFrame:
-    """Numbers spelled as ints, floats or text become DOUBLE; anything else becomes null."""
-    return df.withColumns({c: F.col(c).try_cast("double") for c in numeric_cols})
+    """Numbers spelled as ints, floats or text become DOUBLE; anything else becomes null.
+
+    So do "NaN" and "Infinity": one of them would blank every average it goes into.
+    """
+    return df.withColumns({c: _finite(F.col(c).try_cast("double")) for c in numeric_cols})
+
+
+def _finite(number: Column) -> Column:
+    return F.when(F.abs(number) < float("inf"), number)  # Spark orders NaN above infinity
 
 
 def with_event_ts(df: DataFrame, text_col: str = "timestamp") -> DataFrame:

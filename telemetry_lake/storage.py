@@ -1,4 +1,7 @@
-"""Shared-folder staging and the few file-system calls the DataFrame API lacks."""
+"""Shared-folder staging and the few file-system calls the DataFrame API lacks.
+
+These calls go through the JVM, so the jobs need a classic session, not Spark Connect.
+"""
 
 from __future__ import annotations
 

@@ -34,7 +34,11 @@ CASES = {
     "above": (reading(temperature_c="26.01"), ("_range",)),
     "below": (reading(humidity_pct="29.9"), ("_range",)),
     "sentinel int": (reading(kind="motor", rpm="999999"), ("_range",)),
-    "not a number": (reading(kind="motor", rpm="NaN"), ("_range",)),
+    "not a number": (reading(kind="motor", rpm="NaN"), ()),
+    "infinite": (reading(kind="motor", rpm="-Infinity"), ()),
+    "battery not a number": (reading(battery="NaN"), ("_null",)),
+    "infinite battery": (reading(battery="Infinity"), ("_null",)),
+    "time without a date": (reading(ts="12:30"), ("_null",)),
     "null sensor value": (reading(temperature_c=None, humidity_pct=None), ()),
     "text for a number": (reading(temperature_c="hot"), ()),
     "rule of another type": (reading(kind="smart_meter", temperature_c="999999"), ()),

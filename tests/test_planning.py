@@ -127,9 +127,23 @@ def test_coverage_gaps(spark):
     rows += [("a", "2026-01-02", f"{h:02d}") for h in range(24)] + [("b", "2026-01-02", "23")]
     rows += [(None, "2026-01-01", "00"), ("a", None, "00"), ("a", "2025-12-31", "00")]
     gaps = ops.coverage_gaps(spark.createDataFrame(rows, ["device_id", "dt", "hour"]), "device_id", "2026-01-01", "2026-01-02")
-    found = {tuple(r) for r in gaps.collect()}
-    assert {g for g in found if g[0] == "a"} == {("a", "2026-01-01", "03"), ("a", "2026-01-01", "17")}
-    assert sum(g[0] == "b" for g in found) == 47 and len(found) == 49
+    every = [f"{h:02d}" for h in range(24)]
+    expected = {("a", "2026-01-01"): ["03", "17"], ("b", "2026-01-01"): every, ("b", "2026-01-02"): every[:23]}
+    assert {(r.device_id, r.dt): r.hours for r in gaps.collect()} == expected
+
+
+def test_coverage_of_given_keys_scans_the_range_only(spark, tmp_path):
+    rows = [("a", "2026-01-01", "05"), ("old", "2025-01-01", "00")]
+    readings = spark.createDataFrame(rows, ["device_id", "dt", "hour"])
+    readings.write.partitionBy("dt").parquet(str(tmp_path / "t"))
+    table = spark.read.schema("device_id string, hour string, dt string").parquet(str(tmp_path / "t"))
+    keys = spark.createDataFrame([("a",), ("new",)], ["device_id"])
+    gaps = ops.coverage_gaps(table, "device_id", "2026-01-01", "2026-01-01", keys)
+    assert {(r.device_id, len(r.hours)) for r in gaps.collect()} == {("a", 23), ("new", 24)}
+    assert {r.device_id for r in ops.coverage_gaps(table, "device_id", "2026-01-01", "2026-01-01").collect()} == {"a", "old"}
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert scans and all("dt#" in x and ">= 2026-01-01" in x and "<= 2026-01-01" in x for x in scans)
 
 
 def test_audit_skips_dates_not_reached(spark):
