@@ -153,7 +153,9 @@ def _left_over(members: DataFrame, sets: DataFrame, found: DataFrame, percent: i
     main = counted.groupBy("pivot").agg(
         F.max(F.struct("many", "root")).alias("main"), F.sum("many").alias("all"), F.count("*").alias("roots")
     )
+    # Written, so that the join that follows deals both sides anew and can split a frequent pivot.
     main = main.where("roots > 1 AND all > 2").select("pivot", F.col("main.root").alias("main"), "main.many", "all")
+    main = stage(main, "unsettled")
     # The pivot itself has met all of the others.
     unsettled = rooted.where("node <> pivot").join(main, "pivot").withColumn("stray", F.col("root") != F.col("main"))
     of_kind = F.when(F.col("stray"), F.col("all") - F.col("many")).otherwise(F.col("many"))
