@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from telemetry_lake.llm.common import map_arrow
+from telemetry_lake.llm.common import map_arrow, stage
 
 Q = 8
 EDIT_RATE = 0.1
@@ -190,10 +190,10 @@ def _length(item: np.ndarray, chars: np.ndarray, cost: int) -> int:
 
 def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", chars: int = BLOCK_CHARS):
     """The benchmark's items in blocks of about `chars` characters, one after the other."""
-    items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("length(text) > 0")
+    items = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("length(text) > 0").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = -(-total // chars)
-    for number in range(count):
+    for number in range(count):  # of a repeated item one row is enough
         own = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(count)) == number).collect()
         yield Index.of(sorted(((row.id, row.text) for row in own), key=repr))
 
@@ -223,9 +223,13 @@ def contaminated(
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chars: int = BLOCK_CHARS) -> DataFrame:
-    """The documents without any benchmark item, with their own columns; no shuffle, one pass per block."""
+    """The documents without any benchmark item, with their own columns; no shuffle, one pass per block.
+
+    What one block leaves is written before the next, so that a task holds one block only.
+    """
     left = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    for index in blocks(benchmark, chars=chars):
+    for number, index in enumerate(blocks(benchmark, chars=chars)):
+        left = stage(left, "left") if number else left
         shared = docs.sparkSession.sparkContext.broadcast(vars(index))
 
         def work(batches, shared=shared):

@@ -287,6 +287,7 @@ def test_decontamination_odd_rows(spark, odd_docs, no_docs):
     clean = decontaminate.drop_contaminated(odd_docs, bench)
     assert clean.columns == odd_docs.columns
     assert ids_of(clean) == [i for i in ALL_IDS if i != 1]
+    assert ids_of(decontaminate.drop_contaminated(odd_docs, bench.union(bench), chars=20)) == [i for i in ALL_IDS if i != 1]
     assert decontaminate.contaminated(no_docs, bench).count() == 0
     assert ids_of(decontaminate.drop_contaminated(odd_docs, bench.limit(0))) == ALL_IDS
 
