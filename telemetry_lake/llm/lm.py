@@ -67,12 +67,19 @@ class Ids:
     def __init__(self, tokenizer: str, end_id: int):
         self.encoder, self.end_id = worker_encoder(tokenizer), end_id
 
-    def of(self, words: list[bytes]) -> list[np.ndarray]:
-        ids, starts = self.encoder.encode([w.decode("utf-8", "replace").strip() for w in words])
-        end, none = np.array([self.end_id], dtype=np.uint32), np.zeros(1, dtype=np.uint32)
-        cuts = zip(words, starts[:-1].tolist(), starts[1:].tolist(), strict=True)
-        # The tokenizer may drop all of a word of rare white space; id 0 stands for it then.
-        return [end if w == END else ids[a:b] if a < b else none for w, a, b in cuts]
+    def of(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in one array, and how many each has.
+
+        The tokenizer may drop all of a word of rare white space; id 0 stands for it then.
+        """
+        ids, starts = self.encoder.encode(words)
+        many = np.diff(starts)
+        sizes = np.maximum(many, 1)
+        firsts = np.cumsum(sizes) - sizes
+        out = np.zeros(int(sizes.sum()), dtype=np.int64)
+        out[np.arange(len(ids)) + np.repeat(firsts - starts[:-1], many)] = ids
+        out[firsts[[k for k, word in enumerate(words) if word == END]]] = self.end_id
+        return out, sizes
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -105,8 +112,8 @@ def with_ids(counts: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         encoder = Ids(tokenizer, end_id)
         for batch in batches:
             words = batch.column(0).to_pylist()
-            ids = encoder.of(words)
-            lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, ids)]).astype(np.int32), np.concatenate(ids).astype(np.int32))
+            ids, sizes = encoder.of(words)
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), ids.astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in words], pa.int64()), batch.column(1), lists], ["hash", "n", "ids"])
 
     return map_arrow(counts, work, "hash long, n long, ids array<int>", text_column=0)
@@ -182,21 +189,21 @@ def sample_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, end
                 words = [*text.lower().split(), END]
                 chosen = xxhash.xxh3_64_intdigest(text) % SAMPLE
                 for start in range(chosen * BLOCK_WORDS, len(words), SAMPLE * BLOCK_WORDS):
-                    blocks.append(words[max(0, start - 1) : start + A.WINDOW])
+                    blocks.append(words[max(0, start - 1) : start + BLOCK_WORDS])
                     first.append(start == 0)
                 if chosen * BLOCK_WORDS >= len(words):  # a short text gives its beginning
-                    blocks.append(words[: A.WINDOW])
+                    blocks.append(words[:BLOCK_WORDS])
                     first.append(True)
-            flat = [w for block in blocks for w in block]
-            ids, at, rows = encoder.of(flat), 0, []
+            ids, sizes = encoder.of([w for block in blocks for w in block])
+            units, rows, word, at = unit.value[ids], [], 0, 0
+            ends = np.cumsum(sizes)
             for block, begins in zip(blocks, first, strict=True):
-                own = ids[at : at + len(block)]
-                at += len(block)
-                units = [unit.value[one] for one in own]
-                units = [np.array([A.START])] + units if begins else [units[0][-1:]] + units[1:]
-                row = np.concatenate(units)[: A.WINDOW + 1]
+                stop = int(ends[word + len(block) - 1])
+                # Of the word before only its last unit, or START.
+                row = np.append(A.START, units[at:stop]) if begins else units[ends[word] - 1 : stop]
+                word, at = word + len(block), stop
                 if len(row) > 1:
-                    rows.append(row)
+                    rows.append(row[: A.WINDOW + 1])
             ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
             values = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, values)], ["units"])
@@ -348,12 +355,16 @@ class _Scorer:
         hashes = np.array([word_hash(w) for w in words], dtype=np.int64)
         at = np.minimum(np.searchsorted(all_hashes, hashes), max(0, len(all_hashes) - 1))
         sent = all_hashes[at] == hashes if len(all_hashes) else np.zeros(len(words), dtype=bool)
-        encoded = iter(self.encoder.of([w for w, there in zip(words, sent, strict=True) if not there]))
-        ids = [flat[starts[k] : starts[k + 1]] if there else next(encoded) for k, there in zip(at.tolist(), sent.tolist(), strict=True)]
-        counts = np.where(sent, all_counts[at], -1) if len(all_hashes) else np.full(len(words), -1)
-        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
-        for column, new in zip(self.columns, (hashes, counts, [len(own) for own in ids], np.concatenate(ids)), strict=True):
-            column.append(np.asarray(new, dtype=np.int64))
+        order = np.argsort(~sent, kind="stable")  # sent words first
+        own = at[sent]
+        many = starts[own + 1] - starts[own]
+        places = np.arange(many.sum()) + np.repeat(starts[own] - np.cumsum(many) + many, many)
+        ids, sizes = self.encoder.of([words[k] for k in order[len(own) :]])
+        counts = np.concatenate([all_counts[own], np.full(len(sizes), -1)])
+        self.known.update(zip((words[k] for k in order), range(len(self.known), len(self.known) + len(words)), strict=True))
+        new = hashes[order], counts, np.concatenate([many, sizes]), np.concatenate([flat[places], ids])
+        for column, values in zip(self.columns, new, strict=True):
+            column.append(values.astype(np.int64))
 
     def score(self, texts: list[bytes]):
         if len(self.known) > HELD_WORDS:

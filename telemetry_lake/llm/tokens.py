@@ -168,9 +168,11 @@ class Encoder:
     def encode(self, texts: list[str | bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text's ids start."""
         raw = [text.encode() if isinstance(text, str) else text or b"" for text in texts]
-        odd = {k for k, text in enumerate(raw) if any(special in text for special in self.special)}
-        cut = [b"" if k in odd else text for k, text in enumerate(raw)]
-        out, many = self._encode_cut(cut)
+        odd: set[int] = set()
+        joined = b"\n".join(raw)
+        if any(special in joined for special in self.special):
+            odd = {k for k, text in enumerate(raw) if any(special in text for special in self.special)}
+        out, many = self._encode_cut([b"" if k in odd else text for k, text in enumerate(raw)] if odd else raw)
         if odd:
             parts = np.split(out, np.cumsum(many)[:-1])
             for k in odd:
