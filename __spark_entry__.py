@@ -260,6 +260,14 @@ def run_max_key(spark, sf_dir):
     return ops.run_max_key(_readings(spark, sf_dir))
 
 
+def empty_input_guard(spark, sf_dir):
+    """Groups after the last date find nothing: no rows, no latest key, hence nothing to claim."""
+    readings = _readings(spark, sf_dir)
+    after = [{"dt": _after(_window(readings)[1]).strftime("%Y-%m-%d"), "hours": []}]
+    found = sources.where_groups(readings, after)
+    return found.agg(F.max(mark_key()).alias("max_key"), F.count("*").alias("rows")).fillna("none", ["max_key"])
+
+
 def counts_per_date(spark, sf_dir):
     return ops.counts_per_date(_summary(spark, sf_dir))
 
@@ -375,6 +383,17 @@ def missing_hours(spark, sf_dir):
     return due.select("pipeline_id", "dt", F.explode("hours").alias("hour"))
 
 
+def ordered_groups(spark, sf_dir):
+    """Due groups in the order they are worked on, oldest first, with the readings that wait there."""
+    readings = _readings(spark, sf_dir)
+    start, end = _window(readings)
+    mark = spark.createDataFrame([("p", start, "11")], ["pipeline_id", "last_loaded_dt", "last_loaded_hour"])
+    waiting = readings.groupBy("dt").agg(F.count("*").alias("rows"))
+    due = ops.missing_hours(mark, _after(end)).join(waiting, "dt", "left").fillna(0, ["rows"])
+    groups = [(n, r.dt, ",".join(r.hours), r.rows) for n, r in enumerate(due.orderBy("dt").collect())]
+    return spark.createDataFrame(groups, "position long, dt string, hours string, rows long")
+
+
 def missing_dates(spark, sf_dir):
     """Every device feeds a KPI of its own that stopped at the device's first date."""
     readings = _readings(spark, sf_dir)
@@ -472,6 +491,7 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         dq_quarantine,
         run_summary,
         run_max_key,
+        empty_input_guard,
         counts_per_date,
         partition_manifest,
         audit_records,
@@ -484,6 +504,7 @@ def lake_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         max_clean_date,
         avg_temp_by_type,
         missing_hours,
+        ordered_groups,
         missing_dates,
         backfill_groups,
         advance_marks,
@@ -687,6 +708,9 @@ def lake_sql() -> dict[str, str]:
                  strftime(event_ts, '%Y-%m-%dT%H:%M:%S+00:00') AS "timestamp" FROM bad""",
         "run_summary": "SELECT * FROM summary",
         "run_max_key": "SELECT max(dt || 'T' || hour) AS max_key FROM readings",
+        "empty_input_guard": """
+          SELECT COALESCE(max(dt || 'T' || hour), 'none') AS max_key, count(*) AS "rows" FROM readings
+          WHERE dt > (SELECT max(dt) FROM readings)""",
         "counts_per_date": "SELECT * FROM per_date",
         "partition_manifest": """
           SELECT dt, hour, bool_or(NOT is_bad) AS has_clean, bool_or(is_bad) AS has_quarantine
@@ -747,6 +771,14 @@ def lake_sql() -> dict[str, str]:
           SELECT device_id AS pipeline_id, strftime(h, '%Y-%m-%d') AS dt, strftime(h, '%H') AS hour
           FROM (SELECT device_id, unnest(generate_series(last_ts + INTERVAL 1 HOUR, 
                 (SELECT CAST(max(dt) AS TIMESTAMP) + INTERVAL 28 HOUR FROM readings), INTERVAL 1 HOUR)) AS h FROM marks)""",
+        "ordered_groups": f"""
+          SELECT row_number() OVER (ORDER BY dt) - 1 AS position, dt, hours, COALESCE(n, 0) AS "rows"
+          FROM (SELECT strftime(ts, '%Y-%m-%d') AS dt, string_agg(strftime(ts, '%H'), ',' ORDER BY ts) AS hours
+                FROM ({calendar} UNION ALL
+                      SELECT unnest(generate_series(CAST(max(dt) AS TIMESTAMP) + INTERVAL 24 HOUR,
+                             CAST(max(dt) AS TIMESTAMP) + INTERVAL 28 HOUR, INTERVAL 1 HOUR)) FROM readings)
+                WHERE ts >= (SELECT CAST(min(dt) AS TIMESTAMP) + INTERVAL 12 HOUR FROM readings) GROUP BY 1)
+          LEFT JOIN (SELECT dt, count(*) AS n FROM readings GROUP BY dt) USING (dt)""",
         "missing_dates": """
           SELECT 'kpi-' || device_id AS pipeline_id, start_date, end_date FROM (
             SELECT device_id, strftime(CAST(first_dt AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') AS start_date,
