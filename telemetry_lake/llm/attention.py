@@ -71,20 +71,24 @@ def start(counts: np.ndarray, pairs: np.ndarray) -> Parameters:
     return p
 
 
-# Scores are kept within these bounds, so that exponentials need no maximum taken off first.
-BOUND = np.float32(60)
+# Scores are kept below this bound, so that exponentials need no maximum taken off first,
+# and their sums above the least, so that logarithms stay finite.
+BOUND, LEAST = np.float32(60), np.float32(1e-30)
 _CAUSAL = np.tril(np.ones((WINDOW, WINDOW), dtype=np.float32))
+_ONES = np.ones((max(WINDOW, GROUPS, MEMBERS), 1), dtype=np.float32)
 
 
 def _exponentials(scores: np.ndarray) -> np.ndarray:
     """In place."""
-    np.clip(scores, -BOUND, BOUND, out=scores)
+    np.minimum(scores, BOUND, out=scores)
     return np.exp(scores, out=scores)
 
 
 def _sums(rows: np.ndarray) -> np.ndarray:
     """Row sums, by a product with ones, which is faster along short rows."""
-    return (rows @ np.ones((rows.shape[-1], 1), dtype=rows.dtype))[..., 0]
+    out = (rows @ _ONES[: rows.shape[-1]].astype(rows.dtype, copy=False))[..., 0]
+    out += rows.dtype.type(LEAST)
+    return out
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -107,30 +111,85 @@ def _hidden(p: Parameters, inputs: np.ndarray) -> tuple[np.ndarray, ...]:
     v = np.ones((n, WINDOW, WIDTH + 1), dtype=qkv.dtype)
     v[..., :WIDTH] = qkv[..., 2 * WIDTH :]
     mixed = (weights @ v).reshape(n * WINDOW, WIDTH + 1)
-    sums = mixed[:, WIDTH:]
+    sums = mixed[:, WIDTH:] + qkv.dtype.type(LEAST)
     mixed = mixed[:, :WIDTH] / sums
     return flat + mixed @ p["out"], x, q, k, v[..., :WIDTH], weights, sums.reshape(n, WINDOW, 1), mixed
 
 
 def _by_group(targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order of the targets by group, and where each group starts in it."""
-    groups = targets // MEMBERS
+    groups = (targets // MEMBERS).astype(np.uint8)  # sorted by counting, as they are so small
     order = np.argsort(groups, kind="stable")
-    return order, np.searchsorted(groups[order], np.arange(GROUPS + 1))
+    return order, np.concatenate([[0], np.cumsum(np.bincount(groups, minlength=GROUPS))])
+
+
+class Reader:
+    """Log probabilities under fixed parameters, with all products that can be made beforehand.
+
+    Hidden states are made window by window, in pieces that fit the cache; the output
+    scores for OUTPUT_ROWS of them at once, which shares the work of going through the groups.
+    """
+
+    def __init__(self, p: Parameters):
+        self.p = p
+        q, k, v = np.split(p["qkv"], 3, axis=1)
+        # One head: mixing values and then mapping them out is mixing values mapped out before.
+        self.qkv = np.ascontiguousarray(np.concatenate([q * q.dtype.type(WIDTH**-0.5), k, v @ p["out"]], axis=1))
+        self.causal = _CAUSAL.astype(q.dtype)
+        self.hidden: list[np.ndarray] = []
+        self.targets: list[np.ndarray] = []
+        self.rows = 0
+
+    def _states(self, inputs: np.ndarray) -> np.ndarray:
+        n = len(inputs)
+        x = self.p["embed"][inputs]
+        x += self.p["place"]
+        x = x.reshape(n * WINDOW, WIDTH)
+        qkv = (x @ self.qkv).reshape(n, WINDOW, 3 * WIDTH)
+        weights = _exponentials(qkv[..., :WIDTH] @ qkv[..., WIDTH : 2 * WIDTH].transpose(0, 2, 1))
+        weights *= self.causal
+        v = np.ones((n, WINDOW, WIDTH + 1), dtype=qkv.dtype)
+        v[..., :WIDTH] = qkv[..., 2 * WIDTH :]
+        mixed = (weights @ v).reshape(n * WINDOW, WIDTH + 1)
+        sums = mixed[:, WIDTH:] + qkv.dtype.type(LEAST)
+        x += mixed[:, :WIDTH] / sums
+        return x
+
+    def add(self, inputs: np.ndarray, targets: np.ndarray, wanted: np.ndarray) -> None:
+        """Windows of input units, their targets, and which of these are wanted."""
+        self.hidden.append(self._states(inputs)[np.flatnonzero(wanted)])
+        self.targets.append(targets[wanted])
+        self.rows += len(self.targets[-1])
+
+    def take(self) -> np.ndarray:
+        """Log probabilities of the wanted targets since the last call, in their order."""
+        hidden, own = np.concatenate(self.hidden), np.concatenate(self.targets)
+        self.hidden, self.targets, self.rows = [], [], 0
+        group, member = own // MEMBERS, own % MEMBERS
+        scores = hidden @ self.p["group"]
+        scores += self.p["group_bias"]
+        out = scores[np.arange(len(own)), group] - np.log(_sums(_exponentials(scores)))
+        order, starts = _by_group(own)
+        hidden, member = hidden[order], member[order]
+        more = np.empty(len(own), dtype=out.dtype)
+        for g in np.flatnonzero(np.diff(starts)):
+            part = slice(starts[g], starts[g + 1])
+            scores = hidden[part] @ self.p["unit"][g]
+            scores += self.p["unit_bias"][g]
+            more[part] = scores[np.arange(len(scores)), member[part]] - np.log(_sums(_exponentials(scores)))
+        out[order] += more
+        return out
+
+
+# Hidden states that are scored at once.
+OUTPUT_ROWS = 1 << 15
 
 
 def log_probabilities(p: Parameters, inputs: np.ndarray, targets: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Natural log probability of each wanted target, in the order of `wanted`'s true cells."""
-    hidden = _hidden(p, inputs)[0][wanted.ravel()]
-    own = targets[wanted]
-    scores = hidden @ p["group"] + p["group_bias"]
-    out = scores[np.arange(len(own)), own // MEMBERS] - np.log(_sums(_exponentials(scores)))
-    order, starts = _by_group(own)
-    for g in np.flatnonzero(np.diff(starts)):
-        rows = order[starts[g] : starts[g + 1]]
-        scores = hidden[rows] @ p["unit"][g] + p["unit_bias"][g]
-        out[rows] += scores[np.arange(len(rows)), own[rows] % MEMBERS] - np.log(_sums(_exponentials(scores)))
-    return out
+    reader = Reader(p)
+    reader.add(inputs, targets, wanted)
+    return reader.take()
 
 
 def gradients(p: Parameters, inputs: np.ndarray, targets: np.ndarray) -> Parameters:

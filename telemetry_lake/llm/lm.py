@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,7 @@ WORD_SHARE = 0.5
 # Words whose counts and ids go to every task: 2^20 take some 30 MB.
 SENT_WORDS = 1 << 20
 # Distinct words that a task counts before it passes them on, or remembers when scoring.
-HELD_WORDS = 1 << 18
+HELD_WORDS = 1 << 19
 # Windows that are scored at once.
 CHUNK = 256
 # Stands for a document's end among the words, none of which has white space.
@@ -341,7 +342,7 @@ class _Scorer:
 
     def __init__(self, table, tokens, unit, share, parameters, encoder):
         self.table, self.tokens, self.unit, self.share = table, tokens, unit, share
-        self.parameters, self.encoder = parameters, encoder
+        self.reader, self.encoder = A.Reader(parameters), encoder
         self._forget()
 
     def _forget(self) -> None:
@@ -370,7 +371,7 @@ class _Scorer:
         if len(self.known) > HELD_WORDS:
             self._forget()
         split = [[*text.lower().split(), END] for text in texts]
-        flat = [w for own in split for w in own]
+        flat = list(chain.from_iterable(split))
         numbers = list(map(self.known.get, flat))
         if None in numbers:
             self._learn(sorted({w for w, number in zip(flat, numbers, strict=True) if number is None}))
@@ -407,14 +408,20 @@ class _Scorer:
         first = starts[text] + number * step
         logs = np.zeros(len(ids))
         columns = np.arange(A.WINDOW)
+        ends, begins = starts[text + 1], number == 0
+        # The unit before each place, and one more of each, so that windows may reach beyond.
+        units = np.concatenate([[A.START], units, np.full(A.WINDOW, A.START)])
+        places: list[np.ndarray] = []
         for k in range(0, len(first), CHUNK):
-            begin, of = first[k : k + CHUNK, None], text[k : k + CHUNK]
-            at = begin + columns
-            there = at < starts[of + 1][:, None]
-            targets = units[np.minimum(at, len(units) - 1)]
-            inputs = units[np.clip(at - 1, 0, len(units) - 1)]
-            inputs[~there] = A.START
-            inputs[number[k : k + CHUNK] == 0, 0] = A.START
-            wanted = there & ((columns >= OVERLAP) | (number[k : k + CHUNK] == 0)[:, None])
-            logs[at[wanted]] = A.log_probabilities(self.parameters, inputs, targets, wanted)
+            part = slice(k, k + CHUNK)
+            at = first[part, None] + columns
+            inputs = units[at]
+            inputs[begins[part], 0] = A.START
+            wanted = at < ends[part, None]
+            wanted[~begins[part], :OVERLAP] = False
+            self.reader.add(inputs, units[at + 1], wanted)
+            places.append(at[wanted])
+            if self.reader.rows >= A.OUTPUT_ROWS or k + CHUNK >= len(first):
+                logs[np.concatenate(places)] = self.reader.take()
+                places = []
         return logs + self.share[ids]
