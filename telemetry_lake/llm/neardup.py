@@ -13,9 +13,9 @@ Two documents at the least similarity of 0.8 share no band with a probability of
 (1 - 0.8^4)^24 = 3e-6; more similar ones far less often.
 
 Defined cases: a null or empty text has the empty set, is linked with nothing and kept;
-a row without an id is its own component (null) and kept; repeated rows of one id are
-returned as often as they come, in the class of their text; ties go to the smallest id;
-only id and text are read.
+rows without an id are linked by equal text only, in the component of an id that has it or
+else in none (null), and then kept; repeated rows of one id are returned as often as they
+come, in the class of their text; ties go to the smallest id; only id and text are read.
 """
 
 from __future__ import annotations
@@ -134,7 +134,7 @@ def classes(rows: DataFrame, docs: DataFrame, size: int, percent: int, id_col: s
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
-    placed = nodes.select("node", "rep", "n", F.explode("bands").alias("band"))
+    placed = nodes.where("rep IS NOT NULL").select("node", "rep", "n", F.explode("bands").alias("band"))
     pivots = placed.groupBy("band").agg(F.min(F.struct("rep", "node", "n")).alias("pivot"), F.count("*").alias("many"))
     members = placed.join(pivots.where("many > 1"), "band")
     members = members.select("node", "rep", "n", F.col("pivot.node").alias("pivot"), F.col("pivot.n").alias("pivot_n"))
@@ -221,4 +221,6 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     repeat both id and text one stays. Documents without words or without an id stay.
     """
     copies = near_duplicates(docs, size, percent).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    named = docs.where("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    # Null ids would all meet in one task of the join.
+    return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))

@@ -179,6 +179,17 @@ def test_near_duplicates_odd_rows(spark, odd_docs, no_docs):
     assert ids_of(kept) == [i for k, i in enumerate(ALL_IDS) if k == 0 or i != 6 or ALL_IDS[k - 1] != 6]
 
 
+def test_rows_without_an_id(spark):
+    """They follow an id with the same text, do not stand for others, and are all kept in the pipeline."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, long + " x"), (None, long), (None, long), (None, long + " y"), (4, long), (5, long + " z"), (None, "apart from all others")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(docs, 4).collect())
+    expected = [(3, 3, True), (4, 3, False), (5, 3, False), *[(None, 3, False)] * 2, *[(None, None, True)] * 2]
+    assert found == Counter(expected)
+    assert sorted(str(r.doc_id) for r in neardup.keep_one(docs, 4).collect()) == ["3"] + ["None"] * 4
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(0)
     for size in (1, 2, 40, 900):
