@@ -53,13 +53,13 @@ def land_raw(df: DataFrame, lake: Lake, batch: str, landed_at: datetime, time_co
     spark = df.sparkSession
     ts = F.coalesce(event_time(F.col(time_col)), F.lit(landed_at.strftime("%Y-%m-%d %H:00:00")).cast("timestamp"))
     landed = df.withColumns({"dt": date_text(ts), "hour": hour_text(ts)})
-    hours = landed.select("dt", "hour").distinct()
+    # At most one row per hour of the batch.
+    hours = landed.select("dt", "hour").distinct().collect()
     name, path = f"batch_{batch}.", lake.path(RAW_READINGS)
     create_tables(spark, lake, [RAW_READINGS])
-    # At most one row per hour of the batch.
-    for row in hours.collect():
+    for row in hours:
         for file in storage.matching(spark, f"{path}/dt={row.dt}/hour={row.hour}/{name}-*"):
             storage.delete(spark, file)
     writer = landed.hint("rebalance", "dt", "hour").write.mode("append").option("mapreduce.output.basename", name)
     writer.partitionBy("dt", "hour").json(path)
-    register_partitions(spark, lake, RAW_READINGS, hours)
+    register_partitions(spark, lake, RAW_READINGS, spark.createDataFrame(hours, landed.select("dt", "hour").schema))
