@@ -4,10 +4,9 @@
    counts give the unigram score, and through each word's subword ids the exact counts of
    all ids (which of them are output units, and the shares of the others) and of the
    pairs of neighbours, from which the model's embeddings start.
-2. From every training document one block of words in SAMPLE, chosen by a hash of the
-   text, is a training window, so the windows grow with the corpus. In each of ROUNDS
-   every partition trains a copy of the parameters on its windows; Spark averages the
-   copies by the number of targets.
+2. Every training document is cut into consecutive training windows, so each of its ids is
+   a target once. In each of ROUNDS every partition trains a copy of the parameters on a
+   share of its windows; Spark averages the copies by the number of targets.
 3. Texts are scored in windows that overlap: a window's first targets only give context,
    so each token is scored once, after at least OVERLAP tokens of context or its text's
    start. A word's probability is the product over its ids, mixed with the word's share
@@ -40,8 +39,6 @@ from telemetry_lake.llm.common import map_arrow, stage
 from telemetry_lake.llm.shingles import as_bytes
 from telemetry_lake.llm.tokens import worker_encoder
 
-# One block of BLOCK_WORDS words in SAMPLE becomes a training window.
-SAMPLE, BLOCK_WORDS = 16, 14
 ROUNDS, BATCH, RATE = 3, 64, 0.01
 OVERLAP = 8
 # Weight of a word's own share against the attention model's probability.
@@ -52,6 +49,8 @@ SENT_WORDS = 1 << 20
 HELD_WORDS = 1 << 19
 # Windows that are scored at once.
 CHUNK = 256
+# Log probabilities are rounded, as the last bits of a product depend on the rows beside.
+DECIMALS = 4
 # Stands for a document's end among the words, none of which has white space.
 END = b"\n"
 
@@ -178,40 +177,54 @@ def neighbours(words: DataFrame, vocabulary: Vocabulary, end_id: int) -> np.ndar
     return pairs + np.outer(last, first / max(1.0, first.sum()))
 
 
-def sample_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, end_id: int) -> DataFrame:
-    """`units`: the unit before a sampled block (or START), then up to WINDOW of it and what follows."""
+def training_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, end_id: int) -> DataFrame:
+    """`units`: the unit before a window (or START), then its up to WINDOW targets.
+
+    A text's units, its end included, are cut into consecutive windows, so each is a target once.
+    """
     unit = texts.sparkSession.sparkContext.broadcast(vocabulary.unit)
 
     def work(batches):
         encoder = Ids(tokenizer, end_id)
+        known: dict[bytes, int] = {}
+        held_ids, held_sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
         for batch in batches:
-            blocks, first = [], []
-            for text in as_bytes(batch.column(1)):
-                words = [*text.lower().split(), END]
-                chosen = xxhash.xxh3_64_intdigest(text) % SAMPLE
-                for start in range(chosen * BLOCK_WORDS, len(words), SAMPLE * BLOCK_WORDS):
-                    blocks.append(words[max(0, start - 1) : start + BLOCK_WORDS])
-                    first.append(start == 0)
-                if chosen * BLOCK_WORDS >= len(words):  # a short text gives its beginning
-                    blocks.append(words[:BLOCK_WORDS])
-                    first.append(True)
-            ids, sizes = encoder.of([w for block in blocks for w in block])
-            units, rows, word, at = unit.value[ids], [], 0, 0
-            ends = np.cumsum(sizes)
-            for block, begins in zip(blocks, first, strict=True):
-                stop = int(ends[word + len(block) - 1])
-                # Of the word before only its last unit, or START.
-                row = np.append(A.START, units[at:stop]) if begins else units[ends[word] - 1 : stop]
-                word, at = word + len(block), stop
-                if len(row) > 1:
-                    rows.append(row[: A.WINDOW + 1])
-            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            values = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, values)], ["units"])
+            if len(known) > HELD_WORDS:
+                known, held_ids, held_sizes = {}, held_ids[:0], held_sizes[:0]
+            split = [[*text.lower().split(), END] for text in as_bytes(batch.column(1))]
+            flat = list(chain.from_iterable(split))
+            new = sorted(set(flat).difference(known))
+            if new:
+                ids, sizes = encoder.of(new)
+                known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+                held_ids, held_sizes = np.concatenate([held_ids, ids]), np.concatenate([held_sizes, sizes])
+            at = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
+            many = held_sizes[at]
+            ends = np.cumsum(many)
+            places = np.arange(many.sum()) + np.repeat((np.cumsum(held_sizes) - held_sizes)[at] - ends + many, many)
+            units = unit.value[held_ids[places]]
+            stops = ends[np.cumsum([len(own) for own in split]) - 1] if split else ends
+            rows, starts = cut(units, stops)
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(starts.astype(np.int32), rows.astype(np.int32))], ["units"])
 
     return map_arrow(texts, work, "units array<int>")
 
 
+def cut(units: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of all windows of texts that end at `stops`, one after another, and where each row starts."""
+    sizes = np.diff(stops, prepend=0)
+    windows = -(-sizes // A.WINDOW)
+    text = np.repeat(np.arange(len(sizes)), windows)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
+    first = (stops - sizes)[text] + number * A.WINDOW
+    lengths = np.minimum(A.WINDOW, stops[text] - first) + 1
+    starts = np.concatenate([[0], np.cumsum(lengths)])
+    # A row begins one unit before its first target.
+    rows = units[np.arange(starts[-1]) - np.repeat(starts[:-1] - first + 1, lengths)] if len(units) else units
+    rows[starts[:-1][number == 0]] = A.START
+    return rows, starts
+
+
 def _windows(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Inputs and targets of windows of uneven length."""
     inputs = np.full((len(rows), A.WINDOW), A.START)
@@ -287,7 +300,7 @@ def score(
     counts[counted["id"].to_numpy(dtype=int)] = counted["n"].to_numpy(dtype=float)
     vocabulary = Vocabulary.of(counts)
     parameters = A.start(vocabulary.counts, neighbours(words, vocabulary, end_id))
-    parameters = train(stage(sample_windows(learnt, vocabulary, tokenizer, end_id), "windows"), parameters)
+    parameters = train(stage(training_windows(learnt, vocabulary, tokenizer, end_id), "windows"), parameters)
     least = _threshold(words, SENT_WORDS)
     sent = words.where(F.col("n") >= least)
     rows = stage(_scored(texts, sent, tokens, vocabulary, parameters, tokenizer, end_id), "scored")
@@ -422,6 +435,6 @@ class _Scorer:
             self.reader.add(inputs, units[at + 1], wanted)
             places.append(at[wanted])
             if self.reader.rows >= A.OUTPUT_ROWS or k + CHUNK >= len(first):
-                logs[np.concatenate(places)] = self.reader.take()
+                logs[np.concatenate(places)] = np.round(self.reader.take().astype(np.float64), DECIMALS)
                 places = []
         return logs + self.share[ids]

@@ -346,6 +346,20 @@ def test_lm_odd_rows(spark, odd_docs, no_docs):
     assert len(untrained) == len(ROWS)
 
 
+def test_training_covers_all_text(spark):
+    """Long and short texts alike: each id of a text, its end included, is a target exactly once."""
+    texts = [" ".join(f"wort{i}-{k}" for i in range(many)) for k, many in enumerate((0, 1, 5, 40, 400))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    vocabulary = lm.Vocabulary.of(np.arange(49_408.0))
+    rows = [row.units for row in lm.training_windows(docs, vocabulary, TOKENIZER, 49_407).collect()]
+    expected = []
+    for text in texts:
+        ids, _ = lm.Ids(TOKENIZER, 49_407).of([*(w.encode() for w in text.split()), lm.END])
+        units = [attention.START, *vocabulary.unit[ids].tolist()]
+        expected += [units[k : k + attention.WINDOW + 1] for k in range(0, len(units) - 1, attention.WINDOW)]
+    assert rows == expected
+
+
 def test_attention_gradients_and_sums():
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 50, attention.UNITS).astype(float)
