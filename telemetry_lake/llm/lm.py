@@ -2,10 +2,10 @@
 
 1. Words (and one end per document) of all training documents are counted in Spark. The
    counts give the unigram score, and through each word's subword ids the exact counts of
-   all ids (which of them are output units, and the shares of the others) and of the
-   pairs of neighbours, from which the model's embeddings start.
+   all ids (which of them are output units, and the shares of the others).
 2. Every training document is cut into consecutive training windows, so each of its ids is
-   a target once. In each of ROUNDS every partition trains a copy of the parameters on a
+   a target once. The exact counts of all pairs of neighbours in them, inside words and
+   across, are what the model's embeddings start from. In each of ROUNDS every partition trains a copy of the parameters on a
    share of its windows; Spark averages the copies by the number of targets.
 3. Texts are scored in windows that overlap: a window's first targets only give context,
    so each token is scored once, after at least OVERLAP tokens of context or its text's
@@ -140,41 +140,31 @@ class Vocabulary:
         return cls(unit, share, np.bincount(unit, weights=counts, minlength=A.UNITS))
 
 
-def neighbours(words: DataFrame, vocabulary: Vocabulary, end_id: int) -> np.ndarray:
-    """How often each unit (or START) stands before each other, over all training words.
+def neighbours(windows: DataFrame) -> np.ndarray:
+    """How often each unit (or START) stands before each other, inside words and across them.
 
-    Within words from the words' counts; between words as if these were independent.
+    Counted over the training windows: each target is one place of the training text, and
+    the unit before it in its row is the one before it in the text.
     """
-    unit = words.sparkSession.sparkContext.broadcast(vocabulary.unit)
-    cells = A.UNITS * A.UNITS
+    cells = (A.UNITS + 1) * A.UNITS
 
     def work(batches):
-        total = np.zeros(cells + 2 * A.UNITS)
+        total = np.zeros(cells, dtype=np.int64)
         for batch in batches:
-            lists, n = batch.column(1), batch.column(0).to_numpy().astype(float)
-            units = unit.value[lists.flatten().to_numpy()]
-            sizes = np.diff(lists.offsets.to_numpy())
-            firsts = np.cumsum(sizes) - sizes
+            column = batch.column(0)
+            units, offsets = column.flatten().to_numpy().astype(np.int64), column.offsets.to_numpy()
             inner = np.ones(len(units), dtype=bool)
-            inner[firsts] = False
+            inner[offsets[:-1] - offsets[0]] = False
             second = np.flatnonzero(inner)
-            total[:cells] += np.bincount(units[second - 1] * A.UNITS + units[second], np.repeat(n, sizes)[second], cells)
-            total[cells : cells + A.UNITS] += np.bincount(units[firsts], n, A.UNITS)
-            total[cells + A.UNITS :] += np.bincount(units[firsts + sizes - 1], n, A.UNITS)
+            total += np.bincount(units[second - 1] * A.UNITS + units[second], minlength=cells)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["cell", "n"])
 
-    counted = words.select("n", "ids").mapInArrow(work, "cell long, n double")
+    counted = windows.mapInArrow(work, "cell long, n long")
     found = counted.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(cells + 2 * A.UNITS)
+    total = np.zeros(cells)
     total[found["cell"].to_numpy()] = found["n"].to_numpy()
-    first, last = total[cells : cells + A.UNITS], np.append(total[cells + A.UNITS :], 0.0)
-    # Ends follow words but stand before none; a text's start stands before its first word.
-    texts = words.where(F.col("hash") == word_hash(END)).agg(F.sum("n")).first()[0] or 0
-    last[vocabulary.unit[end_id]] -= texts
-    last[A.START] = texts
-    pairs = np.vstack([total[:cells].reshape(A.UNITS, A.UNITS), np.zeros(A.UNITS)])
-    return pairs + np.outer(last, first / max(1.0, first.sum()))
+    return total.reshape(A.UNITS + 1, A.UNITS)
 
 
 def training_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, end_id: int) -> DataFrame:
@@ -299,8 +289,8 @@ def score(
     counts = np.zeros(ids)
     counts[counted["id"].to_numpy(dtype=int)] = counted["n"].to_numpy(dtype=float)
     vocabulary = Vocabulary.of(counts)
-    parameters = A.start(vocabulary.counts, neighbours(words, vocabulary, end_id))
-    parameters = train(stage(training_windows(learnt, vocabulary, tokenizer, end_id), "windows"), parameters)
+    windows = stage(training_windows(learnt, vocabulary, tokenizer, end_id), "windows")
+    parameters = train(windows, A.start(vocabulary.counts, neighbours(windows)))
     least = _threshold(words, SENT_WORDS)
     sent = words.where(F.col("n") >= least)
     rows = stage(_scored(texts, sent, tokens, vocabulary, parameters, tokenizer, end_id), "scored")

@@ -360,6 +360,21 @@ def test_training_covers_all_text(spark):
     assert rows == expected
 
 
+def test_pairs_across_words_are_counted(spark):
+    """Two words of one unit each, always in the same order: the pair across them is counted as it occurs."""
+    texts = ["the house " * many for many in (0, 1, 30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    vocabulary = lm.Vocabulary.of(np.bincount(lm.Ids(TOKENIZER, 49_407).of([b"the", b"house", lm.END])[0], minlength=49_408))
+    pairs = lm.neighbours(lm.training_windows(docs, vocabulary, TOKENIZER, 49_407))
+    expected = Counter()
+    for text in texts:
+        ids, _ = lm.Ids(TOKENIZER, 49_407).of([*(w.encode() for w in text.split()), lm.END])
+        units = [attention.START, *vocabulary.unit[ids].tolist()]
+        expected.update(zip(units, units[1:]))
+    found = {(int(a), int(b)): int(pairs[a, b]) for a, b in zip(*np.nonzero(pairs), strict=True)}
+    assert found == expected and expected.most_common(1)[0][1] == 31
+
+
 def test_attention_gradients_and_sums():
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 50, attention.UNITS).astype(float)
