@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm import bloom
@@ -53,8 +53,8 @@ def _digests(elements: np.ndarray, starts: np.ndarray) -> list[bytes | None]:
 
 
 def sketched(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node and bands of every whole text."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    """doc_id, n_shingles, node, bands and the text's key of every whole text."""
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("key"))
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def work(batches):
@@ -64,11 +64,16 @@ def sketched(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str =
             keys = band_keys(sketch(elements, starts, BANDS * BAND_ROWS), BAND_ROWS).view(np.int64)
             bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), keys.ravel())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(starts)), pa.array(_digests(elements, starts), pa.binary()), bands],
-                ["doc_id", "n_shingles", "node", "bands"],
+                [batch.column(0), pa.array(np.diff(starts)), pa.array(_digests(elements, starts), pa.binary()), bands, batch.column(2)],
+                ["doc_id", "n_shingles", "node", "bands", "key"],
             )
 
-    return map_arrow(texts, work, f"doc_id {kind}, n_shingles long, node binary, bands array<long>")
+    return map_arrow(texts, work, f"doc_id {kind}, n_shingles long, node binary, bands array<long>, key binary")
+
+
+def text_key(text: Column) -> Column:
+    """128 bits that, beside the id, name a row; rows of one id and text are repeated ones."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 def _stored_sets(docs: DataFrame, wanted: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
@@ -197,17 +202,29 @@ def _similar(x: list[dict], y: list[dict], percent: int):
             yield x[k]["node"], other["node"]
 
 
+def _labelled(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows; and doc_id, key, n_shingles, component_id and best of those with words.
+
+    `best` names the row that stands for the component: the smallest (doc_id, node, key) of
+    its rows with an id.
+    """
+    rows = stage(sketched(docs, size, id_col, text_col), "sketches")
+    own = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "node", "key"))).alias("own")
+    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), own)
+    linked = classes(rows, docs, size, percent, id_col, text_col).join(nodes, "node")
+    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"), F.min("own").alias("best"))
+    linked = stage(linked.join(least, "root").select("node", "component_id", "best"), "linked")
+    named = nodes.join(linked, "node", "left")
+    named = named.select("node", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("best", "own").alias("best"))
+    return rows, rows.where("node IS NOT NULL").join(stage(named, "named"), "node")
+
+
 def near_duplicates(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest id that links reach) and kept, for every row."""
-    rows = stage(sketched(docs, size, id_col, text_col), "sketches")
-    nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"))
-    linked = classes(rows, docs, size, percent, id_col, text_col).join(nodes, "node")
-    least = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
-    linked = stage(linked.join(least, "root").select("node", "component_id"), "linked")
-    named = nodes.join(linked, "node", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
-    out = rows.where("node IS NOT NULL").join(stage(named, "named"), "node").select("doc_id", "n_shingles", "component_id")
+    rows, labelled = _labelled(docs, size, percent, id_col, text_col)
+    out = labelled.select("doc_id", "n_shingles", "component_id")
     # Rows without words would all meet under one null key, so they stay out of the joins.
     alone = rows.where("node IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
@@ -215,12 +232,18 @@ def near_duplicates(
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents without near copies of one with a smaller id, with their own columns.
+    """One document of each group of near copies, with its own columns.
 
-    Ids decide: a row goes if its id is that of a near copy of a smaller one. Of rows that
+    Rows decide, not ids: of the rows with an id in a component the one of the smallest id,
+    then digest, stays, and another text under the id of a copy stays too. Of rows that
     repeat both id and text one stays. Documents without words or without an id stay.
     """
-    copies = near_duplicates(docs, size, percent).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    _, labelled = _labelled(docs, size, percent, "doc_id", "text")
+    lost = F.struct("doc_id", "node", "key") != F.col("best")
+    copies = labelled.where(F.col("doc_id").isNotNull() & lost).select("doc_id", "key").distinct()
+    gone = copies.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"))
+    with_id = docs.where("doc_id IS NOT NULL")
+    same = (with_id["doc_id"] == gone["gone_id"]) & (text_key(with_id["text"]) == gone["gone_key"])
+    named = with_id.join(gone, same, "left_anti").dropDuplicates(["doc_id", "text"])
     # Null ids would all meet in one task of the join.
     return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))

@@ -190,6 +190,16 @@ def test_rows_without_an_id(spark):
     assert sorted(str(r.doc_id) for r in neardup.keep_one(docs, 4).collect()) == ["3"] + ["None"] * 4
 
 
+def test_rows_decide_which_copy_stays(spark):
+    """Another text under the id of a copy stays; of two near copies under one id, one stays."""
+    first, second = (" ".join(f"{stem}{i}" for i in range(60)) for stem in ("w", "v"))
+    rows = [(3, first), (7, first + " x"), (7, "a text of its own"), (8, second), (8, second + " y"), (9, second.upper()), (9, second)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(row.doc_id, row.text) for row in neardup.keep_one(docs, 4).collect()]
+    assert (3, first) in kept and (7, "a text of its own") in kept
+    assert len(kept) == 3 and sorted(i for i, _ in kept) == [3, 7, 8]
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(0)
     for size in (1, 2, 40, 900):
