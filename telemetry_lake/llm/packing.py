@@ -1,15 +1,17 @@
 """Packing documents into training sequences with lexical neighbours.
 
-Each task cuts its documents into shards of bounded size. Whole sequences are cut off
-long documents first; the rest of each document is a piece of its shard. The shard's
-inverted index holds BM25 weights of the pieces' token ids. A window starts with an
-unused piece, the seed; the index returns its unused neighbours by score, and they fill
-the window greedily. A piece that does not fit is cut there, and what is left of it is the
-next seed. So all sequences are full but the last ones of a task, whose pieces go to
-sequences of the powers of two that make up their sum, which need no padding either.
-
-No shuffle: shards follow the order of the input, and a lost task makes the same
-sequences again from the same input split.
+1. Documents are encoded once; how many pieces hold each term is counted over all of them.
+2. Each piece is named by its strongest BM25 terms under these counts. Pieces go to tasks
+   by the strongest, where a term of more tokens than a task's is dealt over several, and
+   are sorted there by all of them, so that lexical neighbours of the whole input lie
+   together.
+3. Each task cuts its documents into shards of bounded size. Whole sequences are cut off
+   long documents first; the rest of each document is a piece of its shard. The shard's
+   inverted index holds BM25 weights of the pieces' token ids. A window starts with an
+   unused piece, the seed; the index returns its unused neighbours by score, and they fill
+   the window greedily. A piece that does not fit is cut there, and what is left of it is
+   the next seed. So all sequences are full but the last ones of a task, whose pieces go to
+   sequences of the powers of two that make up their sum, which need no padding either.
 
 Defined cases: a null or empty text is its end token alone; repeated rows are packed as
 often as they come; ties of scores go to the earlier piece; a document of any length is
@@ -27,21 +29,28 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm.common import map_arrow
+from telemetry_lake.llm.common import map_arrow, stage
 from telemetry_lake.llm.tokens import worker_encoder
 
 WINDOW = 4096
 END_ID = 2
 # Tokens of a shard; its index is held in one task's memory.
 SHARD_TOKENS = 1 << 20
+# Tokens that go to one task, about.
+TASK_TOKENS = 1 << 22
+# Terms that name a piece.
+NAMES = 3
 # The usual BM25 parameters.
 K1, B = 1.2, 0.75
 
 
 class Index:
-    """Inverted index of a shard's pieces: per term the pieces that have it, with BM25 weights."""
+    """Inverted index of a shard's pieces: per term the pieces that have it, with BM25 weights.
+
+    Terms in more than a share `most` of the pieces are not used for retrieval.
+    """
 
-    def __init__(self, pieces: list[np.ndarray]):
+    def __init__(self, pieces: list[np.ndarray], most: float = 0.5):
         n = len(pieces)
         counted = [np.unique(piece, return_counts=True) for piece in pieces]
         terms = np.concatenate([t for t, _ in counted])
@@ -56,17 +65,28 @@ class Index:
         norm = K1 * (1 - B + B * lengths / lengths.mean())
         weight = counts * (K1 + 1) / (counts + norm[owners])
         self.weights = weight[order] * np.repeat(idf, df)
-        # A term in most pieces tells none of them apart, and one in a single piece finds none.
-        self.telling = (df > 1) & (2 * df <= max(n, 4))
+        # A term in a single piece finds none.
+        self.telling = (df > 1) & (df <= max(most * n, 2))
         self.size = n
+        # Terms in over half of the pieces have a row of all weights each: no more cells than twice the postings.
+        common = np.flatnonzero(self.telling & (2 * df > max(n, 4)))
+        self.row = np.full(len(df), -1)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), n))
+        for k, term in enumerate(common):
+            own = slice(self.first[term], self.first[term + 1])
+            self.rows[k, self.owners[own]] = self.weights[own]
 
     def neighbours(self, query: np.ndarray, unused: np.ndarray) -> np.ndarray:
         """Unused pieces by falling score against the query's distinct terms, then by number."""
         at = np.searchsorted(self.terms, np.unique(query))
         at = at[self.telling[at]]
+        common = self.row[at]
+        at, common = at[common < 0], common[common >= 0]
         low, many = self.first[at], self.first[at + 1] - self.first[at]
         places = np.arange(many.sum()) + np.repeat(low - np.cumsum(many) + many, many)
         scores = np.bincount(self.owners[places], weights=self.weights[places], minlength=self.size)
+        scores = scores + self.rows[common].sum(axis=0)
         scores[~unused] = 0
         found = np.flatnonzero(scores)
         return found[np.argsort(-scores[found], kind="stable")]
@@ -111,7 +131,7 @@ class Packer:
                 pieces.append((key, cut, ids[cut:], len(ids)))
         if not pieces:
             return
-        index = Index([ids for _, _, ids, _ in pieces])
+        index = Index([ids for _, _, ids, _ in pieces], most=1.0)
         unused = np.ones(len(pieces), dtype=bool)
         queue: Iterator[int] = iter(())
         following = 0
@@ -150,6 +170,95 @@ class Packer:
             left -= size
 
 
+def _encoded(texts: DataFrame, tokenizer: str, end_id: int, window: int, kind: str) -> DataFrame:
+    """doc_id, ids and tokens of each document, and a row of each task with its `terms` and how many pieces hold them."""
+
+    def work(batches):
+        encoder, df, key_type = worker_encoder(tokenizer), np.zeros(0, dtype=np.int64), None
+        for batch in batches:
+            key_type = batch.schema.field(0).type
+            ids, starts = encoder.encode(batch.column(1).to_pylist())
+            own = [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            for piece in own:
+                terms = np.unique(piece[len(piece) // window * window :])
+                if len(terms):
+                    df = np.pad(df, (0, max(0, int(terms[-1]) + 1 - len(df))))
+                    df[terms] += 1
+            blobs = pa.array([piece.astype("<u4").tobytes() for piece in own], pa.binary())
+            none = pa.nulls(len(own), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), blobs, pa.array([len(piece) for piece in own], pa.int64()), none, none], names)
+        if len(df):
+            used = np.flatnonzero(df)
+            lists = [pa.array([part.tolist()], pa.list_(pa.int64())) for part in (used, df[used])]
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, key_type), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int64()), *lists], names)
+
+    names = ["doc_id", "ids", "tokens", "terms", "df"]
+    return map_arrow(texts, work, f"doc_id {kind}, ids binary, tokens long, terms array<long>, df array<long>")
+
+
+def strongest(piece: np.ndarray, df: np.ndarray, documents: int, mean: float) -> list[int]:
+    """The NAMES terms of most BM25 weight that other pieces hold too, -1 for want of more; ties to the smaller id."""
+    terms, counts = np.unique(piece, return_counts=True)
+    own = df[terms]
+    terms, counts, own = terms[own > 1], counts[own > 1], own[own > 1]
+    norm = K1 * (1 - B + B * len(piece) / mean)
+    weight = counts * (K1 + 1) / (counts + norm) * np.log1p((documents - own + 0.5) / (own + 0.5))
+    best = terms[np.argsort(-weight, kind="stable")[:NAMES]].tolist()
+    return best + [-1] * (NAMES - len(best))
+
+
+def _by_content(encoded: DataFrame, window: int, kind: str) -> DataFrame:
+    """doc_id and ids, in tasks and sorted by the pieces' strongest terms."""
+    spark = encoded.sparkSession
+    rows = encoded.where("terms IS NULL").select("doc_id", "ids", "tokens")
+    total = rows.agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens")).first()
+    documents, tokens = total.documents, total.tokens or 0
+    pairs = encoded.where("terms IS NOT NULL").select(F.explode(F.arrays_zip("terms", "df")).alias("p")).select("p.terms", "p.df")
+    found = pairs.groupBy("terms").agg(F.sum("df").alias("df")).toPandas()
+    df = np.zeros(int(found["terms"].max()) + 1 if len(found) else 1, dtype=np.int64)
+    df[found["terms"].to_numpy(dtype=int)] = found["df"].to_numpy(dtype=int)
+    # Pieces are shorter than a window; the mean only scales the lengths.
+    mean = max(1.0, min(window, tokens / max(1, documents)))
+    sent = spark.sparkContext.broadcast(df)
+
+    def named(batch):
+        for blob in batch.column(1).to_pylist():
+            ids = np.frombuffer(blob, dtype="<u4")
+            yield strongest(ids[len(ids) // window * window :], sent.value, documents, mean), len(ids)
+
+    def weigh(batches):
+        held = np.zeros(len(sent.value) + 1, dtype=np.int64)
+        for batch in batches:
+            for terms, size in named(batch):
+                held[terms[0]] += size  # -1 is the last place
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["term", "tokens"])
+
+    load = map_arrow(rows, weigh, "term long, tokens long").groupBy("term").agg(F.sum("tokens").alias("tokens")).toPandas()
+    sizes = np.zeros(len(df) + 1)
+    sizes[load["term"].to_numpy(dtype=int)] = load["tokens"].to_numpy(dtype=float)
+    ends = np.cumsum(sizes)
+    first = ((ends - sizes) // TASK_TOKENS).astype(np.int64)
+    span = np.maximum(1, np.ceil(sizes / TASK_TOKENS)).astype(np.int64)
+    dealt = spark.sparkContext.broadcast((first, span))
+
+    def place(batches):
+        first, span = dealt.value
+        number = 0
+        for batch in batches:
+            terms = [own for own, _ in named(batch)]
+            lead = np.array([own[0] for own in terms], dtype=np.int64)
+            parts = first[lead] + (number + np.arange(len(lead))) % span[lead]
+            number += len(lead)
+            columns = [pa.array([own[k] for own in terms], pa.int64()) for k in range(NAMES)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts), *columns], ["doc_id", "ids", "part", *by])
+
+    by = [f"term{k}" for k in range(NAMES)]
+    placed = map_arrow(rows, place, f"doc_id {kind}, ids binary, part long, " + ", ".join(f"{name} long" for name in by))
+    tasks = int((first + span).max())
+    return placed.repartition(tasks, "part").sortWithinPartitions("part", *by, "doc_id", "ids").select("doc_id", "ids")
+
+
 def pack(
     docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS,
     id_col: str = "doc_id", text_col: str = "text",
@@ -170,14 +279,13 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(key, key_type), *longs[:2], ids, *longs[2:]], names)
 
     def work(batches):
-        encoder, packer = worker_encoder(tokenizer), Packer(window)
+        packer = Packer(window)
         base = TaskContext.get().partitionId() << 40
         held, size, key_type = [], 0, None
         for batch in batches:
             key_type = batch.schema.field(0).type
-            ids, starts = encoder.encode(batch.column(1).to_pylist())
-            for row, key in enumerate(batch.column(0).to_pylist()):
-                held.append((key, np.append(ids[starts[row] : starts[row + 1]], np.uint32(end_id))))
+            for key, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                held.append((key, np.frombuffer(blob, dtype="<u4")))
                 size += len(held[-1][1])
                 if size >= shard_tokens:
                     yield batch_of(list(packer.shard(held)), key_type, base)
@@ -188,4 +296,4 @@ def pack(
             yield batch_of(list(packer.finish()), key_type, base)
 
     schema = f"doc_id {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return map_arrow(texts, work, schema)
+    return map_arrow(_by_content(stage(_encoded(texts, tokenizer, end_id, window, kind), "encoded"), window, kind), work, schema)

@@ -122,6 +122,26 @@ def test_packing_puts_neighbours_together(spark):
     assert pure > 0.8
 
 
+def test_packing_finds_neighbours_in_other_tasks(spark):
+    """Each topic has one document in each task of the input: sequences hold mostly one topic."""
+    rng = random.Random(4)
+    stems = ("zebra", "quartz", "window", "garden", "copper", "planet", "summer", "violin")
+    topics = [[f"{stem}{c}" for c in "abcdefghij"] for stem in stems]
+    texts = [" ".join(rng.choices(topics[i % 8], k=150)) for i in range(64)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), 8), "doc_id long, text string")
+    shares = defaultdict(lambda: [0] * 8)
+    for row in packing.pack(docs, PATH, window=1024).collect():
+        shares[row.sequence_id][row.doc_id % 8] += row.length
+    assert sum(max(s) for s in shares.values()) / sum(map(sum, shares.values())) > 0.8
+
+
+def test_common_terms_find_copies():
+    """A group of copies that makes over half of a shard: its pieces are still neighbours."""
+    copies = [np.arange(10, 30, dtype=np.uint32)] * 6
+    index = packing.Index(copies + [np.arange(40, 60, dtype=np.uint32)] * 2, most=1.0)
+    assert index.neighbours(copies[0], np.arange(8) > 0).tolist() == [1, 2, 3, 4, 5]
+
+
 def test_bm25_scores_match_brute_force():
     rng = np.random.default_rng(2)
     docs = [rng.integers(0, 40, rng.integers(1, 30)).astype(np.uint32) for _ in range(25)]
