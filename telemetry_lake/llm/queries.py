@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import chat, decontaminate, html, lm, neardup, packing, quality, tokencount, toxicity, urls
+from telemetry_lake.llm import chat, decontaminate, divergence, html, lm, neardup, packing, quality, sharding, spelling
+from telemetry_lake.llm import tokencount, toxicity, urls
 from telemetry_lake.llm.common import fold
 
 
@@ -103,6 +104,25 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, listed, URL_RULES)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+SHARDS = 8
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard(_table(spark, sf_dir, "documents"), SHARDS)
+    text = F.coalesce("text", F.lit(""))
+    size, law = (F.octet_length(text) + 1).cast("long"), F.lit("bytes")
+    columns = ["doc_id", size.alias("size"), F.crc32(text).alias("text_crc32"), law.alias("law"), "shard", "slot"]
+    return sharded.select(*columns, F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
@@ -114,6 +134,9 @@ QUERIES = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_sharding": op12_sharding,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 # --- SQL counterparts (DuckDB) ---
@@ -239,6 +262,40 @@ def url_sql() -> str:
   FROM marked"""
 
 
+def divergence_sql() -> str:
+    upper, lower = urls.UPPER, urls.LOWER
+    smooth = divergence.SMOOTHING
+    share = f"1 + (CAST(1000000000 AS HUGEINT) * ({{}} + {smooth})) // ({{}} + {smooth} * kept_terms)"
+    return rf"""
+  WITH texts AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), '{upper}', '{lower}') AS t FROM documents),
+  terms AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '{divergence.TERM}')) AS term FROM texts),
+  kept AS (
+    SELECT lang, term, count(*) AS lang_n FROM terms GROUP BY lang, term HAVING count(DISTINCT rid) >= {divergence.LEAST_DOCS}),
+  sizes AS (SELECT lang, count(*) AS kept_terms, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+  groups AS (SELECT DISTINCT lang, source FROM texts),
+  counts AS (SELECT lang, source, term, count(*) AS n FROM terms GROUP BY lang, source, term),
+  grid AS (
+    SELECT g.lang, g.source, k.term, k.lang_n, coalesce(c.n, 0) AS n, sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+    FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+  shares AS (
+    SELECT lang, source, term, n, {share.format("n", "total")} AS p, {share.format("lang_n", "lang_total")} AS q
+    FROM grid JOIN sizes USING (lang)),
+  pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(abs(a.p - b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+  items AS (
+    SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+    FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN pairs ON pairs.lang = g.lang AND pairs.source = g.source AND pairs.item = h.source
+    UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+  ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS place FROM items)
+  SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+  FROM ranked WHERE part = 'pair' OR place <= {divergence.TOP_TERMS}"""
+
+
 ORACLES = {
     "op3_quality_rules": "WITH "
     + quality_sql()
@@ -252,4 +309,5 @@ ORACLES = {
   SELECT doc_id, n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM classes""",
     "op2_chat_formatting": CHAT_SQL,
     "op10_url_filters": url_sql(),
+    "op11_source_divergence": divergence_sql(),
 }

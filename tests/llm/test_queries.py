@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).is_dir(), reason="test tables a
 
 
 def test_one_query_per_operator():
-    assert [name.split("_")[0] for name in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 14)]
     assert {*QUERIES, "pipeline"} <= set(registry.queries())
     assert set(ORACLES) <= set(registry.oracle_sql())
 
