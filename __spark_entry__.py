@@ -8,6 +8,7 @@ strings, longs, doubles and booleans, so both engines hash them alike.
 from __future__ import annotations
 
 import uuid
+import warnings
 from collections.abc import Callable
 from datetime import datetime, timedelta
 from functools import reduce
@@ -21,8 +22,8 @@ from telemetry_lake import sinks, sources
 from telemetry_lake.functions import mark_key, null_flag, range_flag
 from telemetry_lake.functions.rules import REPORT_KEY, REQUIRED_COLUMNS
 from telemetry_lake.functions.times import event_time_text
-from telemetry_lake.lake import MARK_LOG, PIPELINE_RUNS, QUARANTINED, RAW_READINGS, READINGS, Lake, create_tables, drop_lake
-from telemetry_lake.plans import run
+from telemetry_lake.lake import DEVICES, MARK_LOG, PIPELINE_RUNS, QUARANTINED, RAW_READINGS, READINGS, Lake, create_tables, drop_lake
+from telemetry_lake.plans import ingest, run
 from telemetry_lake.schemas import KPI_COLUMNS, NUMERIC_COLUMNS, TEXT_COLUMNS
 from telemetry_lake.session import configure
 from telemetry_lake.sources.events import EVENT_RULES, readings_from_events
@@ -143,16 +144,17 @@ def land_and_scan_raw(spark, sf_dir):
 
 
 def land_two_batches(spark, sf_dir):
-    """Batches that share all their hours, the second without readable times, the first one landed again."""
+    """Batches that share all their hours, the second without readable times; the first one is landed
+    whole at first, then corrected to readings of some hours only."""
 
     def work(lake):
         rows = _incoming(_readings(spark, sf_dir))
         late = F.col("device_id").cast("long") % 2 == 1
         first, second = rows.where(~late), rows.where(late)
-        sinks.land_raw(first, lake, "a", NOW)
+        sinks.land_raw(rows, lake, "a", NOW)
         sinks.land_raw(second.withColumn("timestamp", F.concat(F.lit("at "), "timestamp")), lake, "b", NOW)
         sinks.land_raw(second, lake, "c", NOW)
-        sinks.land_raw(first, lake, "a", NOW)
+        sinks.land_raw(first.where(F.substring("timestamp", 12, 2) < "12"), lake, "a", NOW)
         table = spark.table(lake.table(RAW_READINGS))
         return table.groupBy("dt", "hour").agg(
             F.count("*").alias("rows"), F.count(F.when(F.col("timestamp").startswith("at "), 1)).alias("unreadable")
@@ -194,10 +196,22 @@ def parse_event_time(spark, sf_dir):
     return parsed.select("event_id", F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss").alias("event_ts"))
 
 
+def _twice(readings: DataFrame, write: Callable[[DataFrame, Lake], None], lake: Lake) -> None:
+    """Write all hours, then those of the last date again, in a session that would empty a table."""
+    spark, mode = readings.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    last = _window(readings)[1]
+    try:
+        for rows in (readings, readings.where(F.col("dt") == last)):
+            spark.conf.set(mode, "static")
+            write(rows, lake)
+    finally:
+        configure(spark)
+
+
 def clean_table(spark, sf_dir):
     def work(lake):
         create_tables(spark, lake, [READINGS])
-        sinks.write_clean(_clean(spark, sf_dir), lake)
+        _twice(_clean(spark, sf_dir), sinks.write_clean, lake)
         return _reading_rows(sources.read_clean(spark, lake.path(READINGS)))
 
     return _in_new_lake(spark, work)
@@ -206,7 +220,7 @@ def clean_table(spark, sf_dir):
 def quarantine_table(spark, sf_dir):
     def work(lake):
         create_tables(spark, lake, [QUARANTINED])
-        sinks.write_quarantine(_quarantine(spark, sf_dir), lake)
+        _twice(_quarantine(spark, sf_dir), sinks.write_quarantine, lake)
         return _reading_rows(sources.read_quarantine(spark, lake.path(QUARANTINED)), "timestamp", "raw_line")
 
     return _in_new_lake(spark, work)
@@ -261,11 +275,22 @@ def run_max_key(spark, sf_dir):
 
 
 def empty_input_guard(spark, sf_dir):
-    """Groups after the last date find nothing: no rows, no latest key, hence nothing to claim."""
-    readings = _readings(spark, sf_dir)
-    after = [{"dt": _after(_window(readings)[1]).strftime("%Y-%m-%d"), "hours": []}]
-    found = sources.where_groups(readings, after)
-    return found.agg(F.max(mark_key()).alias("max_key"), F.count("*").alias("rows")).fillna("none", ["max_key"])
+    """Ingest the first date, then dates after the last: the second run finds nothing and touches no table."""
+
+    def work(lake):
+        readings = _readings(spark, sf_dir)
+        start, end = _window(readings)
+        _land(readings.where(F.col("dt") == start), lake)
+        create_tables(spark, lake)
+        parts = []
+        for day in (start, _after(end).strftime("%Y-%m-%d")):
+            found = ingest(spark, lake, [{"dt": day, "hours": []}], rules=EVENT_RULES)
+            counted = [spark.table(lake.table(t)).count() for t in (READINGS, QUARANTINED, PIPELINE_RUNS, MARK_LOG, DEVICES)]
+            parts.append((day, found or "none", *counted))
+        names = ("clean_rows", "quarantined_rows", "audit_rows", "marks", "devices")
+        return spark.createDataFrame(parts, "dt string, max_key string, " + ", ".join(f"{name} long" for name in names))
+
+    return _in_new_lake(spark, work)
 
 
 def counts_per_date(spark, sf_dir):
@@ -443,8 +468,19 @@ def hour_coverage(spark, sf_dir):
     return gaps.withColumn("hours", F.concat_ws(",", "hours"))
 
 
+# Ids and times of a run differ each time: one word each for what must hold of them.
+_RUN_VALUES = {
+    "run_id": "CASE WHEN run_id RLIKE '^[0-9]{8}T[0-9]{6}-[0-9a-f]{8}$' THEN 'an id' END",
+    "run_timestamp": "CASE WHEN run_timestamp = started_at THEN 'the start' END",
+    "started_at": "CASE WHEN to_timestamp(started_at) <= to_timestamp(completed_at) THEN 'a start' END",
+    "completed_at": "CASE WHEN to_timestamp(completed_at) <= now() THEN 'an end' END",
+    "duration_seconds": "CASE WHEN abs(cast(to_timestamp(completed_at) AS double) - cast(to_timestamp(started_at) AS double) "
+    "- duration_seconds) < 0.06 THEN 'their difference' END",
+}
+
+
 def full_run(spark, sf_dir):
-    """Land, backfill through the gate into the tables, refresh the KPIs: all that the run wrote, in one long form."""
+    """Land, backfill through the gate into the tables, refresh the KPIs: every row and column that the run wrote, in one long form."""
 
     def work(lake):
         readings = _readings(spark, sf_dir)
@@ -452,15 +488,16 @@ def full_run(spark, sf_dir):
         _land(readings, lake)
         run(spark, lake, backfill={"start_date": start, "end_date": end}, now=NOW, max_days=100_000, rules=EVENT_RULES)
         parts = []
-        for table in (READINGS, QUARANTINED, PIPELINE_RUNS, MARK_LOG, *KPI_COLUMNS):
+        for table in (READINGS, QUARANTINED, PIPELINE_RUNS, MARK_LOG, DEVICES, *KPI_COLUMNS):
             df = spark.table(lake.table(table))
             if table in (READINGS, QUARANTINED):
-                df = df.groupBy("dt", "hour").agg(F.count("*").alias("rows"))
-            # Run ids and times of a run differ each time. Averages of raw numbers may differ in
-            # the last place from averages of decimals; the queries of the KPIs compare those.
-            varying = {"run_id", "run_timestamp", "started_at", "completed_at", "duration_seconds"}
-            varying |= {c for c in df.columns if c.startswith(("avg_", "stddev_")) and c != "avg_battery_pct"}
-            values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")) for c in sorted(set(df.columns) - varying)]
+                numbers = (F.coalesce(F.col(c).cast("decimal(18,2)"), F.lit(-1)) for c in NUMERIC_COLUMNS)
+                df = df.withColumns(dict(zip(NUMERIC_COLUMNS, numbers, strict=True)))
+            if table == READINGS:
+                df = df.withColumn("event_ts", event_time_text(F.col("event_ts")))
+            if table == PIPELINE_RUNS:
+                df = df.withColumns({name: F.expr(sql) for name, sql in _RUN_VALUES.items()})
+            values = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("-")) for c in sorted(df.columns)]
             parts.append(df.select(F.lit(table).alias("table"), F.concat_ws("|", *values).alias("row")))
         return reduce(DataFrame.union, parts)
 
@@ -612,15 +649,18 @@ def _full_run_sql(health: str, audit: str) -> str:
         return _long_sql(table, source, **keys, **{name: name for name in measures}, **({"zone": "zone"} if more_keys else {}))
 
     counts = {c: c for c in ("dt", "device_type", "facility_id", "clean_reading_count", "quarantined_reading_count", "total_reading_count")}
-    hourly = 'SELECT dt, hour, count(*) AS "rows" FROM {} GROUP BY dt, hour'
-    hour_columns = {"dt": "dt", "hour": "hour", "rows": '"rows"'}
+    columns = {c: c for c in (*TEXT_COLUMNS, "event_ts", "dt", "hour")}
+    columns |= {c: f"CAST({c} AS DECIMAL(18,2))" for c in NUMERIC_COLUMNS}
+    average = money.format(_mean2("reading"))
     last = "(SELECT max(dt || 'T' || hour) AS key FROM readings)"
     parts = [
-        _long_sql(READINGS, hourly.format("clean"), **hour_columns),
-        _long_sql(QUARANTINED, hourly.format("bad"), **hour_columns),
+        _long_sql(READINGS, f"SELECT {READING_ROWS} FROM clean", **columns),
+        _long_sql(QUARANTINED, f"SELECT {READING_ROWS}, {TIME_TEXT} FROM bad", **columns, timestamp='"timestamp"', raw_line="NULL"),
+        _long_sql(DEVICES, "SELECT device_id, min(dt) AS first_dt FROM flagged GROUP BY device_id", device_id="device_id", first_dt="first_dt"),
         _long_sql(
             PIPELINE_RUNS, audit, dt="target_date", target_date="target_date", hours_processed="'ALL'", status="'SUCCESS'",
-            records_clean="records_clean", records_quarantined="records_quarantined",
+            records_clean="records_clean", records_quarantined="records_quarantined", run_id="'an id'",
+            run_timestamp="'the start'", started_at="'a start'", completed_at="'an end'", duration_seconds="'their difference'",
         ),
         _long_sql(
             MARK_LOG, last, pipeline_id="'ingest'", status="NULL", last_loaded_dt="split_part(key, 'T', 1)",
@@ -634,12 +674,18 @@ def _full_run_sql(health: str, audit: str) -> str:
             ops.DEVICE_HEALTH_TABLE, health, **counts, dq_failure_rate_pct=rate.format("dq_failure_rate_pct"),
             avg_battery_pct=money.format("avg_battery_pct"), min_battery_pct=money.format("min_battery_pct"),
         ),
-        kpi(ops.MOTOR_VIBRATION.table, "motor", max_vibration_mm_s=money.format("max(reading)")),
-        kpi(ops.COLD_STORAGE.table, "cold_storage_unit", total_door_open_count="CAST(sum(second) AS BIGINT)"),
-        kpi(ops.HVAC_STABILITY.table, "hvac_unit", ", zone"),
+        kpi(ops.MOTOR_VIBRATION.table, "motor", avg_vibration_mm_s=average, max_vibration_mm_s=money.format("max(reading)")),
+        kpi(
+            ops.COLD_STORAGE.table, "cold_storage_unit", avg_temperature_c=average,
+            total_door_open_count="CAST(sum(second) AS BIGINT)",
+        ),
+        kpi(
+            ops.HVAC_STABILITY.table, "hvac_unit", ", zone", avg_temperature_c=average,
+            stddev_temperature_c=money.format(_round2("stddev_samp(CAST(reading AS DOUBLE))")),
+        ),
         kpi(
             ops.ENERGY_VOLTAGE.table, "smart_meter", total_energy_kwh=money.format("sum(reading)"),
-            min_voltage=money.format("min(second)"),
+            avg_voltage=money.format(_mean2("second")), min_voltage=money.format("min(second)"),
         ),
     ]
     return " UNION ALL ".join(parts)
@@ -682,7 +728,7 @@ def lake_sql() -> dict[str, str]:
         "land_and_scan_raw": f"SELECT {READING_ROWS}, {TIME_TEXT} FROM readings",
         "land_two_batches": """
           SELECT dt, hour, count(*) AS "rows", count(*) FILTER (late) AS unreadable FROM (
-            SELECT dt, hour, false AS late FROM readings
+            SELECT dt, hour, false AS late FROM readings WHERE hour < '12' OR CAST(device_id AS BIGINT) % 2 = 1
             UNION ALL SELECT '2024-02-01', '05', true FROM readings WHERE CAST(device_id AS BIGINT) % 2 = 1)
           GROUP BY dt, hour""",
         "register_raw_partitions": 'SELECT dt, hour, count(*) AS "rows" FROM readings GROUP BY dt, hour',
@@ -709,8 +755,13 @@ def lake_sql() -> dict[str, str]:
         "run_summary": "SELECT * FROM summary",
         "run_max_key": "SELECT max(dt || 'T' || hour) AS max_key FROM readings",
         "empty_input_guard": """
-          SELECT COALESCE(max(dt || 'T' || hour), 'none') AS max_key, count(*) AS "rows" FROM readings
-          WHERE dt > (SELECT max(dt) FROM readings)""",
+          SELECT CASE WHEN n = 0 THEN first_dt ELSE next_dt END AS dt, CASE WHEN n = 0 THEN max_key ELSE 'none' END AS max_key,
+                 clean_rows, quarantined_rows, 1 AS audit_rows, 1 AS marks, devices
+          FROM (SELECT min(dt) AS first_dt, max(dt || 'T' || hour) AS max_key, count(*) FILTER (NOT is_bad) AS clean_rows,
+                       count(*) FILTER (is_bad) AS quarantined_rows, count(DISTINCT device_id) AS devices
+                FROM flagged WHERE dt = (SELECT min(dt) FROM readings)),
+               (SELECT strftime(CAST(max(dt) AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') AS next_dt FROM readings),
+               (SELECT unnest([0, 1]) AS n)""",
         "counts_per_date": "SELECT * FROM per_date",
         "partition_manifest": """
           SELECT dt, hour, bool_or(NOT is_bad) AS has_clean, bool_or(is_bad) AS has_quarantine
@@ -816,10 +867,10 @@ def _training_data() -> tuple[dict, dict]:
     try:
         import corpus_pipeline
         from telemetry_lake.llm import queries as llm
-    except ModuleNotFoundError as error:
-        if error.name in ("corpus_pipeline", "telemetry_lake.llm"):
-            return {}, {}
-        raise
+    except ImportError as error:
+        if getattr(error, "name", None) not in ("corpus_pipeline", "telemetry_lake.llm"):
+            warnings.warn(f"the training-data queries are left out: {error}", stacklevel=2)
+        return {}, {}
     sql = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
     return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, {**llm.ORACLES, **sql}
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from telemetry_lake import storage
-from telemetry_lake.schemas import AUDIT, CLEAN, KPI_COLUMNS, MARKS, QUARANTINE, RAW, RAW_LINE
+from telemetry_lake.schemas import AUDIT, CLEAN, DEVICE, KPI_COLUMNS, MARKS, QUARANTINE, RAW, RAW_LINE
 
 # --- fixed values: table names ---
 RAW_READINGS = "raw_readings"
@@ -17,6 +17,7 @@ READINGS = "sensor_readings"
 QUARANTINED = "quarantine_sensor_readings"
 PIPELINE_RUNS = "pipeline_runs"
 MARK_LOG = "progress_marks"
+DEVICES = "device_registry"
 # --- end of fixed values ---
 
 
@@ -45,6 +46,7 @@ TABLES = {
     QUARANTINED: (_columns(QUARANTINE), "json", ("dt", "hour")),
     PIPELINE_RUNS: (_columns(AUDIT), "json", ("dt",)),
     MARK_LOG: (_columns(MARKS), "parquet", ()),
+    DEVICES: (_columns(DEVICE), "parquet", ()),
     **{name: (f"{columns}, dt DATE", "parquet", ("dt",)) for name, columns in KPI_COLUMNS.items()},
 }
 

@@ -1,6 +1,7 @@
 """DataFrame operators."""
 
 from telemetry_lake.operators.audit import audit_records
+from telemetry_lake.operators.devices import known_devices, new_devices
 from telemetry_lake.operators.gate import clean, dq_gate, duplicate_keys, flag_duplicates, quarantine
 from telemetry_lake.operators.kpi import (
     COLD_STORAGE,
@@ -52,10 +53,12 @@ __all__ = [
     "expected_partitions",
     "flag_duplicates",
     "full_join",
+    "known_devices",
     "kpi_lookup",
     "max_clean_date",
     "missing_dates",
     "missing_hours",
+    "new_devices",
     "newer_marks",
     "partition_manifest",
     "quarantine",

@@ -25,8 +25,12 @@ def mean(column: str) -> Column:
 
 
 def rounded(value: Column) -> Column:
-    """Two places; null where the value does not fit, so that one reading cannot stop a run."""
-    return F.round(value, 2).try_cast(MEASURE)
+    """Two places; null where the value does not fit, so that one reading cannot stop a run.
+
+    Doubles added in another order differ in their last digits, which would turn a half up
+    one time and down the next; the ninth place settles that first.
+    """
+    return F.round(F.round(value, 9), 2).try_cast(MEASURE)
 
 
 # How each aggregate of a KPI is computed and stored.

@@ -116,10 +116,12 @@ def coverage_gaps(readings: DataFrame, key: str, start: str, end: str, keys: Dat
     """Expected hours without rows: (key, dt, hours), for every key and date that lacks some.
 
     An hour skipped in mid-day never becomes due again by the marks; this finds it.
-    `keys` says which keys report (by default all that ever did), so a key without any
-    row in the range appears too. Only the range is scanned for hours. A key's day is
-    reduced to a 24-bit map before the shuffle, and a key holds one number per date of
-    the range, so neither the readings nor the full calendar are ever moved.
+    `keys` says which keys report (by default all that ever did, which reads all history;
+    the lake's device registry spares that), so a key without any row in the range appears
+    too. Only the range is scanned for hours. A key's day is reduced to a 24-bit map before
+    the shuffle, and only these maps are moved, never the calendar: a day with some hours
+    gives its own gaps, and the days without any are what the range has beyond those, taken
+    as a difference of two lists per key. The work is linear in keys and days.
     """
     known = F.col(key).isNotNull()
     keys = (readings if keys is None else keys).where(known).select(key).distinct()
@@ -128,10 +130,15 @@ def coverage_gaps(readings: DataFrame, key: str, start: str, end: str, keys: Dat
         .groupBy(key, "dt")
         .agg(F.expr("bit_or(shiftleft(1, cast(hour AS int)))").alias("seen"))
     )
-    by_date = seen_hours.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("dt", "seen"))).alias("by_date"))
+    by_date = seen_hours.groupBy(key).agg(F.collect_list(F.struct("dt", "seen")).alias("by_date"))
     first, last = (_day(date.fromisoformat(d)) for d in (start, end))
-    days = keys.join(by_date, key, "left").select(key, "by_date", F.explode(F.sequence(first, last)).alias("day"))
-    days = days.select(key, F.col("day").cast("string").alias("dt"), "by_date")
-    days = days.withColumn("seen", F.coalesce(F.try_element_at("by_date", F.col("dt")), F.lit(0)))
+    calendar = F.transform(F.sequence(first, last), lambda day: day.cast("string"))
+    gaps = F.expr("filter(by_date, d -> d.seen <> (1 << 24) - 1)")
+    whole_days = F.transform(
+        F.array_except(calendar, F.coalesce(F.col("by_date.dt"), F.array().cast("array<string>"))),
+        lambda dt: F.struct(dt.alias("dt"), F.lit(0).alias("seen")),
+    )
+    gaps = F.concat(F.coalesce(gaps, F.array().cast("array<struct<dt:string,seen:int>>")), whole_days)
+    days = keys.join(by_date, key, "left").select(key, F.explode(gaps).alias("day")).select(key, "day.dt", "day.seen")
     unseen = F.expr("filter(sequence(0, 23), h -> getbit(seen, h) = 0)")
-    return days.where("seen <> (1 << 24) - 1").select(key, "dt", F.transform(unseen, two_digits).alias("hours"))
+    return days.select(key, "dt", F.transform(unseen, two_digits).alias("hours"))

@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.functions.rules import REPORT_KEY, REQUIRED_COLUMNS, SENSOR_RULES, RangeRule
-from telemetry_lake.lake import MARK_LOG, QUARANTINED, RAW_READINGS, READINGS, Lake, drop_partitions
+from telemetry_lake.lake import DEVICES, MARK_LOG, QUARANTINED, RAW_READINGS, READINGS, Lake, drop_partitions
 from telemetry_lake.operators import gate
 from telemetry_lake.operators.audit import audit_records
+from telemetry_lake.operators.devices import new_devices
 from telemetry_lake.operators.marks import current_marks, newer_marks
 from telemetry_lake.operators.summary import partition_manifest, run_max_key, run_summary
 from telemetry_lake.schemas import GROUPS
 from telemetry_lake.session import size_shuffles
-from telemetry_lake.sinks import append_audit, append_marks, write_clean, write_quarantine
+from telemetry_lake.sinks import append_audit, append_devices, append_marks, write_clean, write_quarantine
 from telemetry_lake.sources.raw import DateGroup, normalize, read_raw, with_event_ts
 from telemetry_lake.storage import Staging
 
@@ -37,11 +38,11 @@ def ingest(
     required: Iterable[str] = REQUIRED_COLUMNS,
     key: Sequence[str] = REPORT_KEY,
     prune_stale: bool = True,
-    broadcast_keys: int = gate.BROADCAST_KEYS,
+    filter_blocks: int = gate.FILTER_BLOCKS,
 ) -> str | None:
     """Run the stage for the given date groups; return the latest `<dt>T<HH>` found, or None.
 
-    Order: write, register (by the inserts), audit, mark. A crash at any point means the
+    Order: write, register (by the inserts), audit, devices, mark. A crash at any point means the
     same work is done again, never that work is taken as done. With `prune_stale`, an hour
     read by this run that now has no good (or no bad) rows loses its old partition.
     """
@@ -50,13 +51,14 @@ def ingest(
     size_shuffles(raw)
     readings = with_event_ts(normalize(raw))
     with Staging(spark) as staging:
-        # First pass, key columns only. Its stored result has a known size, which decides
-        # how the second pass joins the rows with it; the rows are the same either way.
+        # First pass, key columns only; second pass, all columns, without a shuffle. Both are
+        # stored on the shared folder, so that a lost executor costs no further parse. Only
+        # rows that may be copies are then moved, to the repeated keys.
         keys = staging.save(gate.duplicate_keys(readings, key), "duplicate_keys")
-        flagged = gate.dq_gate(readings, rules, required, key, keys, keys.count() <= broadcast_keys)
-        # Used three times, by the summary and two writes: stored once on the shared folder,
-        # so that a lost executor costs no second parse and join.
-        flagged = staging.save(flagged, "flagged")
+        marked = staging.save(gate.mark_suspects(readings, key, keys, filter_blocks), "marked")
+        settled = staging.save(gate.settle_suspects(marked, key, keys), "settled")
+        told = marked.where(F.col("_dup").isNotNull())
+        flagged = gate.with_verdict(told.unionByName(settled), rules, required)
         summary = staging.save(run_summary(flagged), "summary")
         max_key = run_max_key(summary).first().max_key
         if max_key is None:
@@ -68,6 +70,9 @@ def ingest(
         run = _run_values(started)
         requested = spark.createDataFrame([(g["dt"], list(g.get("hours") or [])) for g in groups], GROUPS)
         append_audit(audit_records(requested, summary, max_key.split("T")[0], run), lake)
+        newcomers = staging.save(new_devices(flagged.select("device_id", "dt"), spark.table(lake.table(DEVICES))), "newcomers")
+        if not newcomers.isEmpty():
+            append_devices(newcomers, lake)
     move_mark(spark, lake, INGEST_ID, "last_loaded_key", max_key)
     return max_key
 

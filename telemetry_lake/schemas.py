@@ -74,6 +74,9 @@ MARKS = T.StructType(
     )
 )
 
+# Sightings of devices: the registry is a log of them.
+DEVICE = T.StructType(_fields(("device_id", "first_dt"), T.StringType()))
+
 GROUPS = T.StructType(
     [
         T.StructField("dt", T.StringType()),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,10 @@ JOB_CONF = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
 
+# What a sink needs, whatever the caller's session says: hours in UTC, and an overwrite that
+# replaces the partitions of the new rows only. With Spark's default it would empty the table.
+SINK_CONF = {name: JOB_CONF[name] for name in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode")}
+
 # Settings that must be there when the session is created.
 CREATION_CONF = {
     # Do not look up the Python call site of every column expression: rules make many.
@@ -49,15 +53,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 @contextmanager
-def job_settings(spark: SparkSession) -> Iterator[None]:
-    """The job settings for a while; afterwards the session has its own again.
+def settings(spark: SparkSession, conf: Mapping[str, str], *others: str) -> Iterator[None]:
+    """Settings for a while; afterwards the session has its own again, of `others` too.
 
     For work that ends inside: a lazy result that is read later runs with the settings of then.
     """
-    names = [*JOB_CONF, INITIAL_PARTITIONS]
-    before = {name: spark.conf.get(name, None) for name in names}
-    configure(spark)
+    before = {name: spark.conf.get(name, None) for name in (*conf, *others)}
     try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
         yield
     finally:
         for name, value in before.items():
@@ -67,6 +71,16 @@ def job_settings(spark: SparkSession) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def job_settings(spark: SparkSession):
+    """The job settings for a while."""
+    return settings(spark, JOB_CONF, INITIAL_PARTITIONS)
+
+
+def sink_settings(spark: SparkSession):
+    """What a sink needs for a while."""
+    return settings(spark, SINK_CONF)
+
+
 def build_session(app_name: str = "telemetry_lake", **conf: str) -> SparkSession:
     """Create (or get) a session with the job settings; `conf` wins over them.
 

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import re
+import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake import storage
 from telemetry_lake.functions.times import date_text, event_time, event_time_text, hour_text
+from telemetry_lake.journal import Journal, Landing, base_name
 from telemetry_lake.lake import QUARANTINED, RAW_READINGS, READINGS, Lake, create_tables, register_partitions
 from telemetry_lake.schemas import CLEAN, QUARANTINE, RAW_LINE
+from telemetry_lake.session import sink_settings
+from telemetry_lake.sinks.partitions import replace_partitions
+from telemetry_lake.storage import Staging
 
 
-def _replace_partitions(df: DataFrame, table: str, *order: str) -> None:
-    """Overwrite the partitions found in `df`; the insert lists them in the catalog.
+def _replace_hours(df: DataFrame, lake: Lake, table: str, *order: str) -> None:
+    """Overwrite the hours found in `df`; the insert lists them in the catalog.
 
     A task holds rows of many hours, whether they come from a shuffle or from a scan that
     packs small files. The rebalance gathers an hour into few files and splits a large
@@ -23,43 +27,64 @@ def _replace_partitions(df: DataFrame, table: str, *order: str) -> None:
     later scans skip row groups.
     """
     df = df.hint("rebalance", "dt", "hour")
-    df.sortWithinPartitions("dt", "hour", *order).write.insertInto(table, overwrite=True)
+    replace_partitions(df.sortWithinPartitions("dt", "hour", *order), lake, table)
 
 
 def write_clean(df: DataFrame, lake: Lake) -> None:
     """Clean readings as Parquet."""
-    _replace_partitions(df.select(*CLEAN.names), lake.table(READINGS), "device_type", "device_id")
+    _replace_hours(df.select(*CLEAN.names), lake, READINGS, "device_type", "device_id")
 
 
 def write_quarantine(df: DataFrame, lake: Lake) -> None:
     """Bad readings as JSON, for people to look at; with the text of lines that cannot be read."""
-    as_text = df.withColumn("event_ts", event_time_text(F.col("event_ts")))
-    if RAW_LINE not in df.columns:
-        as_text = as_text.withColumn(RAW_LINE, F.lit(None).cast("string"))
-    _replace_partitions(as_text.select(*QUARANTINE.names), lake.table(QUARANTINED))
+    with sink_settings(df.sparkSession):
+        as_text = df.withColumn("event_ts", event_time_text(F.col("event_ts")))
+        if RAW_LINE not in df.columns:
+            as_text = as_text.withColumn(RAW_LINE, F.lit(None).cast("string"))
+        _replace_hours(as_text.select(*QUARANTINE.names), lake, QUARANTINED)
 
 
 def land_raw(df: DataFrame, lake: Lake, batch: str, landed_at: datetime, time_col: str = "timestamp") -> None:
-    """Add a batch of incoming readings to the raw table, as JSON lines below the hour of their own time (UTC).
+    """Put a batch of incoming readings into the raw table, as JSON lines below the hour of their own time (UTC).
 
-    `batch` names the batch and is part of its files' names. Landing it again replaces its
-    own files and nothing else, so a late or repeated batch never takes rows of another
-    away. Its hours are listed in the catalog. `landed_at` belongs to the batch: a reading
-    whose time cannot be read is filed under that hour, so that the gate gets to see it.
-    No readings write nothing.
+    `batch` names the batch. Landing it again replaces what it held, in all hours, and
+    nothing else: a corrected batch takes the place of the old one, and a late or repeated
+    one never takes rows of another away. The journal makes that one step for readers: until
+    the new files are all there and listed the old ones count, then only the new ones. A
+    landing that was broken off is undone, or finished, when the batch is landed again or by
+    `settle_landing`; no rows of it are lost or doubled meanwhile.
+
+    Hours are listed in the catalog. `landed_at` belongs to the batch: a reading whose time
+    cannot be read is filed under that hour, so that the gate gets to see it. The input is
+    evaluated once, into a staged table. No readings write nothing, or empty the batch.
     """
     if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
         raise ValueError(f"batch {batch!r} is not made of letters, digits, _ and -")
-    spark = df.sparkSession
-    ts = F.coalesce(event_time(F.col(time_col)), F.lit(landed_at.strftime("%Y-%m-%d %H:00:00")).cast("timestamp"))
-    landed = df.withColumns({"dt": date_text(ts), "hour": hour_text(ts)})
-    # At most one row per hour of the batch.
-    hours = landed.select("dt", "hour").distinct().collect()
-    name, path = f"batch_{batch}.", lake.path(RAW_READINGS)
+    spark, path = df.sparkSession, lake.path(RAW_READINGS)
     create_tables(spark, lake, [RAW_READINGS])
-    for row in hours:
-        for file in storage.matching(spark, f"{path}/dt={row.dt}/hour={row.hour}/{name}-*"):
-            storage.delete(spark, file)
-    writer = landed.hint("rebalance", "dt", "hour").write.mode("append").option("mapreduce.output.basename", name)
-    writer.partitionBy("dt", "hour").json(path)
-    register_partitions(spark, lake, RAW_READINGS, spark.createDataFrame(hours, landed.select("dt", "hour").schema))
+    journal = Journal(spark, path)
+    settle_landing(spark, lake, batch)
+    with sink_settings(spark), Staging(spark) as staging:
+        filed_under = F.lit(landed_at.strftime("%Y-%m-%d %H:00:00")).cast("timestamp")
+        ts = F.coalesce(event_time(F.col(time_col)), filed_under)
+        landed = staging.save(df.withColumns({"dt": date_text(ts), "hour": hour_text(ts)}), "landed")
+        # At most one row per hour of the batch.
+        hours = landed.select("dt", "hour").distinct().orderBy("dt", "hour").collect()
+        versions = journal.versions(batch)
+        if not hours and not versions:
+            return
+        new = Landing(versions[-1] + 1 if versions else 0, uuid.uuid4().hex, tuple((row.dt, row.hour) for row in hours))
+        journal.begin(batch, new)
+        if hours:
+            writer = landed.hint("rebalance", "dt", "hour").write.mode("append").partitionBy("dt", "hour")
+            writer.option("mapreduce.output.basename", base_name(batch, new.attempt)).json(path)
+            register_partitions(spark, lake, RAW_READINGS, spark.createDataFrame(hours, landed.select("dt", "hour").schema))
+        files = tuple(journal.files_of(batch, new))
+        journal.commit(batch, Landing(new.number, new.attempt, new.hours, files))
+    settle_landing(spark, lake, batch)
+
+
+def settle_landing(spark: SparkSession, lake: Lake, batch: str) -> None:
+    """Finish or undo a landing of the batch that was broken off; otherwise nothing happens."""
+    Journal(spark, lake.path(RAW_READINGS)).settle(batch)
+    spark.catalog.refreshTable(lake.table(RAW_READINGS))

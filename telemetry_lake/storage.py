@@ -8,6 +8,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +79,44 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return [status.getPath().toString() for status in (fs.globStatus(target) or [])]
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, in order; an absent folder has nothing in it."""
+    fs, target = _locate(spark, path)
+    if not fs.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in fs.listStatus(target))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written aside, then renamed. It must be new."""
+    aside = f"{path}.{uuid.uuid4().hex}"
+    fs, target = _locate(spark, aside)
+    stream = fs.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not fs.rename(target, _locate(spark, path)[1]):
+        fs.delete(target, False)
+        raise FileExistsError(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, target = _locate(spark, path)
+    stream = fs.open(target)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def files_in(spark: SparkSession, folders: Iterable[str]) -> list[str]:
+    """All files below the folders, listed by Spark: in tasks where the folders are many."""
+    folders = list(folders)
+    if not folders:
+        return []
+    found = spark.read.option("recursiveFileLookup", "true").text(folders)
+    return sorted(unquote(file) for file in found.inputFiles())
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, target = _locate(spark, path)
     fs.delete(target, True)

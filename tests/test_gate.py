@@ -103,6 +103,33 @@ def test_duplicates_equal_the_window(spark, mode, monkeypatch):
         flagged.unpersist()
 
 
+@pytest.mark.parametrize("blocks", [gate.FILTER_BLOCKS, 8, 1])
+def test_suspects_equal_the_window(spark, tmp_path, blocks, monkeypatch):
+    """Settled with a good, a poor and a full filter; with the good one little more than the copies is moved."""
+    monkeypatch.setattr(gate, "HOT_KEYS", 2)
+    monkeypatch.setattr(gate, "HOT_COPIES", 100)
+    n = F.col("id")
+    rows = spark.range(0, 30_000, 1, 7).select(
+        "id",
+        F.when(n % 3 == 0, "hot").when(n % 50 != 1, F.when(n % 40 == 2, n % 999).otherwise(n).cast("string")).alias("device_id"),
+        F.when(n % 70 != 1, F.lit(datetime(2026, 1, 1))).alias("event_ts"),
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows, key = spark.read.parquet(str(tmp_path / "rows")), ("device_id", "event_ts")
+    expected = rows.withColumn("_dup", F.count("*").over(Window.partitionBy(*key)) > 1).cache()
+    gate.duplicate_keys(rows, key).write.parquet(str(tmp_path / "keys"))
+    keys = spark.read.parquet(str(tmp_path / "keys"))
+    marked = gate.mark_suspects(rows, key, keys, blocks)
+    flagged = marked.where("_dup IS NOT NULL").unionByName(gate.settle_suspects(marked, key, keys))
+    assert flagged.exceptAll(expected).isEmpty() and expected.exceptAll(flagged).isEmpty()
+    moved, hot = gate.suspects(marked).count(), marked.where("_dup").count()
+    copies = expected.where("_dup").count()
+    assert hot >= 9_000 and moved + hot >= copies
+    if blocks == gate.FILTER_BLOCKS:
+        assert moved + hot <= copies + 30
+    assert "Exchange hashpartitioning(device_id" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_hot_key_is_spread_over_the_reducers(spark):
     """In the shuffled form no reducer gets the copies of the hot key together."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)

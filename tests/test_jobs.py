@@ -14,11 +14,15 @@ from pyspark.sql import functions as F
 
 from telemetry_lake import Lake, configure, create_tables, sinks, sources
 from telemetry_lake import operators as ops
-from telemetry_lake.lake import MARK_LOG, PIPELINE_RUNS, QUARANTINED, RAW_READINGS, READINGS, drop_partitions
-from telemetry_lake.plans import due_dates, due_groups, ingest, refresh, run
+from telemetry_lake import storage
+from telemetry_lake.journal import Journal
+from telemetry_lake.lake import DEVICES, MARK_LOG, PIPELINE_RUNS, QUARANTINED, RAW_READINGS, READINGS, drop_partitions
+from telemetry_lake.operators import gate
+from telemetry_lake.plans import coverage, due_dates, due_groups, ingest, refresh, run
 from telemetry_lake.plans.ingest import move_mark
 from telemetry_lake.schemas import CLEAN, GROUPS, KPI_COLUMNS
 from telemetry_lake.session import size_shuffles
+from telemetry_lake.sinks.results import LOG_FILES, REPLACED
 
 
 @pytest.fixture
@@ -71,11 +75,11 @@ DAY = {"start_date": "2026-01-01", "end_date": "2026-01-01"}
 GROUP = [{"dt": "2026-01-01", "hours": []}]
 
 
-@pytest.mark.parametrize("limit", [500_000, -1])
-def test_run_is_repeatable(spark, lake, limit):
+@pytest.mark.parametrize("blocks", [gate.FILTER_BLOCKS, 1])
+def test_run_is_repeatable(spark, lake, blocks):
     two_hours(lake)
     for _ in range(2):
-        result = run(spark, lake, backfill=DAY, broadcast_keys=limit)
+        result = run(spark, lake, backfill=DAY, filter_blocks=blocks)
         assert (result.loaded_until, result.aggregated_until) == ("2026-01-01T01", "2026-01-01")
         assert keys(spark.table(lake.table(READINGS)), "device_id", "hour") == [
             ("h1", "00"),
@@ -260,6 +264,162 @@ def test_batches_do_not_touch_each_other(spark, lake):
     assert spark.table(lake.table(READINGS)).count() == 5
 
 
+@pytest.fixture
+def plain_session(spark, lake):
+    """The session with Spark's own default: an overwrite empties the table."""
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "static")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    yield spark
+    assert spark.conf.get(mode) == "static" and spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    spark.conf.set(mode, "dynamic")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_sinks_keep_other_partitions_in_a_plain_session(plain_session, lake):
+    spark = plain_session
+    for day in ("2026-01-01", "2026-01-02", "2026-01-02"):
+        row = spark.createDataFrame([reading("m1", "00", day) | {"dt": day, "hour": "05", "event_ts": datetime(2026, 1, 1)}])
+        rows = row.select(*(c if c in row.columns else F.lit(None).cast(CLEAN[c].dataType).alias(c) for c in CLEAN.names))
+        sinks.write_clean(rows, lake)
+        sinks.write_quarantine(rows.withColumn("timestamp", F.lit("nope")), lake)
+        kpi = spark.sql(f"SELECT 'm1' device_id, 'F' facility_id, 1.0 avg_vibration_mm_s, 2.0 max_vibration_mm_s, 1L reading_count, date'{day}' dt")
+        sinks.range_replace(spark, lake, "daily_motor_vibration_trend", kpi, day, day)
+    for table in (READINGS, QUARANTINED, "daily_motor_vibration_trend"):
+        assert keys(spark.table(lake.table(table)), "dt") == [("2026-01-01",), ("2026-01-02",)]
+
+
+def test_jobs_in_a_plain_session(plain_session, lake):
+    """Landing files by UTC hours, and a whole run, whatever the session says."""
+    rows = plain_session.createDataFrame([reading("m1", "23", vibration_mm_s=1.0), reading("m2", "01", vibration_mm_s=1.0)])
+    sinks.land_raw(rows, lake, "a", datetime(2026, 1, 1, 14))
+    assert landed(plain_session, lake) == [("m1", "2026-01-01", "23"), ("m2", "2026-01-01", "01")]
+    for day in ("2026-01-01", "2026-01-02"):
+        put_raw(lake, [reading("m3", "05", day, vibration_mm_s=1.0)], day, "05")
+        run(plain_session, lake, backfill={"start_date": day, "end_date": day})
+    assert keys(plain_session.table(lake.table(READINGS)), "device_id", "dt") == [
+        ("m1", "2026-01-01"), ("m2", "2026-01-01"), ("m3", "2026-01-01"), ("m3", "2026-01-02")
+    ]
+
+
+def test_a_write_that_loses_partitions_is_heard_of(spark, lake, monkeypatch):
+    from telemetry_lake.sinks import partitions
+
+    names = iter([{"dt=1", "dt=2"}, {"dt=2"}])
+    monkeypatch.setattr(partitions, "partition_names", lambda *_: next(names))
+    kpi = spark.table(lake.table("daily_motor_vibration_trend")).limit(0)
+    with pytest.raises(RuntimeError, match="lost 1 partitions"):
+        partitions.replace_partitions(kpi, lake, "daily_motor_vibration_trend")
+
+
+NOON = datetime(2026, 1, 1, 14, 37)
+
+
+def test_landing_again_with_fewer_hours(spark, lake):
+    first = [reading("m1", "12"), reading("m2", "13"), reading("m3", "13", "2026-01-02")]
+    sinks.land_raw(spark.createDataFrame(first), lake, "a", NOON)
+    sinks.land_raw(spark.createDataFrame([reading("other", "13")]), lake, "b", NOON)
+    sinks.land_raw(spark.createDataFrame([reading("m9", "13")]), lake, "a", NOON)
+    assert landed(spark, lake) == [("m9", "2026-01-01", "13"), ("other", "2026-01-01", "13")]
+    sinks.land_raw(spark.createDataFrame(first).limit(0), lake, "a", NOON)
+    assert landed(spark, lake) == [("other", "2026-01-01", "13")]
+    journal = Journal(spark, lake.path(RAW_READINGS))
+    assert journal.hidden() == set() and journal.versions("a") == [2]
+
+
+def read_devices(spark, lake):
+    return sorted(r.device_id for r in sources.read_raw(spark, lake.path(RAW_READINGS), GROUP).collect())
+
+
+class Abort(Exception):
+    pass
+
+
+def abort(*_, **__):
+    raise Abort
+
+
+def test_a_landing_broken_off_before_its_manifest_is_undone(spark, lake, monkeypatch):
+    old, new = (spark.createDataFrame([reading(d, h) for h in hours]) for d, hours in (("old", ("12", "13")), ("new", ("13", "14"))))
+    sinks.land_raw(old, lake, "a", NOON)
+    with monkeypatch.context() as patch, pytest.raises(Abort):
+        patch.setattr(Journal, "commit", abort)
+        sinks.land_raw(new, lake, "a", NOON)
+    # The files of both are there; readers see the one that counts.
+    assert len(landed(spark, lake)) == 4
+    assert read_devices(spark, lake) == ["old", "old"]
+    assert sources.read_raw(spark, lake.path(RAW_READINGS)).count() == 2
+    sinks.settle_landing(spark, lake, "a")
+    assert landed(spark, lake) == [("old", "2026-01-01", "12"), ("old", "2026-01-01", "13")]
+    sinks.land_raw(new, lake, "a", NOON)
+    assert read_devices(spark, lake) == ["new", "new"] and len(landed(spark, lake)) == 2
+
+
+def test_a_landing_broken_off_after_its_manifest_is_finished(spark, lake, monkeypatch):
+    old, new = (spark.createDataFrame([reading(d, h) for h in hours]) for d, hours in (("old", ("12", "13")), ("new", ("13", "14"))))
+    sinks.land_raw(old, lake, "a", NOON)
+    with monkeypatch.context() as patch, pytest.raises(Abort):
+        patch.setattr(Journal, "_remove", abort)
+        sinks.land_raw(new, lake, "a", NOON)
+    assert len(landed(spark, lake)) == 4
+    assert read_devices(spark, lake) == ["new", "new"]
+    sinks.settle_landing(spark, lake, "a")
+    assert read_devices(spark, lake) == ["new", "new"] and len(landed(spark, lake)) == 2
+    assert Journal(spark, lake.path(RAW_READINGS)).hidden() == set()
+
+
+def test_landing_evaluates_its_input_once(spark, lake):
+    counter = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            counter.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([reading(f"m{n}", "12") for n in range(10)])
+    sinks.land_raw(df.mapInArrow(count, df.schema), lake, "a", NOON)
+    assert counter.value == 10 and len(landed(spark, lake)) == 10
+
+
+def calls_of(monkeypatch):
+    """Counts the calls for names in the file system."""
+    made = Counter()
+    for name in ("matching", "children", "exists"):
+        def counted(*args, _name=name, _work=getattr(storage, name)):
+            made[_name] += 1
+            return _work(*args)
+
+        monkeypatch.setattr(storage, name, counted)
+    return made
+
+
+def test_a_long_backfill_asks_for_names_a_bounded_number_of_times(spark, lake, monkeypatch):
+    from datetime import date, timedelta
+
+    days = [str(date(2025, 1, 1) + timedelta(days=n)) for n in range(365)]
+    for day in days[::50]:
+        put_raw(lake, [reading("m1", "05", day), reading("m2", "05", day)], day, "05")
+        put_raw(lake, [reading("m1", "06", day)], day, "06")
+    made = calls_of(monkeypatch)
+    whole = sources.read_raw(spark, lake.path(RAW_READINGS), [{"dt": day, "hours": []} for day in days])
+    assert whole.count() == 3 * len(days[::50]) and sum(made.values()) <= 10
+    made.clear()
+    parts = sources.read_raw(spark, lake.path(RAW_READINGS), [{"dt": day, "hours": ["06", "07"]} for day in days])
+    assert parts.count() == len(days[::50]) and sum(made.values()) <= 10
+
+
+def test_coverage_of_registered_devices(spark, lake):
+    put_raw(lake, [reading("m1", "00"), reading("m1", "00"), reading("m2", "00")], "2026-01-01", "00")
+    put_raw(lake, [reading("m1", "01", "2026-01-02")], "2026-01-02", "01")
+    for day in ("2026-01-02", "2026-01-01", "2026-01-01"):
+        ingest(spark, lake, [{"dt": day, "hours": []}])
+    registry = spark.table(lake.table(DEVICES))
+    assert keys(ops.known_devices(registry), "device_id", "first_dt") == [("m1", "2026-01-01"), ("m2", "2026-01-01")]
+    assert registry.count() == 3  # a rerun adds nothing
+    gaps = {(r.device_id, r.dt): len(r.hours) for r in coverage(spark, lake, "2026-01-02", "2026-01-03").collect()}
+    assert gaps == {("m1", "2026-01-02"): 23, ("m2", "2026-01-02"): 24, ("m1", "2026-01-03"): 24, ("m2", "2026-01-03"): 24}
+
+
 def test_landing_nothing_and_bad_names(spark, lake):
     df = spark.createDataFrame([reading("m1", "13")])
     sinks.land_raw(df.limit(0), lake, "empty", datetime(2026, 1, 1))
@@ -310,13 +470,13 @@ def test_audit_counts_beyond_an_int(spark, lake):
     assert spark.table(lake.table(PIPELINE_RUNS)).first().records_clean == 3_000_000_000
 
 
-@pytest.mark.parametrize("limit", [500_000, -1])
-def test_small_raw_files_become_few_clean_ones(spark, lake, limit):
+@pytest.mark.parametrize("blocks", [gate.FILTER_BLOCKS, 1])
+def test_small_raw_files_become_few_clean_ones(spark, lake, blocks):
     """480 files in 24 hours: one or two files per partition, however the gate joined."""
     for hour in range(24):
         for part in range(20):
             put_raw(lake, [reading(f"m{part}", f"{hour:02d}", vibration_mm_s=1.0)], "2026-01-01", f"{hour:02d}", f"b{part}.jsonl")
-    run(spark, lake, "ingest_only", backfill=DAY, broadcast_keys=limit)
+    run(spark, lake, "ingest_only", backfill=DAY, filter_blocks=blocks)
     folders = list((Path(lake.path(READINGS)) / "dt=2026-01-01").iterdir())
     assert len(folders) == 24
     assert max(len(list(folder.glob("*.parquet"))) for folder in folders) <= 2
@@ -328,11 +488,28 @@ def test_mark_log_stays_small(spark, lake):
         move_mark(spark, lake, "p", "last_loaded_key", f"2026-01-{hour // 24 + 1:02d}T{hour % 24:02d}")
         if hour % 10 == 0:
             move_mark(spark, lake, "q", "last_aggregated_dt", f"2026-01-{hour // 10 + 1:02d}")
-    assert len(list(Path(lake.path(MARK_LOG)).glob("*.parquet"))) <= 17
+    # Those of the log, and those that the latest snapshot replaced.
+    assert len(list(Path(lake.path(MARK_LOG)).glob("*.parquet"))) <= 2 * (LOG_FILES + 1)
     marks = {r.pipeline_id: r for r in ops.current_marks(spark.table(lake.table(MARK_LOG))).collect()}
     assert marks["p"].last_loaded_key == "2026-01-03T01" and marks["q"].last_aggregated_dt == "2026-01-05"
 
 
+def test_a_reader_that_listed_the_log_before_a_compaction_keeps_its_marks(spark, lake):
+    path = Path(lake.path(MARK_LOG))
+    for hour in range(LOG_FILES):
+        move_mark(spark, lake, "p", "last_loaded_key", f"2026-01-01T{hour:02d}")
+    table = spark.table(lake.table(MARK_LOG))
+    listed = spark.read.schema(table.schema).parquet(*(str(f) for f in path.glob("*.parquet")))
+    move_mark(spark, lake, "p", "last_loaded_key", "2026-01-01T20")
+    assert (path / REPLACED).exists()
+    assert ops.current_marks(listed).first().last_loaded_key == f"2026-01-01T{LOG_FILES - 1:02d}"
+    # At the compaction after this one they go.
+    for hour in range(LOG_FILES + 1):
+        move_mark(spark, lake, "p", "last_loaded_key", f"2026-01-02T{hour:02d}")
+    assert not any(Path(f.replace("file://", "")).exists() for f in listed.inputFiles())
+    assert ops.current_marks(spark.table(lake.table(MARK_LOG))).first().last_loaded_key == f"2026-01-02T{LOG_FILES:02d}"
+
+
 def test_session_settings_come_back(spark, lake):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     before = {r["key"]: r["value"] for r in spark.sql("SET").collect()}

@@ -132,6 +132,31 @@ def test_coverage_gaps(spark):
     assert {(r.device_id, r.dt): r.hours for r in gaps.collect()} == expected
 
 
+def test_coverage_grows_with_keys_and_days(spark, tmp_path):
+    """A thousand keys over four years: in seconds, and twice the days take about twice as long."""
+    import time
+
+    def seconds(start, end):
+        begun = time.perf_counter()
+        gaps = ops.coverage_gaps(table, "device_id", start, end, keys)
+        rows = gaps.agg(F.count("*"), F.sum(F.size("hours"))).first()
+        return time.perf_counter() - begun, tuple(rows)
+
+    day = F.expr("cast(date_add(date'2022-01-01', cast(id % 1461 AS int)) AS string)")
+    n = F.col("id")
+    rows = spark.range(0, 1000 * 1461, 1, 8).select(
+        (n / 1461).cast("long").cast("string").alias("device_id"), day.alias("dt"), F.lpad((n % 24).cast("string"), 2, "0").alias("hour")
+    )
+    rows.where(n % 1461 % 10 != 0).write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    keys = spark.range(1000).select(F.col("id").cast("string").alias("device_id"))
+    seconds("2022-01-01", "2022-01-31")
+    half, _ = seconds("2022-01-01", "2023-12-31")
+    whole, counts = seconds("2022-01-01", "2025-12-31")
+    assert counts == (1000 * 1461, 1000 * (147 * 24 + 1314 * 23))
+    assert whole < 20 and whole < 4 * half + 2
+
+
 def test_coverage_of_given_keys_scans_the_range_only(spark, tmp_path):
     rows = [("a", "2026-01-01", "05"), ("old", "2025-01-01", "00")]
     readings = spark.createDataFrame(rows, ["device_id", "dt", "hour"])
