@@ -48,6 +48,21 @@ def _forget(spark: SparkSession, path: str) -> None:
         return
 
 
+# Rows of the batches in which texts are read and go to Python. With Spark's defaults of 4 096
+# and 10 000 a few long texts make batches, and copies of them, that take a gigabyte.
+BATCH_SETTINGS = ("spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session read and send at most SLICE_ROWS rows at once; a smaller number stays.
+
+    The setting remains, as results are lazy and read later.
+    """
+    for name in BATCH_SETTINGS:
+        if not 0 < int(spark.conf.get(name)) <= SLICE_ROWS:
+            spark.conf.set(name, SLICE_ROWS)
+
+
 def slices(batches: Iterable[pa.RecordBatch], text_column: int) -> Iterator[pa.RecordBatch]:
     """The batches cut to at most SLICE_ROWS rows and about SLICE_BYTES of the given text column."""
     for batch in batches:

@@ -8,7 +8,8 @@ space as single spaces; e is a tenth of the item's length, or what the lemma sti
 tell for a short item.
 
 The benchmark is the stated query set: it goes to all documents in blocks of bounded
-size, so neither the driver nor a task holds more than one block.
+size. A task holds one block; the driver holds one while it builds it, and in `contaminated`
+the broadcasts of all blocks stay until its result is read.
 
 Defined cases: null and empty texts and items, and items shorter than q characters,
 match nothing; texts are searched whole; repeated rows are searched row by row, repeated
@@ -31,6 +32,8 @@ Q = 8
 EDIT_RATE = 0.1
 # Characters of the benchmark that are searched for at once.
 BLOCK_CHARS = 4 << 20
+# Characters of texts that are searched at once; a longer text is searched in overlapping pieces.
+PIECE_CHARS = 1 << 18
 # Bits of the table that tells most q-grams of texts apart from those of items.
 TABLE_BITS = 22
 # Fixed value: start of the multipliers of the q-gram hash.
@@ -39,7 +42,18 @@ SEED = 0x9E3779B97F4A7C15
 
 def normal(text: str | None) -> str:
     """Lower case, white space as single spaces; NUL, which parts documents, is a space too."""
-    return " ".join((text or "").replace("\0", " ").lower().split())
+    text = (text or "").replace("\0", " ").lower()
+    if len(text) <= PIECE_CHARS:
+        return " ".join(text.split())
+    # In parts, as the list of a long text's words takes ten times its size.
+    out, spaced = [], False
+    for start in range(0, len(text), PIECE_CHARS):
+        part = text[start : start + PIECE_CHARS]
+        spaced = spaced or part[0].isspace()
+        if words := " ".join(part.split()):
+            out += [" ", words] if spaced and out else [words]
+            spaced = part[-1].isspace()
+    return "".join(out)
 
 
 def codes(text: str) -> np.ndarray:
@@ -105,7 +119,8 @@ def candidates(index: Index, chars: np.ndarray, starts: np.ndarray) -> list[tupl
     at, item, place = near[owner], index.item[found], index.place[found]
     # Too few hits in the whole text rule an item out before its diagonals are looked at.
     cell = (np.searchsorted(starts, at, "right") - 1) * len(index.ids) + item
-    enough = np.bincount(cell, minlength=1)[cell] >= index.least[item]
+    _, which, shared = np.unique(cell, return_inverse=True, return_counts=True)
+    enough = shared[which] >= index.least[item]
     at, item, place = at[enough], item[enough], place[enough]
     width = index.edits[item] + 1
     # Diagonals may be negative at the start; the shift keeps all bands non-negative.
@@ -145,11 +160,42 @@ def matches(index: Index, texts: list[str | None]) -> list[tuple[int, object, in
     """(text number, item id, edits, start, length) of the best region of each item in each text.
 
     Start and length are in characters of the normalised text; of equally good regions
-    the one that ends first counts, and of its starts the last.
+    the one that ends first counts, and of its starts the last. Texts are searched in pieces
+    that overlap by more than any region, a bounded number of characters at once.
     """
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for owners, offsets, pieces in _pieces(index, texts):
+        for piece, item, cost, end, length in _regions(index, pieces):
+            key, end = (owners[piece], item), end + offsets[piece]
+            if key not in best or (cost, end) < best[key][:2]:
+                best[key] = (cost, end, length)
+    return [(owner, index.ids[item], cost, end - length, length) for (owner, item), (cost, end, length) in sorted(best.items())]
+
+
+def _pieces(index: Index, texts: list[str | None]):
+    """Lots of pieces of normalised texts, with the number of the text and the place in it."""
     if not index.ids:
-        return []
-    normalised = [normal(text) for text in texts]
+        return
+    # A region, and what its alignment looks at to either side.
+    overlap = int(max(len(c) + 4 * (e + 1) for c, e in zip(index.chars, index.edits.tolist(), strict=True))) + index.q
+    step = max(PIECE_CHARS, 4 * overlap)
+    owners, offsets, pieces, held = [], [], [], 0
+    for owner, text in enumerate(texts):
+        text = normal(text)
+        for offset in range(0, max(1, len(text) - overlap), step):
+            owners.append(owner)
+            offsets.append(offset)
+            pieces.append(text[offset : offset + step + overlap])
+            held += len(pieces[-1])
+            if held >= step:
+                yield owners, offsets, pieces
+                owners, offsets, pieces, held = [], [], [], 0
+    if pieces:
+        yield owners, offsets, pieces
+
+
+def _regions(index: Index, normalised: list[str]) -> list[tuple[int, int, int, int, int]]:
+    """(piece, item's number, edits, end, length) of the best region of each item in each piece."""
     joined = codes("\0".join(normalised) + "\0" * index.q)
     starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in normalised])[:-1]]).astype(np.int64)
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
@@ -172,7 +218,7 @@ def matches(index: Index, texts: list[str | None]) -> list[tuple[int, object, in
     for (owner, item), (cost, end) in sorted(best.items()):
         begin = starts[owner]
         length = _length(index.chars[item][::-1], joined[begin : begin + end][::-1], cost)
-        out.append((owner, index.ids[item], cost, end - length, length))
+        out.append((owner, item, cost, end, length))
     return out
 
 
@@ -227,7 +273,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chars: int = BLOCK_
 
     What one block leaves is written before the next, so that a task holds one block only.
     """
-    left = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
+    left, place = docs, docs.columns.index("text")
     for number, index in enumerate(blocks(benchmark, chars=chars)):
         left = stage(left, "left") if number else left
         shared = docs.sparkSession.sparkContext.broadcast(vars(index))
@@ -236,8 +282,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, chars: int = BLOCK_
             index = Index(**shared.value)
             for batch in batches:
                 clean = np.ones(batch.num_rows, dtype=bool)
-                clean[[row[0] for row in matches(index, batch.column(1).to_pylist())]] = False
+                clean[[row[0] for row in matches(index, batch.column(place).to_pylist())]] = False
                 yield batch.filter(pa.array(clean))
 
-        left = map_arrow(left, work, left.schema)
-    return left.select("row.*")
+        left = map_arrow(left, work, left.schema, place)
+    return left

@@ -52,9 +52,14 @@ def _digests(elements: np.ndarray, starts: np.ndarray) -> list[bytes | None]:
     return out
 
 
-def sketched(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node, bands and the text's key of every whole text."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("key"))
+def sketched(
+    docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", pos_col: str | None = None
+) -> DataFrame:
+    """doc_id, n_shingles, node, bands, the text's key and the row's place (0 if not given) of every whole text."""
+    pos = F.lit(0).cast("long") if pos_col is None else F.col(pos_col)
+    texts = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("key"), pos.alias("pos")
+    )
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def work(batches):
@@ -64,11 +69,11 @@ def sketched(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str =
             keys = band_keys(sketch(elements, starts, BANDS * BAND_ROWS), BAND_ROWS).view(np.int64)
             bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), keys.ravel())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(starts)), pa.array(_digests(elements, starts), pa.binary()), bands, batch.column(2)],
-                ["doc_id", "n_shingles", "node", "bands", "key"],
+                [batch.column(0), pa.array(np.diff(starts)), pa.array(_digests(elements, starts), pa.binary()), bands, batch.column(2), batch.column(3)],
+                ["doc_id", "n_shingles", "node", "bands", "key", "pos"],
             )
 
-    return map_arrow(texts, work, f"doc_id {kind}, n_shingles long, node binary, bands array<long>, key binary")
+    return map_arrow(texts, work, f"doc_id {kind}, n_shingles long, node binary, bands array<long>, key binary, pos long")
 
 
 def text_key(text: Column) -> Column:
@@ -202,13 +207,15 @@ def _similar(x: list[dict], y: list[dict], percent: int):
             yield x[k]["node"], other["node"]
 
 
-def _labelled(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _labelled(
+    docs: DataFrame, size: int, percent: int, id_col: str, text_col: str, pos_col: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The sketched rows; and doc_id, key, n_shingles, component_id and best of those with words.
 
     `best` names the row that stands for the component: the smallest (doc_id, node, key) of
     its rows with an id.
     """
-    rows = stage(sketched(docs, size, id_col, text_col), "sketches")
+    rows = stage(sketched(docs, size, id_col, text_col, pos_col), "sketches")
     own = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "node", "key"))).alias("own")
     nodes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("rep"), own)
     linked = classes(rows, docs, size, percent, id_col, text_col).join(nodes, "node")
@@ -236,14 +243,20 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
 
     Rows decide, not ids: of the rows with an id in a component the one of the smallest id,
     then digest, stays, and another text under the id of a copy stays too. Of rows that
-    repeat both id and text one stays. Documents without words or without an id stay.
+    repeat both id and text one stays, and of rows without an id one for each text that no
+    row with an id has. Documents without words stay, but for such repeats.
+
+    Texts are written once with a number for each row and joined once with the numbers that
+    stay; what decides moves without them.
     """
-    _, labelled = _labelled(docs, size, percent, "doc_id", "text")
+    pos = next(name for k in range(len(docs.columns) + 1) if (name := "_pos" + "_" * k) not in docs.columns)
+    numbered = stage(docs.withColumn(pos, F.monotonically_increasing_id()), "numbered")
+    rows, labelled = _labelled(numbered, size, percent, "doc_id", "text", pos)
+    first = F.min("pos").alias("pos")
     lost = F.struct("doc_id", "node", "key") != F.col("best")
     copies = labelled.where(F.col("doc_id").isNotNull() & lost).select("doc_id", "key").distinct()
-    gone = copies.select(F.col("doc_id").alias("gone_id"), F.col("key").alias("gone_key"))
-    with_id = docs.where("doc_id IS NOT NULL")
-    same = (with_id["doc_id"] == gone["gone_id"]) & (text_key(with_id["text"]) == gone["gone_key"])
-    named = with_id.join(gone, same, "left_anti").dropDuplicates(["doc_id", "text"])
-    # Null ids would all meet in one task of the join.
-    return named.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    with_id = rows.where("doc_id IS NOT NULL").groupBy("doc_id", "key").agg(first)
+    without = rows.where("doc_id IS NULL").groupBy("key").agg(first).join(with_id.select("key"), "key", "left_anti")
+    stays = with_id.join(copies, ["doc_id", "key"], "left_anti").select("pos").union(without.select("pos"))
+    kept = numbered.join(stays.withColumnRenamed("pos", pos), pos, "left_semi")
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))

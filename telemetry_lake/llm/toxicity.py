@@ -109,10 +109,18 @@ def hits(machine: ahocorasick.Automaton, folded: str) -> list[tuple[int, float]]
             excepted.append((start, end))
         elif length > longest.get(start, (0, 0.0))[0]:
             longest[start] = (length, weight)
-    # The trailing space of a whole word is also the boundary of a phrase; only letters count.
-    return [(start, weight) for start, (length, weight) in longest.items()
-            if not any(a <= start and folded[start + 1 : start + length].rstrip() and start + length - 1 <= b
-                       for a, b in excepted)]
+    # One sweep: of the exceptions that begin by a hit's start, the one that reaches furthest decides.
+    excepted.sort()
+    found, reach, following = [], -1, 0
+    for start in sorted(longest):
+        length, weight = longest[start]
+        while following < len(excepted) and excepted[following][0] <= start:
+            reach = max(reach, excepted[following][1])
+            following += 1
+        # The trailing space of a whole word is also the boundary of a phrase; only letters count.
+        if start + length - 1 > reach or not folded[start + 1 : start + length].rstrip():
+            found.append((start, weight))
+    return found
 
 
 def features(machine: ahocorasick.Automaton, text: str | None) -> tuple[float, int]:
@@ -238,6 +246,15 @@ def _with_curve(sample: DataFrame, lexicon: Lexicon) -> Lexicon:
     return lexicon
 
 
+def _scores(found: list[tuple[float, int]], curve) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score, weight and words of some texts; without a curve every score is 0."""
+    weight = np.array([w for w, _ in found], dtype=float)
+    words = np.array([n for _, n in found], dtype=np.int64)
+    if curve is None:
+        return np.zeros(len(found)), weight, words
+    return 1 / (1 + np.exp(-np.clip(_inputs(weight, words) @ np.array(curve), -30, 30))), weight, words
+
+
 def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score (0 to 1), predicted, weight, n_words and n_hits of every whole text."""
     kind = docs.select(F.col(id_col).alias("doc_id")).schema["doc_id"].dataType
@@ -245,13 +262,7 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
     def work(batches):
         machine = lexicon.automaton()
         for batch in batches:
-            found = [features(machine, text) for text in batch.column(1).to_pylist()]
-            weight = np.array([w for w, _ in found], dtype=float)
-            words = np.array([n for _, n in found], dtype=np.int64)
-            if lexicon.curve is None:
-                value = np.zeros(len(found))
-            else:
-                value = 1 / (1 + np.exp(-np.clip(_inputs(weight, words) @ np.array(lexicon.curve), -30, 30)))
+            value, weight, words = _scores([features(machine, text) for text in batch.column(1).to_pylist()], lexicon.curve)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(value), pa.array((value >= 0.5).astype(np.int32)), pa.array(weight), pa.array(words)],
                 ["doc_id", "score", "predicted", "weight", "n_folded_words"],
@@ -264,9 +275,15 @@ def score(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: s
 def drop_toxic(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """The documents not predicted toxic, with their own columns.
 
-    The row travels beside its text, so that no join by id is needed and repeated or
-    null ids keep their own verdicts.
+    Whole rows pass through Python, each text once, so that no join by id is needed and
+    repeated or null ids keep their own verdicts.
     """
-    inner = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").alias("text"))
-    judged = score(inner, lexicon, "row")
-    return judged.where("predicted = 0").select("doc_id.*")
+    place = docs.columns.index("text")
+
+    def work(batches):
+        machine = lexicon.automaton()
+        for batch in batches:
+            toxic = _scores([features(machine, text.as_py()) for text in batch.column(place)], lexicon.curve)[0] >= 0.5
+            yield batch.filter(pa.array(~toxic))
+
+    return map_arrow(docs, work, docs.schema, place)

@@ -32,6 +32,44 @@ def test_folding():
         assert toxicity.fold_text(spelling) == plain
 
 
+def naive_hits(entries, exceptions, folded):
+    """Every entry at every place: the longest counts, unless its letters lie inside an exception."""
+    inside = [(k, k + len(e) - 1) for e in exceptions for k in range(len(folded)) if folded.startswith(e, k)]
+    out = []
+    for start in range(len(folded)):
+        here = [e for e in entries if folded.startswith(e, start)]
+        if here:
+            length = len(max(here, key=len))
+            letters = folded[start + 1 : start + length].rstrip()
+            if not letters or not any(a <= start and start + length - 1 <= b for a, b in inside):
+                out.append((start, entries[max(here, key=len)]))
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.dictionaries(st.text("ab", min_size=1, max_size=4), st.booleans(), max_size=6),
+    st.sets(st.text("ab ", min_size=1, max_size=7), max_size=4), st.text("ab ", max_size=40),
+)
+def test_hits_are_those_of_a_naive_search(words, phrases, text):
+    entries = {" " + w + " " * whole: float(k + 1) for k, (w, whole) in enumerate(words.items())}
+    exceptions = frozenset(f" {' '.join(p.split())} " for p in phrases if p.strip())
+    found = toxicity.Lexicon(entries, exceptions)
+    folded = toxicity.fold_text(text)
+    assert sorted(toxicity.hits(found.automaton(), folded)) == naive_hits(entries, exceptions, folded)
+
+
+def test_a_long_text_full_of_hits_and_exceptions():
+    """Ten megabytes in seconds, where comparing each hit with each exception took hours."""
+    import time
+
+    words = lexicon(idiot=3.0)
+    words.exceptions = frozenset({f" {toxicity.fold_text('idiot board').strip()} "})
+    begun = time.perf_counter()
+    assert toxicity.features(words.automaton(), "the idiot board and idiot " * 400_000)[0] == 3.0 * 400_000
+    assert time.perf_counter() - begun < 60
+
+
 def test_hits_and_exceptions():
     words = lexicon(idiot=3.0)
     assert toxicity.features(words.automaton(), "You 1D1OT!")[0] == 3.0
@@ -180,14 +218,16 @@ def test_near_duplicates_odd_rows(spark, odd_docs, no_docs):
 
 
 def test_rows_without_an_id(spark):
-    """They follow an id with the same text, do not stand for others, and are all kept in the pipeline."""
+    """They follow an id with the same text and do not stand for others; the pipeline keeps one of each text that no id has."""
     long = " ".join(f"w{i}" for i in range(60))
     rows = [(3, long + " x"), (None, long), (None, long), (None, long + " y"), (4, long), (5, long + " z"), (None, "apart from all others")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = Counter((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(docs, 4).collect())
     expected = [(3, 3, True), (4, 3, False), (5, 3, False), *[(None, 3, False)] * 2, *[(None, None, True)] * 2]
     assert found == Counter(expected)
-    assert sorted(str(r.doc_id) for r in neardup.keep_one(docs, 4).collect()) == ["3"] + ["None"] * 4
+    assert sorted(str(r.doc_id) for r in neardup.keep_one(docs, 4).collect()) == ["3", "None", "None"]
+    again = spark.createDataFrame([(None, "b"), (None, "a"), (None, "b"), (None, None), (None, "")], docs.schema)
+    assert sorted(str(r.text) for r in neardup.keep_one(again, 4).collect()) in (["", "a", "b"], ["None", "a", "b"])
 
 
 def test_rows_decide_which_copy_stays(spark):
@@ -414,3 +454,48 @@ def test_attention_gradients_and_sums():
     later[:, 6:] = 3
     again = attention.log_probabilities(p, np.tile(later, (attention.UNITS, 1)), every, one)
     assert again == pytest.approx(logs)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("aB \n\t\0\u2003", max_size=40), st.integers(1, 9))
+def test_normal_form_does_not_depend_on_parts(text, size):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(decontaminate, "PIECE_CHARS", size)
+        assert decontaminate.normal(text) == " ".join(text.replace("\0", " ").lower().split())
+
+
+def test_long_texts_are_searched_in_pieces(monkeypatch):
+    """The same regions whether a text is searched whole or in overlapping pieces, also across their ends."""
+    rng = random.Random(4)
+    items = [(k, "".join(rng.choices("abcdefgh ", k=rng.randint(30, 90)))) for k in range(12)]
+    index = decontaminate.Index.of(items)
+
+    def damaged(text):
+        chars = list(text)
+        for _ in range(len(chars) // 15):
+            chars[rng.randrange(len(chars))] = "z"
+        return "".join(chars)
+
+    texts = []
+    for _ in range(6):
+        parts = ["".join(rng.choices("ijklmnop ", k=rng.randint(0, 150))) + damaged(rng.choice(items)[1]) for _ in range(40)]
+        texts.append("".join(parts))
+    texts += [None, "", items[0][1], "x" * 9000]
+    whole = decontaminate.matches(index, texts)
+    monkeypatch.setattr(decontaminate, "PIECE_CHARS", 64)
+    assert len(whole) > 40 and decontaminate.matches(index, texts) == whole
+
+
+def test_a_very_long_text_takes_bounded_memory():
+    """Ten megabytes: the working arrays are those of a piece, not of the text."""
+    import tracemalloc
+
+    item = "the quick brown fox jumps over the lazy dog and then sleeps in the warm afternoon sun"
+    index = decontaminate.Index.of([(1, item)])
+    text = "lorem ipsum dolor sit amet consetetur " * 270_000 + item + " tail"
+    tracemalloc.start()
+    found = decontaminate.matches(index, [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [row[:3] for row in found] == [(0, 1, 0)]
+    assert peak < 8 * len(text)
