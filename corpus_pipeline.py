@@ -7,31 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from telemetry_lake.llm import decontaminate, neardup, quality, queries, toxicity
-from telemetry_lake.llm.common import stage
+from telemetry_lake.llm.common import small_batches, stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the latest rule policy."""
+    small_batches(spark)
     return quality.keep_good(docs)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents not predicted toxic, by a lexicon learnt from the labels of what is left."""
+    small_batches(spark)
     return toxicity.drop_toxic(docs, queries.toxicity_lexicon(spark, sf_dir, docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word shingles, 0.8)."""
+    small_batches(spark)
     return neardup.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of training sequences."""
+    small_batches(spark)
     return queries.pieces(docs)
 
 
