@@ -38,6 +38,8 @@ END_ID = 2
 SHARD_TOKENS = 1 << 20
 # Tokens that go to one task, about.
 TASK_TOKENS = 1 << 22
+# Tasks at most; beyond that many tokens a task takes more shards, one after the other.
+MOST_TASKS = 20_000
 # Terms that name a piece.
 NAMES = 3
 # The usual BM25 parameters.
@@ -170,6 +172,16 @@ class Packer:
             left -= size
 
 
+def _narrow(ids: np.ndarray) -> np.ndarray:
+    """Ids in two bytes each if all fit: they are stored and moved like that."""
+    return ids.astype("<u2" if ids.max() < 1 << 16 else "<u4")
+
+
+def _ids(blob: bytes, tokens: int) -> np.ndarray:
+    """The ids of a stored document, whose number tells their width."""
+    return np.frombuffer(blob, dtype=f"<u{len(blob) // tokens}")
+
+
 def _encoded(texts: DataFrame, tokenizer: str, end_id: int, window: int, kind: str) -> DataFrame:
     """doc_id, ids and tokens of each document, and a row of each task with its `terms` and how many pieces hold them."""
 
@@ -178,13 +190,13 @@ def _encoded(texts: DataFrame, tokenizer: str, end_id: int, window: int, kind: s
         for batch in batches:
             key_type = batch.schema.field(0).type
             ids, starts = encoder.encode(batch.column(1).to_pylist())
-            own = [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            own = [_narrow(np.append(ids[a:b], np.uint32(end_id))) for a, b in zip(starts[:-1], starts[1:], strict=True)]
             for piece in own:
                 terms = np.unique(piece[len(piece) // window * window :])
                 if len(terms):
                     df = np.pad(df, (0, max(0, int(terms[-1]) + 1 - len(df))))
                     df[terms] += 1
-            blobs = pa.array([piece.astype("<u4").tobytes() for piece in own], pa.binary())
+            blobs = pa.array([piece.tobytes() for piece in own], pa.binary())
             none = pa.nulls(len(own), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), blobs, pa.array([len(piece) for piece in own], pa.int64()), none, none], names)
         if len(df):
@@ -208,7 +220,11 @@ def strongest(piece: np.ndarray, df: np.ndarray, documents: int, mean: float) ->
 
 
 def _by_content(encoded: DataFrame, window: int, kind: str) -> DataFrame:
-    """doc_id and ids, in tasks and sorted by the pieces' strongest terms."""
+    """doc_id, ids and tokens, in tasks and sorted by the pieces' strongest terms.
+
+    The names of the pieces are worked out once and stored beside their ids; how many tokens
+    a leading term has, and so which tasks it goes to, follows from the stored names.
+    """
     spark = encoded.sparkSession
     rows = encoded.where("terms IS NULL").select("doc_id", "ids", "tokens")
     total = rows.agg(F.count("*").alias("documents"), F.sum("tokens").alias("tokens")).first()
@@ -220,43 +236,33 @@ def _by_content(encoded: DataFrame, window: int, kind: str) -> DataFrame:
     # Pieces are shorter than a window; the mean only scales the lengths.
     mean = max(1.0, min(window, tokens / max(1, documents)))
     sent = spark.sparkContext.broadcast(df)
+    by = [f"term{k}" for k in range(NAMES)]
 
-    def named(batch):
-        for blob in batch.column(1).to_pylist():
-            ids = np.frombuffer(blob, dtype="<u4")
-            yield strongest(ids[len(ids) // window * window :], sent.value, documents, mean), len(ids)
-
-    def weigh(batches):
-        held = np.zeros(len(sent.value) + 1, dtype=np.int64)
-        for batch in batches:
-            for terms, size in named(batch):
-                held[terms[0]] += size  # -1 is the last place
-        used = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["term", "tokens"])
-
-    load = map_arrow(rows, weigh, "term long, tokens long").groupBy("term").agg(F.sum("tokens").alias("tokens")).toPandas()
-    sizes = np.zeros(len(df) + 1)
-    sizes[load["term"].to_numpy(dtype=int)] = load["tokens"].to_numpy(dtype=float)
-    ends = np.cumsum(sizes)
-    first = ((ends - sizes) // TASK_TOKENS).astype(np.int64)
-    span = np.maximum(1, np.ceil(sizes / TASK_TOKENS)).astype(np.int64)
-    dealt = spark.sparkContext.broadcast((first, span))
-
-    def place(batches):
-        first, span = dealt.value
-        number = 0
+    def name(batches):
         for batch in batches:
-            terms = [own for own, _ in named(batch)]
-            lead = np.array([own[0] for own in terms], dtype=np.int64)
-            parts = first[lead] + (number + np.arange(len(lead))) % span[lead]
-            number += len(lead)
+            pieces = (_ids(blob, n) for blob, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
+            terms = [strongest(ids[len(ids) // window * window :], sent.value, documents, mean) for ids in pieces]
             columns = [pa.array([own[k] for own in terms], pa.int64()) for k in range(NAMES)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(parts), *columns], ["doc_id", "ids", "part", *by])
-
-    by = [f"term{k}" for k in range(NAMES)]
-    placed = map_arrow(rows, place, f"doc_id {kind}, ids binary, part long, " + ", ".join(f"{name} long" for name in by))
-    tasks = int((first + span).max())
-    return placed.repartition(tasks, "part").sortWithinPartitions("part", *by, "doc_id", "ids").select("doc_id", "ids")
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], ["doc_id", "ids", "tokens", *by])
+
+    named = map_arrow(rows, name, f"doc_id {kind}, ids binary, tokens long, " + ", ".join(f"{n} long" for n in by))
+    named = stage(named, "named")
+    # One row per term of the tokenizer at most, and one for pieces without a name (-1).
+    load = named.groupBy(by[0]).agg(F.sum("tokens").alias("tokens")).toPandas().sort_values([by[0]])
+    # -1 comes last, as every other term says more.
+    load = load.iloc[np.argsort(load[by[0]].to_numpy() < 0, kind="stable")]
+    sizes = load["tokens"].to_numpy(dtype=float)
+    task_tokens = max(TASK_TOKENS, tokens / MOST_TASKS)
+    first = ((np.cumsum(sizes) - sizes) // task_tokens).astype(np.int64)
+    span = np.maximum(1, np.ceil(sizes / task_tokens)).astype(np.int64)
+    dealt = spark.createDataFrame(
+        list(zip(load[by[0]].tolist(), first.tolist(), span.tolist(), strict=True)), f"{by[0]} long, first long, span long"
+    )
+    part = (F.col("first") + F.pmod(F.monotonically_increasing_id(), F.col("span"))).alias("part")
+    placed = named.join(F.broadcast(dealt), by[0]).select("doc_id", "ids", "tokens", part, *by)
+    tasks = int((first + span).max()) if len(load) else 1
+    ranged = placed.repartition(tasks, "part").sortWithinPartitions("part", *by, "doc_id", "ids")
+    return ranged.select("doc_id", "ids", "tokens")
 
 
 def pack(
@@ -284,8 +290,8 @@ def pack(
         held, size, key_type = [], 0, None
         for batch in batches:
             key_type = batch.schema.field(0).type
-            for key, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.append((key, np.frombuffer(blob, dtype="<u4")))
+            for key, blob, tokens in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                held.append((key, _ids(blob, tokens)))
                 size += len(held[-1][1])
                 if size >= shard_tokens:
                     yield batch_of(list(packer.shard(held)), key_type, base)
