@@ -13,7 +13,8 @@ what the own terms and the absent ones add follows from sorted shares and counts
 pairs of postings are made; a block hands on one number per pair of groups.
 
 Blocks hold about BLOCK_CELLS (group, term) cells, chosen by a hash of the term, and rows go
-through them in lots of BLOCK_ROWS groups. All arithmetic is in whole numbers: shares in
+through them in lots of BLOCK_ROWS groups. Where there are many groups a block is larger, as
+many cells as a lot hands on numbers, so that no more is handed on than was read. All arithmetic is in whole numbers: shares in
 38-digit decimals, distances in 64 bits.
 
 Defined cases: null text, lang and source count as empty; a group without terms has its
@@ -43,7 +44,7 @@ SMOOTHING = 5
 # Characteristic terms told per group.
 TOP_TERMS = 50
 # Cells (group, term) of a block, and groups that go through it at once.
-BLOCK_CELLS, BLOCK_ROWS = 1 << 19, 256
+BLOCK_CELLS, BLOCK_ROWS = 1 << 16, 256
 # Cells a worker holds before it hands its counts on.
 HELD_CELLS = 1 << 18
 
@@ -150,7 +151,7 @@ def _distances(cells: DataFrame, groups: DataFrame) -> DataFrame:
     sizes = cells.groupBy("lang").agg(F.count("*").alias("cells"))
     lots = groups.groupBy("lang").agg(F.count("*").alias("peers")).join(sizes, "lang", "left")
     lots = lots.select(
-        "lang", "peers", F.ceil(F.coalesce("cells", F.lit(1)) / BLOCK_CELLS).cast("int").alias("blocks"),
+        "lang", "peers", F.ceil(F.coalesce("cells", F.lit(1)) / F.greatest(F.lit(BLOCK_CELLS), BLOCK_ROWS * F.col("peers"))).cast("int").alias("blocks"),
         F.ceil(F.col("peers") / BLOCK_ROWS).cast("int").alias("lots"),
     )
     lot = F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot")

@@ -276,7 +276,7 @@ def brute_audit(rows, least_docs, top):
 COLUMNS = ["lang", "source", "part", "item", "value", "rank"]
 
 
-@pytest.mark.parametrize("cells, lot", [(divergence.BLOCK_CELLS, divergence.BLOCK_ROWS), (20, 3)])
+@pytest.mark.parametrize("cells, lot", [(divergence.BLOCK_CELLS, divergence.BLOCK_ROWS), (20, 3), (1, 1)])
 def test_audit_is_that_of_brute_force(spark, monkeypatch, cells, lot):
     """Also in many small blocks and lots."""
     monkeypatch.setattr(divergence, "BLOCK_CELLS", cells)
