@@ -148,17 +148,11 @@ def _away(sorted_p: np.ndarray, bases: np.ndarray) -> np.ndarray:
 
 def _distances(cells: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, a, b, value): a and b are the numbers of two groups of the language, a < b."""
-    sizes = cells.groupBy("lang").agg(F.count("*").alias("cells"))
-    lots = groups.groupBy("lang").agg(F.count("*").alias("peers")).join(sizes, "lang", "left")
-    lots = lots.select(
-        "lang", "peers", F.ceil(F.coalesce("cells", F.lit(1)) / F.greatest(F.lit(BLOCK_CELLS), BLOCK_ROWS * F.col("peers"))).cast("int").alias("blocks"),
-        F.ceil(F.col("peers") / BLOCK_ROWS).cast("int").alias("lots"),
-    )
     lot = F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot")
-    placed = cells.join(lots, "lang").withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
+    placed = cells.withColumn("block", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int"))
     placed = placed.select("lang", "block", "group", "term", "p", lot)
-    of_block = lots.select("lang", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "lots")
-    peers = groups.join(of_block.select("lang", "block", lot), "lang").select("lang", "block", "lot", "group", "base")
+    of_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
+    peers = groups.select("lang", of_block, "lots", "group", "base").select("lang", "block", lot, "group", "base")
 
     def work(key, cells, peers):
         peers = peers.sort_values("group")
@@ -186,13 +180,21 @@ def audit(
     kept = of_lang.where(F.col("docs") >= least_docs).drop("docs")
     kept = stage(counts.drop("docs").join(kept, ["lang", "term"]), "divergence-kept")
     names = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang_col, "lang"), (source_col, "source"))))
-    group_n = kept.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
+    group_n = kept.groupBy("lang", "source").agg(F.sum("n").alias("group_n"), F.count("*").alias("cells"))
     # One row per kept term of a language.
     terms = kept.groupBy("lang", "term").agg(F.sum("n").alias("n")).groupBy("lang").agg(
         F.count("*").alias("kept_terms"), F.sum("n").alias("lang_total")
     )
     groups = names.distinct().join(group_n, ["lang", "source"], "left").join(terms, "lang", "left")
-    groups = groups.fillna(0, ["group_n", "kept_terms", "lang_total"])
+    groups = groups.fillna(0, ["group_n", "cells", "kept_terms", "lang_total"])
+    # One row per language, carried by its groups to their cells: these are never dealt by language.
+    sizes = groups.groupBy("lang").agg(F.sum("cells").alias("cells"), F.count("*").alias("peers"))
+    most = F.greatest(F.lit(BLOCK_CELLS), BLOCK_ROWS * F.col("peers"))
+    sizes = sizes.select(
+        "lang", F.greatest(F.lit(1), F.ceil(F.col("cells") / most)).cast("int").alias("blocks"),
+        F.ceil(F.col("peers") / BLOCK_ROWS).cast("int").alias("lots"),
+    )
+    groups = groups.drop("cells").join(sizes, "lang")
     number = (F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1).cast("long").alias("group")
     groups = groups.select("*", number, (F.col("group_n") + SMOOTHING * F.col("kept_terms")).alias("whole"))
     base = F.when(F.col("whole") > 0, _share(f"{SMOOTHING}", "whole")).otherwise(0).alias("base")
@@ -201,7 +203,7 @@ def audit(
     cells = kept.join(groups, ["lang", "source"])
     shared = [_share(f"n + {SMOOTHING}", "whole").alias("p"),
               _share(f"lang_n + {SMOOTHING}", f"lang_total + {SMOOTHING} * kept_terms").alias("q")]
-    cells = stage(cells.select("lang", "source", "group", "term", *shared), "divergence-cells")
+    cells = stage(cells.select("lang", "source", "group", "term", "blocks", "lots", *shared), "divergence-cells")
 
     half = _distances(cells, groups)
     pairs = half.union(half.select("lang", "b", "a", "value"))
