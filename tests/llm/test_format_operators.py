@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -242,6 +243,52 @@ def test_pages_odd_rows(spark):
     assert html.main_texts(pages.limit(0), html.learn(pages.limit(0))).count() == 0
 
 
+# Pages whose boilerplate has names that no list knows, around articles that only some pages label.
+LEARNT = """<html><body><div class="qx1"><ul><li><a href="/">One two three four five six</a></li></ul></div>
+<div class="qx2">Seven words that nobody calls an advert.</div>%s<h1>Head of %d</h1><p>First words of the text.</p><p>More of it.</p>
+<div class="qx3"><p>Inside a box of the text.</p></div><p>End.</p>%s<div class="qx4"><p>Owned by somebody since the year dot.</p></div></body></html>"""
+LEARNT_TEXT = "Head of %d First words of the text. More of it. Inside a box of the text. End."
+
+
+def test_learning_tells_unknown_names_apart(spark):
+    labelled = [(k, "u", LEARNT % ("<article>", k, "</article>")) for k in range(40)]
+    pages = spark.createDataFrame(labelled, "page_id long, url string, html string")
+    weights = html.learn(pages)
+    for k in range(3):
+        # With the label and without it, as an extraction does not look at it.
+        assert html.extract(LEARNT % ("<article>", k, "</article>"), weights) == LEARNT_TEXT % k
+        assert html.extract(LEARNT % ("", k, ""), weights) == LEARNT_TEXT % k
+        assert html.extract(LEARNT % ("", k, ""), html.Weights()) != LEARNT_TEXT % k
+
+
+def test_scan_cuts_what_no_name_tells_apart(spark, monkeypatch):
+    # Links in boxes with names that no labelled page has, at both ends of a page without a label.
+    boxes = "".join(f'<div class="zz{k}"><span><a href="/{k}">w{k}</a></span></div>' for k in range(30))
+    page = LEARNT.replace("<body>", f"<body>{boxes}").replace("</body>", f"{boxes}</body>") % ("", 1, "")
+    pages = spark.createDataFrame([(k, "u", LEARNT % ("<main>", k, "</main>")) for k in range(40)], "page_id long, url string, html string")
+    weights = html.learn(pages)
+    assert html.extract(page, weights) == LEARNT_TEXT % 1
+    monkeypatch.setattr(html, "best_run", lambda scores: (0, len(scores)))
+    assert html.extract(page, weights) != LEARNT_TEXT % 1
+
+
+def test_lists_are_weak_priors(spark):
+    # A listed name that holds articles on labelled pages counts.
+    page = '<body><div class="social-page">%s<p>Text of the page that is an article.</p>%s</div><div class="other">Something else.</div></body>'
+    pages = spark.createDataFrame([(k, "u", page % ("<article>", "</article>")) for k in range(40)], "page_id long, url string, html string")
+    assert html.extract(page % ("", ""), html.Weights()) == "Something else."
+    assert html.extract(page % ("", ""), html.learn(pages)) == "Text of the page that is an article."
+
+
+def test_reading_is_linear_in_tags():
+    # A hundred thousand tags: open ones, stray ends, names of their own, ends across each other.
+    n = 100_000
+    for source in ("<div>x" * n, "x</em></section>" * n, "".join(f'<div class="a{k}b">x' for k in range(n)), "<ul><li>x<div></ul>" * n):
+        start = time.perf_counter()
+        html.extract(source, html.Weights())
+        assert time.perf_counter() - start < 20
+
+
 # --- URLs ---
 
 
