@@ -124,6 +124,15 @@ def apply_policy(book: DataFrame, policy: str = LATEST) -> DataFrame:
     return book.withColumn("kept", F.col("failures").bitwiseAND(F.lit(mask(policy))) == 0)
 
 
+def sole_failure(policy: str = LATEST) -> Column:
+    """The bit of the one rule of a policy without which a document would be kept; 0 if there is none.
+
+    Sums over rows of equal bits are the policy's ablation: what dropping a rule would let in.
+    """
+    failed = F.col("failures").bitwiseAND(F.lit(mask(policy)))
+    return F.when(F.bit_count(failed) == 1, failed).otherwise(F.lit(0)).cast("long")
+
+
 def ablations(book: DataFrame, policy: str = LATEST) -> DataFrame:
     """Per rule of a policy: documents that fail it, and those that only it rejects.
 

@@ -42,7 +42,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = quality.apply_policy(quality.ledger(_table(spark, sf_dir, "documents")))
     base_failed = F.col("failures").bitwiseAND(F.lit(quality.mask("base"))) != 0
     measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return book.select("doc_id", *measures, base_failed.alias("base_failed"), "kept", "failures")
+    return book.select("doc_id", *measures, base_failed.alias("base_failed"), "kept", "failures", quality.sole_failure().alias("sole_failure"))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +302,9 @@ ORACLES = {
     + quality_sql()
     + f"""
   SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-         failures & {quality.mask("base")} <> 0 AS base_failed, failures & {quality.mask(quality.LATEST)} = 0 AS kept, failures
+         failures & {quality.mask("base")} <> 0 AS base_failed, failures & {quality.mask(quality.LATEST)} = 0 AS kept, failures,
+         CASE WHEN bit_count(failures & {quality.mask(quality.LATEST)}) = 1
+              THEN failures & {quality.mask(quality.LATEST)} ELSE 0 END AS sole_failure
   FROM bits""",
     "op8_minhash_near_dedup": "WITH RECURSIVE "
     + near_duplicate_sql("documents", 4)

@@ -1,9 +1,11 @@
 """Token counts under a unigram model, with one dynamic programme for all shared prefixes.
 
-Distinct pre-tokens (a word with a mark before it) are the leaves of a trie. The best
-score and token count of a node follow from its path alone, so a depth-first walk, which
-is the pre-tokens in sorted order, works out each shared prefix once and stores the
-count where a pre-token ends. Documents then only add up stored counts.
+Distinct pre-tokens (a word with a mark before it) are inserted in a trie that a worker
+keeps from batch to batch. The best score and token count of a node follow from its path
+alone, so each shared prefix is worked out when its node is made and never again; the count
+of the node where a pre-token ends is that pre-token's. Documents only add up stored counts.
+A trie of more than TRIE_NODES nodes starts anew, and what lies deeper than DEPTH characters
+is worked out without nodes: neither changes a count.
 
 Model: the pieces of a public vocabulary; a piece at rank r has the log probability of a
 Zipf law, in whole millionths, so that sums are exact. A character that no piece covers
@@ -17,7 +19,7 @@ repeated rows are counted row by row; only id and text are read.
 from __future__ import annotations
 
 import math
-import os
+from collections.abc import Iterable
 from itertools import chain
 
 import numpy as np
@@ -31,8 +33,9 @@ from telemetry_lake.llm.common import map_arrow
 WORD_MARK = "▁"
 # Shift of the ranks in the Zipf law, and the price of each byte of an unknown character.
 ZIPF_SHIFT, BYTE_LOG = 2.7, -20.0
-# Distinct words whose counts a worker remembers; then it starts anew.
-CACHE_WORDS = 1 << 19
+# Nodes and distinct words that a worker remembers; then it starts anew. Depth of the trie.
+TRIE_NODES = CACHE_WORDS = 1 << 19
+DEPTH = 32
 
 
 class Unigram:
@@ -61,29 +64,53 @@ class Unigram:
         plain = [i for i in ids if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         return cls([model.id_to_piece(i) for i in plain])
 
-    def counts(self, words: list[str]) -> list[int]:
-        """Tokens of each of the sorted, distinct pre-tokens."""
-        scores, lengths = self.scores, self.lengths
-        best, count, before, out = [0], [0], "", []
-        for word in words:
-            shared = len(os.path.commonprefix((before, word)))
-            del best[shared + 1 :], count[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                last = word[end - 1]
-                width = len(last.encode("utf-8", "surrogatepass"))
-                # The character as bytes is always possible.
-                top, fewest = best[end - 1] + width * self.byte, count[end - 1] + width
-                for length in lengths.get(last, ()):
-                    if length <= end and (score := scores.get(word[end - length : end])) is not None:
-                        score += best[end - length]
-                        number = count[end - length] + 1
-                        if score > top or score == top and number < fewest:
-                            top, fewest = score, number
-                best.append(top)
-                count.append(fewest)
-            out.append(count[-1])
-            before = word
-        return out
+    def counts(self, words: Iterable[str]) -> list[int]:
+        """Tokens of each of the pre-tokens, by a trie of their own."""
+        trie = Trie(self)
+        return [trie.count(word) for word in words]
+
+
+class Trie:
+    """Prefixes of pre-tokens with their best score and its token count; node 0 is the empty one."""
+
+    def __init__(self, model: Unigram):
+        self.model = model
+        # Child by (node, character), as one number.
+        self.children: dict[int, int] = {}
+        self.best, self.number = [0], [0]
+
+    def count(self, word: str) -> int:
+        """Tokens of the pre-token, which is in the trie from now on."""
+        children, node, end = self.children, 0, 0
+        best, number = [0], [0]
+        for character in word:
+            child = children.get(node << 21 | ord(character))
+            if child is None:
+                break
+            node, end = child, end + 1
+            best.append(self.best[node])
+            number.append(self.number[node])
+        scores, lengths, byte = self.model.scores, self.model.lengths, self.model.byte
+        for end in range(end + 1, len(word) + 1):
+            last = word[end - 1]
+            width = len(last.encode("utf-8", "surrogatepass"))
+            # The character as bytes is always possible.
+            top, fewest = best[end - 1] + width * byte, number[end - 1] + width
+            for length in lengths.get(last, ()):
+                if length <= end and (score := scores.get(word[end - length : end])) is not None:
+                    score += best[end - length]
+                    tokens = number[end - length] + 1
+                    if score > top or score == top and tokens < fewest:
+                        top, fewest = score, tokens
+            best.append(top)
+            number.append(fewest)
+            if end <= DEPTH:
+                child = len(self.best)
+                children[node << 21 | ord(last)] = child
+                self.best.append(top)
+                self.number.append(fewest)
+                node = child
+        return number[-1]
 
 
 def count_tokens(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -92,14 +119,16 @@ def count_tokens(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
     kind = texts.schema["doc_id"].dataType.simpleString()
 
     def work(batches):
-        model, known = Unigram.of_file(model_file), {}
+        trie, known = Trie(Unigram.of_file(model_file)), {}
         for batch in batches:
             split = [(text or "").split() for text in batch.column(1).to_pylist()]
             flat = list(chain.from_iterable(split))
             if len(known) > CACHE_WORDS:
                 known.clear()
-            new = sorted(WORD_MARK + word for word in set(flat).difference(known))
-            known.update(zip((word[1:] for word in new), model.counts(new), strict=True))
+            if len(trie.best) > TRIE_NODES:
+                trie = Trie(trie.model)
+            for word in set(flat).difference(known):
+                known[word] = trie.count(WORD_MARK + word)
             sums = np.concatenate([[0], np.cumsum(np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat)))])
             ends = np.cumsum([0, *map(len, split)])
             yield pa.RecordBatch.from_arrays(

@@ -185,6 +185,23 @@ def test_trie_counts_match_brute_force(words):
     assert model.counts(ordered) == [brute_count(model, word) for word in ordered]
 
 
+def test_trie_makes_each_prefix_once(monkeypatch):
+    """One node for each distinct prefix, whatever the order and however often; counts stay."""
+    model = tokencount.Unigram(["a", "b", "ab", "abc", "bc", "ca", "caca"])
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcx", k=rng.randrange(1, 9))) for _ in range(400)]
+    trie = tokencount.Trie(model)
+    assert [trie.count(w) for w in words] == [brute_count(model, w) for w in words]
+    assert len(trie.best) == len({w[:n] for w in words for n in range(len(w) + 1)})
+    monkeypatch.setattr(tokencount, "DEPTH", 3)
+    shallow = tokencount.Trie(model)
+    assert [shallow.count(w) for w in words] == [brute_count(model, w) for w in words]
+    assert len(shallow.best) == len({w[:n] for w in words for n in range(min(3, len(w)) + 1)})
+    # A pre-token of a million characters leaves few nodes.
+    assert shallow.count("abcx" * 250_000) == 500_000
+    assert len(shallow.best) < 100
+
+
 def test_token_counts(spark, documents, odd_docs, no_docs):
     path = public_tokenizers.path("piece_bpe_32k.model")
     model = tokencount.Unigram.of_file(path)

@@ -145,6 +145,12 @@ def test_ledger_and_ablations(spark, odd_docs, no_docs):
         assert row.kept == (row.failures & quality.mask("v1") == 0)
     rows = {row.rule: row for row in quality.ablations(book).collect()}
     assert rows["few_words"].failed == judged.where("n_words < 50").count()
+    # The rows' own bits sum up to the ablation, for every policy.
+    for policy, names in quality.POLICIES.items():
+        alone = book.select(quality.sole_failure(policy).alias("bit")).where("bit <> 0").groupBy("bit").count()
+        found = {quality.RULES[row.bit.bit_length() - 1].name: row["count"] for row in alone.collect()}
+        assert found == {row.rule: row.only_this for row in quality.ablations(book, policy).collect() if row.only_this}
+        assert set(found) <= set(names)
     kept = quality.keep_good(odd_docs)
     assert kept.columns == odd_docs.columns
     assert ids_of(kept) == [5]
