@@ -65,6 +65,57 @@ def test_conversations(spark, monkeypatch):
     assert chat.read_back(chat.format_conversations(turns.limit(0))).count() == 0
 
 
+def digests_of(rows):
+    """(turns, digest, learnt characters, digest) by conversation of (id, turn, role, text) rows."""
+    found = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted(((t is not None, t, r or "", x or "") for c, t, r, x in rows if c == conv))
+        learnt = "".join(x for *_, r, x in own if r == "assistant")
+        digest = hashlib.sha256("".join(f"{r}\n{x}\n" for *_, r, x in own).encode()).hexdigest()
+        found[conv] = (len(own), digest, len(learnt), hashlib.sha256(learnt.encode()).hexdigest())
+    return found
+
+
+def test_conversations_of_text_ids_and_many_turns(spark, monkeypatch):
+    """Any type of id; a long conversation and the null one are dealt in sections, short ones stay whole."""
+    monkeypatch.setattr(chat, "SECTION_TURNS", 64)
+    rng = random.Random(3)
+    rows = [("hot", k - 700, rng.choice(["user", "assistant"]), f"turn é {k} </turn>") for k in range(3000)]
+    rows += [(None, rng.randrange(4), rng.choice(["user", "assistant", None]), rng.choice(["", "a", "some text", "some tether"])) for _ in range(2000)]
+    rows += [(f"c{k % 20}", k // 20, "assistant", "x" * k) for k in range(60)]
+    turns = spark.createDataFrame(rows, "conv_id string, turn int, role string, text string")
+    formatted = chat.format_conversations(turns)
+    parts = {row.conv_id: row["count"] for row in formatted.groupBy("conv_id").count().collect()}
+    # Turns up to 2299, the negative ones with the first.
+    assert parts["hot"] == -(-2300 // 64) and parts[None] > 10 and all(parts[f"c{k}"] == 1 for k in range(20))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert formatted.where("conv_id = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.read_back(formatted).collect()}
+    assert found == digests_of(rows)
+
+
+def test_formatted_text_is_the_buffer():
+    """The text column lies where the bytes were scattered."""
+    import pyarrow as pa
+
+    rows = pa.RecordBatch.from_pydict(
+        {"conv_id": [1, 1, 2], "text": ["a", "b é", "c"], "role": ["user", "assistant", "user"], "section": [0, 0, 0], "run": ["1", "1", "2"]}
+    )
+    made, assemble = [], chat.assemble
+    try:
+        chat.assemble = lambda *a: made.append(assemble(*a)) or made[-1]
+        parts, number = chat._parts(rows, 5, "assistant")
+    finally:
+        chat.assemble = assemble
+    assert parts.column(3).buffers()[2].address == made[0][0].ctypes.data
+    assert parts.column(2).to_pylist() == [5, 0] and number == 1
+    text, (start,), (size,) = (parts.column(k)[0].as_py() for k in (3, 4, 5))
+    assert text[start : start + size] == "b é"
+
+
 # --- tokens and packing ---
 
 
