@@ -198,6 +198,8 @@ def gradients(p: Parameters, inputs: np.ndarray, targets: np.ndarray) -> Paramet
     hidden, x, q, k, v, weights, sums, mixed = _hidden(p, inputs)
     weights /= sums
     there = np.flatnonzero(targets.ravel() != NONE)
+    order, starts = _by_group(targets.ravel()[there])
+    there = there[order]
     own, state = targets.ravel()[there], hidden[there]
     scale = np.float32(1 / max(1, len(there)))
     g = {name: np.zeros_like(value) for name, value in p.items()}
@@ -206,14 +208,18 @@ def gradients(p: Parameters, inputs: np.ndarray, targets: np.ndarray) -> Paramet
     error *= scale
     g["group"], g["group_bias"] = state.T @ error, error.sum(axis=0)
     back = error @ p["group"].T
-    order, starts = _by_group(own)
-    for number in np.flatnonzero(np.diff(starts)):
-        rows = order[starts[number] : starts[number + 1]]
-        error = _softmax(state[rows] @ p["unit"][number] + p["unit_bias"][number])
-        error[np.arange(len(rows)), own[rows] % MEMBERS] -= 1
-        error *= scale
-        g["unit"][number], g["unit_bias"][number] = state[rows].T @ error, error.sum(axis=0)
-        back[rows] += error @ p["unit"][number].T
+    # Targets lie by group, so a group's products are of slices; all else is done at once.
+    groups = [(number, slice(starts[number], starts[number + 1])) for number in np.flatnonzero(np.diff(starts))]
+    error = p["unit_bias"][own // MEMBERS]
+    for number, part in groups:
+        error[part] += state[part] @ p["unit"][number]
+    error = _softmax(error)
+    error[np.arange(len(own)), own % MEMBERS] -= 1
+    error *= scale
+    for number, part in groups:
+        np.matmul(state[part].T, error[part], out=g["unit"][number])
+        g["unit_bias"][number] = error[part].sum(axis=0)
+        back[part] += error[part] @ p["unit"][number].T
     d_hidden = np.zeros_like(hidden)
     d_hidden[there] = back
     g["out"] = mixed.T @ d_hidden
@@ -226,7 +232,10 @@ def gradients(p: Parameters, inputs: np.ndarray, targets: np.ndarray) -> Paramet
     g["qkv"] = x.reshape(n * WINDOW, WIDTH).T @ d_qkv
     d_x = d_hidden + d_qkv @ p["qkv"].T
     g["place"] = d_x.reshape(n, WINDOW, WIDTH).sum(axis=0)
-    np.add.at(g["embed"], inputs.ravel(), d_x)
+    order = np.argsort(inputs.ravel().astype(np.uint16), kind="stable")
+    units = inputs.ravel()[order]
+    firsts = np.flatnonzero(np.diff(units, prepend=-1))
+    g["embed"][units[firsts]] = np.add.reduceat(d_x[order], firsts)
     return g
 
 

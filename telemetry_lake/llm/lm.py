@@ -168,9 +168,10 @@ def neighbours(windows: DataFrame) -> np.ndarray:
 
 
 def training_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, end_id: int) -> DataFrame:
-    """`units`: the unit before a window (or START), then its up to WINDOW targets.
+    """`units`: the unit before a window (or START), then its up to WINDOW targets; `round`: when it is learnt from.
 
     A text's units, its end included, are cut into consecutive windows, so each is a target once.
+    A task's windows are dealt to the rounds in turn.
     """
     unit = texts.sparkSession.sparkContext.broadcast(vocabulary.unit)
 
@@ -178,6 +179,7 @@ def training_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, e
         encoder = Ids(tokenizer, end_id)
         known: dict[bytes, int] = {}
         held_ids, held_sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        dealt = 0
         for batch in batches:
             if len(known) > HELD_WORDS:
                 known, held_ids, held_sizes = {}, held_ids[:0], held_sizes[:0]
@@ -195,9 +197,12 @@ def training_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, e
             units = unit.value[held_ids[places]]
             stops = ends[np.cumsum([len(own) for own in split]) - 1] if split else ends
             rows, starts = cut(units, stops)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(starts.astype(np.int32), rows.astype(np.int32))], ["units"])
+            number = (dealt + np.arange(len(starts) - 1)) % ROUNDS
+            dealt += len(number)
+            windows = pa.ListArray.from_arrays(starts.astype(np.int32), rows.astype(np.int32))
+            yield pa.RecordBatch.from_arrays([windows, pa.array(number.astype(np.int32))], ["units", "round"])
 
-    return map_arrow(texts, work, "units array<int>")
+    return map_arrow(texts, work, "units array<int>, round int")
 
 
 def cut(units: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -215,20 +220,20 @@ def cut(units: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, starts
 
 
-def _windows(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Inputs and targets of windows of uneven length."""
-    inputs = np.full((len(rows), A.WINDOW), A.START)
-    targets = np.full((len(rows), A.WINDOW), A.NONE)
-    for k, row in enumerate(rows):
-        inputs[k, : len(row) - 1], targets[k, : len(row) - 1] = row[:-1], row[1:]
-    return inputs, targets
+def _windows(units: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inputs and targets of windows of uneven length that lie one after another."""
+    lengths = np.diff(offsets)
+    rows = np.full((len(lengths), A.WINDOW + 1), A.NONE)
+    rows[np.arange(A.WINDOW + 1) < lengths[:, None]] = units
+    inputs, targets = rows[:, :-1], rows[:, 1:]
+    return np.where(targets == A.NONE, A.START, inputs), targets
 
 
 def train(windows: DataFrame, parameters: A.Parameters) -> A.Parameters:
     """Parameters after ROUNDS of training copies in all partitions and averaging them.
 
-    A copy comes back as rows of place and weighted value, summed by Spark: the driver
-    gets one row per parameter.
+    A copy leaves its task as a few slices of PART values, weighted by its targets. Tasks that
+    take one kind of slice each add them up as they come, so the driver gets each slice once.
     """
     for number in range(ROUNDS):
         sent = windows.sparkSession.sparkContext.broadcast(A.flatten(parameters))
@@ -238,25 +243,40 @@ def train(windows: DataFrame, parameters: A.Parameters) -> A.Parameters:
             adam, seen = A.Adam(own, RATE), 0
             for batch in batches:
                 column = batch.column(0)
-                rows = np.split(column.flatten().to_numpy(), np.cumsum(np.diff(column.offsets.to_numpy()))[:-1])
-                rows = [row for row in rows[number::ROUNDS] if len(row)]
-                inputs, targets = _windows(rows)
-                for k in range(0, len(rows), BATCH):
+                inputs, targets = _windows(column.flatten().to_numpy(), column.offsets.to_numpy())
+                for k in range(0, len(inputs), BATCH):
                     adam.rate = RATE / (1 + number + seen / 500_000)
                     adam.step(A.gradients(own, inputs[k : k + BATCH], targets[k : k + BATCH]))
                     seen += int((targets[k : k + BATCH] != A.NONE).sum())
             if seen:
-                values = A.flatten(own).astype(np.float64) * seen
-                places = np.arange(len(values) + 1)
-                yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(np.append(values, seen))], ["place", "value"])
-
-        copies = windows.mapInArrow(work, "place long, value double")
-        sums = copies.groupBy("place").agg(F.sum("value").alias("value")).toPandas().sort_values("place")["value"].to_numpy()
-        if len(sums):
-            parameters = A.unflatten((sums[:-1] / sums[-1]).astype(np.float32))
+                values = np.append(A.flatten(own).astype(np.float64) * seen, seen)
+                yield _slices({k // PART: values[k : k + PART] for k in range(0, len(values), PART)})
+
+        def add_up(batches):
+            total: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for slice_, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    more = value.values.to_numpy()
+                    total[slice_] = total[slice_] + more if slice_ in total else more
+            yield _slices(total)
+
+        copies = windows.where(F.col("round") == number).select("units").mapInArrow(work, SLICE)
+        sums = copies.repartition("slice").mapInArrow(add_up, SLICE).toArrow().sort_by("slice").combine_chunks()
+        if sums.num_rows:
+            values = sums["values"].chunk(0).flatten().to_numpy()
+            parameters = A.unflatten((values[:-1] / values[-1]).astype(np.float32))
     return parameters
 
 
+SLICE, PART = "slice int, values array<double>", 1024
+
+
+def _slices(values: dict[int, np.ndarray]) -> pa.RecordBatch:
+    ends = np.concatenate([[0], np.cumsum([len(own) for own in values.values()])]).astype(np.int32)
+    flat = pa.array(np.concatenate([np.zeros(0), *values.values()]))
+    return pa.RecordBatch.from_arrays([pa.array(list(values), pa.int32()), pa.ListArray.from_arrays(ends, flat)], ["slice", "values"])
+
+
 def _threshold(vocabulary: DataFrame, most: int) -> int:
     """Least count so that at most `most` words have it; from counts by quarter powers of two."""
     level = F.floor(F.log2("n") * 4).cast("int")

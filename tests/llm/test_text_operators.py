@@ -431,6 +431,73 @@ def test_pairs_across_words_are_counted(spark):
     assert found == expected and expected.most_common(1)[0][1] == 31
 
 
+def one_target(p, inputs, target):
+    """Log probability of the target after the last input, place by place, with a softmax over all units."""
+    x = [p["embed"][unit] + p["place"][k] for k, unit in enumerate(inputs)]
+    q, k, v = np.split(p["qkv"], 3, axis=1)
+    own = np.array([(x[-1] @ q) @ (other @ k) / math.sqrt(attention.WIDTH) for other in x])
+    weights = np.exp(own - own.max())
+    hidden = x[-1] + sum(w * (other @ v) for w, other in zip(weights / weights.sum(), x, strict=True)) @ p["out"]
+    by_group = hidden @ p["group"] + p["group_bias"]
+    by_unit = np.einsum("w,gwm->gm", hidden, p["unit"]) + p["unit_bias"]
+    odds = by_group[:, None] - np.logaddexp.reduce(by_group) + by_unit - np.logaddexp.reduce(by_unit, axis=1)[:, None]
+    return odds.ravel()[target]
+
+
+def test_overlapping_windows_match_scoring_token_by_token(monkeypatch):
+    """Each id is scored once, in the first window that gives it OVERLAP ids of context or its text's start."""
+    rng = np.random.default_rng(5)
+    p = attention.start(rng.integers(0, 50, attention.UNITS).astype(float), rng.integers(0, 3, (attention.UNITS + 1, attention.UNITS)).astype(float))
+    p["out"] *= 5
+    wide = {name: value.astype(np.float64) for name, value in p.items()}
+    vocabulary = lm.Vocabulary.of(rng.integers(0, 90, 3_000).astype(float))
+    none = np.zeros(0, dtype=np.int64)
+    texts = [rng.integers(0, 3_000, size) for size in (1, 2, 8, 31, 32, 33, 55, 56, 57, 200)]
+    expected = []
+    for ids in texts:
+        units = [attention.START, *vocabulary.unit[ids].tolist()]
+        for t, one in enumerate(ids):
+            first = 0 if t < attention.WINDOW else (t - lm.OVERLAP) // (attention.WINDOW - lm.OVERLAP) * (attention.WINDOW - lm.OVERLAP)
+            expected.append(one_target(wide, units[first : t + 1], units[t + 1]) + vocabulary.share[one])
+    for at_once, chunk in ((1 << 15, 256), (40, 3)):
+        monkeypatch.setattr(attention, "OUTPUT_ROWS", at_once)
+        monkeypatch.setattr(lm, "CHUNK", chunk)
+        scorer = lm._Scorer((none, none, np.zeros(1, dtype=np.int64), none), 1, vocabulary.unit, vocabulary.share, p, None)
+        got = scorer._spelt(np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+        assert got == pytest.approx(np.array(expected), abs=1e-3)
+
+
+def test_training_batches_and_rounds(spark, documents):
+    """Windows are padded after their targets; every window has its round, rounds are of one size."""
+    inputs, targets = lm._windows(np.array([5, 6, 7, 8, 9], dtype=np.int32), np.array([0, 3, 5]))
+    assert inputs[:, :3].tolist() == [[5, 6, attention.START], [8, attention.START, attention.START]]
+    assert targets[:, :3].tolist() == [[6, 7, attention.NONE], [9, attention.NONE, attention.NONE]]
+    assert (inputs[:, 3:] == attention.START).all() and (targets[:, 3:] == attention.NONE).all()
+    vocabulary = lm.Vocabulary.of(np.arange(49_408.0))
+    windows = lm.training_windows(documents.coalesce(1).select("doc_id", "text"), vocabulary, TOKENIZER, 49_407)
+    sizes = [row["count"] for row in windows.groupBy("round").count().orderBy("round").collect()]
+    assert len(sizes) == lm.ROUNDS and max(sizes) - min(sizes) <= 1
+
+
+def test_copies_are_averaged_by_targets(spark, monkeypatch):
+    """Three partitions, one of them empty, against training the same windows here."""
+    rng = np.random.default_rng(2)
+    start = attention.start(rng.integers(1, 50, attention.UNITS).astype(float), rng.integers(0, 3, (attention.UNITS + 1, attention.UNITS)).astype(float))
+    parts = [[rng.integers(0, attention.UNITS, size).tolist() for size in sizes] for sizes in ((33, 20, 2), (33,) * 5)]
+    monkeypatch.setattr(lm, "ROUNDS", 1)
+    rows = [(k, units, 0) for k, part in enumerate(parts) for units in part]
+    windows = spark.createDataFrame(rows, "part int, units array<int>, round int").repartitionByRange(3, "part").select("units", "round")
+    got = attention.flatten(lm.train(windows, start))
+    copies, weights = [], []
+    for part in parts:
+        own = attention.unflatten(attention.flatten(start))
+        adam = attention.Adam(own, lm.RATE)
+        adam.step(attention.gradients(own, *lm._windows(np.concatenate(part), np.cumsum([0, *map(len, part)]))))
+        copies.append(attention.flatten(own))
+        weights.append(sum(len(units) - 1 for units in part))
+    assert got == pytest.approx(np.average(copies, axis=0, weights=weights), abs=1e-5)
+
+
 def test_attention_gradients_and_sums():
     rng = np.random.default_rng(0)
     counts = rng.integers(0, 50, attention.UNITS).astype(float)
