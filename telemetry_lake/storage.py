@@ -52,9 +52,10 @@ class Staging:
     def __exit__(self, *exc) -> None:
         delete(self.spark, self.path)
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, rows_per_file: int = 0) -> DataFrame:
+        """`df` as stored; `rows_per_file` bounds the rows of a file, 0 does not."""
         target = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(target)
+        df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
 
 

@@ -22,6 +22,7 @@ from telemetry_lake.plans import coverage, due_dates, due_groups, ingest, refres
 from telemetry_lake.plans.ingest import move_mark
 from telemetry_lake.schemas import CLEAN, GROUPS, KPI_COLUMNS
 from telemetry_lake.session import size_shuffles
+from telemetry_lake.sinks import readings
 from telemetry_lake.sinks.results import LOG_FILES, REPLACED
 
 
@@ -543,6 +544,34 @@ def test_a_hot_hour_is_split_and_small_hours_are_not(spark, lake):
     assert spark.table(lake.table(READINGS)).count() == 60_000
 
 
+def test_landing_deals_an_hour_over_tasks_by_its_bytes(spark, lake, monkeypatch):
+    """Rows that all lack a readable time share one hour; no task sorts, and no file holds, more than its bytes."""
+    monkeypatch.setattr(readings, "LAND_BYTES", 1 << 16, raising=False)
+    n = F.col("id")
+    time = F.when(n % 4 == 0, F.format_string("2026-01-01T%02d:00:00Z", n % 12)).otherwise("nope")
+    rows = spark.range(0, 8000, 1, 3).select(F.sha2(n.cast("string"), 256).alias("device_id"), time.alias("timestamp"))
+    sinks.land_raw(rows, lake, "a", NOON)
+    sinks.land_raw(rows, lake, "a", NOON)
+    files = {}
+    for folder in (Path(lake.path(RAW_READINGS)) / "dt=2026-01-01").iterdir():
+        files[folder.name[5:]] = [len(file.read_text().splitlines()) for file in folder.glob("*.json")]
+    hot = files.pop(f"{NOON.hour:02d}")
+    assert sum(hot) == 6000 and len(hot) >= 8 and max(hot) < 1000
+    assert sorted(files) == ["00", "04", "08"] and all(len(own) <= 2 for own in files.values())
+    found = spark.table(lake.table(RAW_READINGS))
+    assert found.count() == found.select("device_id").distinct().count() == 8000
+
+
+@pytest.mark.parametrize("sizes", [[5], [1] * 50, [100], [3, 250, 4, 1, 90, 30, 1], [0, 9, 10, 11, 0]])
+def test_no_task_gets_more_than_thrice_its_bytes(sizes):
+    dealt, held = readings.deal_hours(sizes, 10), Counter()
+    for size, (first, span) in zip(sizes, dealt, strict=True):
+        for task in range(first, first + span):
+            held[task] += size / span
+    assert sum(held.values()) == pytest.approx(sum(sizes)) and max(held.values()) <= 30
+    assert max(held) <= sum(sizes) // 10 + 1
+
+
 def test_shuffles_follow_the_input_size(spark, lake):
     spark.range(100_000).selectExpr("id", "uuid() AS u").write.parquet(lake.path("big"))
     scan = spark.read.parquet(lake.path("big"))
