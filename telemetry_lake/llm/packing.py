@@ -182,19 +182,40 @@ def _ids(blob: bytes, tokens: int) -> np.ndarray:
     return np.frombuffer(blob, dtype=f"<u{len(blob) // tokens}")
 
 
+class Distinct:
+    """Distinct terms of a piece without sorting it; holds one cell per id met so far."""
+
+    def __init__(self):
+        self.place = np.zeros(0, dtype=np.int64)
+
+    def of(self, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms in no order, and how often each is there."""
+        if not len(piece):
+            return piece, np.zeros(0, dtype=np.int64)
+        most = int(piece.max()) + 1
+        if most > len(self.place):
+            self.place = np.zeros(2 * most, dtype=np.int64)
+        # Of all places of a term the one that was written last stands for it.
+        self.place[piece] = np.arange(len(piece))
+        counts = np.bincount(self.place[piece], minlength=len(piece))
+        last = np.flatnonzero(counts)
+        return piece[last], counts[last]
+
+
 def _encoded(texts: DataFrame, tokenizer: str, end_id: int, window: int, kind: str) -> DataFrame:
     """doc_id, ids and tokens of each document, and a row of each task with its `terms` and how many pieces hold them."""
 
     def work(batches):
-        encoder, df, key_type = worker_encoder(tokenizer), np.zeros(0, dtype=np.int64), None
+        encoder, distinct, df, key_type = worker_encoder(tokenizer), Distinct(), np.zeros(0, dtype=np.int64), None
         for batch in batches:
             key_type = batch.schema.field(0).type
             ids, starts = encoder.encode(batch.column(1).to_pylist())
             own = [_narrow(np.append(ids[a:b], np.uint32(end_id))) for a, b in zip(starts[:-1], starts[1:], strict=True)]
             for piece in own:
-                terms = np.unique(piece[len(piece) // window * window :])
+                terms, _ = distinct.of(piece[len(piece) // window * window :])
                 if len(terms):
-                    df = np.pad(df, (0, max(0, int(terms[-1]) + 1 - len(df))))
+                    if len(distinct.place) > len(df):
+                        df = np.pad(df, (0, len(distinct.place) - len(df)))
                     df[terms] += 1
             blobs = pa.array([piece.tobytes() for piece in own], pa.binary())
             none = pa.nulls(len(own), pa.list_(pa.int64()))
@@ -208,14 +229,15 @@ def _encoded(texts: DataFrame, tokenizer: str, end_id: int, window: int, kind: s
     return map_arrow(texts, work, f"doc_id {kind}, ids binary, tokens long, terms array<long>, df array<long>")
 
 
-def strongest(piece: np.ndarray, df: np.ndarray, documents: int, mean: float) -> list[int]:
+def strongest(terms: np.ndarray, counts: np.ndarray, length: int, df: np.ndarray, idf: np.ndarray, mean: float) -> list[int]:
     """The NAMES terms of most BM25 weight that other pieces hold too, -1 for want of more; ties to the smaller id."""
-    terms, counts = np.unique(piece, return_counts=True)
-    own = df[terms]
-    terms, counts, own = terms[own > 1], counts[own > 1], own[own > 1]
-    norm = K1 * (1 - B + B * len(piece) / mean)
-    weight = counts * (K1 + 1) / (counts + norm) * np.log1p((documents - own + 0.5) / (own + 0.5))
-    best = terms[np.argsort(-weight, kind="stable")[:NAMES]].tolist()
+    held = df[terms] > 1
+    terms, counts = terms[held], counts[held]
+    weight = counts * (K1 + 1) / (counts + K1 * (1 - B + B * length / mean)) * idf[terms]
+    if len(terms) > NAMES:
+        best = np.flatnonzero(weight >= np.partition(weight, -NAMES)[-NAMES])
+        terms, weight = terms[best], weight[best]
+    best = terms[np.lexsort((terms, -weight))[:NAMES]].tolist()
     return best + [-1] * (NAMES - len(best))
 
 
@@ -239,9 +261,12 @@ def _by_content(encoded: DataFrame, window: int, kind: str) -> DataFrame:
     by = [f"term{k}" for k in range(NAMES)]
 
     def name(batches):
+        df, distinct = sent.value, Distinct()
+        idf = np.log1p((documents - df + 0.5) / (df + 0.5))
         for batch in batches:
-            pieces = (_ids(blob, n) for blob, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
-            terms = [strongest(ids[len(ids) // window * window :], sent.value, documents, mean) for ids in pieces]
+            stored = (_ids(blob, n) for blob, n in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True))
+            pieces = (ids[len(ids) // window * window :] for ids in stored)
+            terms = [strongest(*distinct.of(piece), len(piece), df, idf, mean) for piece in pieces]
             columns = [pa.array([own[k] for own in terms], pa.int64()) for k in range(NAMES)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], ["doc_id", "ids", "tokens", *by])
 

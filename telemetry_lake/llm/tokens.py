@@ -9,7 +9,7 @@ import types
 
 import numpy as np
 
-# Distinct pieces a worker remembers; then it starts anew.
+# Distinct pieces a worker remembers; then it keeps those met again, half of that at most.
 CACHE_PIECES = 1 << 19
 # Name of the module that holds a worker's encoders.
 STORE = "telemetry_lake_worker_encoders"
@@ -38,7 +38,8 @@ def _kinds() -> np.ndarray:
 
 _KINDS = _kinds()
 _LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
-_WEIGHTS = np.random.default_rng(7).integers(1, 1 << 63, HASHED, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# The lowest 0 to 8 bytes of a number.
+_LOWEST = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def pieces(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,19 +58,81 @@ def pieces(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     begin = full & (meets | (before == SPACE))
     # A piece ends at the next start or white space, whichever comes first.
     borders = np.flatnonzero(begin | ~full & (before != SPACE))
-    starts = np.flatnonzero(begin)
-    return starts, np.append(borders, len(text))[np.searchsorted(borders, starts, "right")]
+    own = np.flatnonzero(begin[borders])
+    return borders[own], np.append(borders, len(text))[own + 1]
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    """Each number scrambled, no two to the same one."""
+    values = values ^ (values >> np.uint64(32))
+    values *= np.uint64(0xD6E8FEB86659FD93)
+    values ^= values >> np.uint64(32)
+    values *= np.uint64(0x9E3779B97F4A7C15)
+    return values ^ (values >> np.uint64(29))
 
 
 def piece_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of pieces of at most HASHED bytes: weighted sums of bytes, mixed with the length."""
+    """64-bit hashes of pieces of at most HASHED bytes, none 0: eight bytes after eight, begun with the length."""
+    padded = np.concatenate([text, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray((len(text) + 1,), dtype="<u8", buffer=padded, strides=(1,))
     sizes = ends - starts
-    firsts = np.cumsum(sizes) - sizes
-    place = np.arange(int(sizes.sum())) - np.repeat(firsts, sizes)
-    values = text[place + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)
-    total = np.add.reduceat(values * _WEIGHTS[place], firsts) + sizes.astype(np.uint64)
-    total ^= total >> np.uint64(31)
-    return total * np.uint64(0x9E3779B97F4A7C15)
+    total = _mixed((eight[starts] & _LOWEST[np.minimum(sizes, 8)]) ^ _mixed(sizes.astype(np.uint64)))
+    rest, at = np.flatnonzero(sizes > 8), 8
+    while len(rest):
+        own = eight[starts[rest] + at] & _LOWEST[np.minimum(sizes[rest] - at, 8)]
+        total[rest] = _mixed(total[rest] ^ own)
+        at += 8
+        rest = rest[sizes[rest] > at]
+    total[total == 0] = 1
+    return total
+
+
+class Numbers:
+    """Numbers of distinct hashes, in the order they were added: a table of slots, looked up by whole arrays."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.zeros(0, dtype=np.uint64)
+        self._resize(1 << 16)
+        self.add(hashes)
+
+    def _resize(self, slots: int) -> None:
+        self.keys, self.values = np.zeros(slots, dtype=np.uint64), np.zeros(slots, dtype=np.int32)
+        self.shift = np.uint64(64 - (slots.bit_length() - 1))
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> self.shift).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Their numbers, -1 for those not there. A hash is in the first slot from its own on that is not another's."""
+        slots = self._slots(hashes)
+        keys = self.keys[slots]
+        out = np.where(keys == hashes, self.values[slots], -1).astype(np.int64)
+        left = np.flatnonzero((keys != hashes) & (keys != 0))
+        slots = slots[left]
+        while len(left):
+            slots = (slots + 1) & (len(self.keys) - 1)
+            keys, own = self.keys[slots], hashes[left]
+            hit = keys == own
+            out[left[hit]] = self.values[slots[hit]]
+            more = ~hit & (keys != 0)
+            left, slots = left[more], slots[more]
+        return out
+
+    def add(self, hashes: np.ndarray) -> None:
+        """Distinct hashes that are not there yet get the next numbers."""
+        first, new = len(self.hashes), hashes
+        self.hashes = np.concatenate([self.hashes, hashes])
+        if 2 * len(self.hashes) > len(self.keys):
+            self._resize(1 << (4 * len(self.hashes) - 1).bit_length())
+            first, new = 0, self.hashes
+        numbers, slots = np.arange(first, first + len(new)), self._slots(new)
+        while len(numbers):
+            free = self.keys[slots] == 0
+            self.keys[slots[free]] = new[free]
+            # Of several hashes for one free slot one has got it.
+            placed = self.keys[slots] == new
+            self.values[slots[placed]] = numbers[placed]
+            numbers, new, slots = numbers[~placed], new[~placed], (slots[~placed] + 1) & (len(self.keys) - 1)
 
 
 def worker_encoder(path: str) -> Encoder:
@@ -106,12 +169,19 @@ class Encoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.mark = alone[0] if len(alone) == 1 and apart == inner + alone + inner else None
-        self._forget()
+        self.known = Numbers(np.zeros(0, dtype=np.uint64))
+        self.ids = np.zeros(0, dtype=np.uint32)
+        self.sizes = np.zeros(0, dtype=np.int64)
+        self.uses = np.zeros(0, dtype=np.int64)
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids = [np.zeros(0, dtype=np.uint32)]
-        self.sizes = [np.zeros(0, dtype=np.int64)]
+        """Forget pieces but for those met in two calls since the last time, half of what is remembered at most."""
+        kept = np.flatnonzero(self.uses > 1)
+        kept = np.sort(kept[np.argsort(-self.uses[kept], kind="stable")[: CACHE_PIECES // 2]])
+        self.ids = self.ids[np.repeat(np.isin(np.arange(len(self.sizes)), kept), self.sizes)]
+        self.sizes = self.sizes[kept]
+        self.known = Numbers(self.known.hashes[kept])
+        self.uses = np.zeros(len(kept), dtype=np.int64)
 
     def encode_pieces(self, found: list[str]) -> tuple[list[int], np.ndarray, np.ndarray]:
         """The pieces' order in the result, their ids in one array, and how many each has.
@@ -151,19 +221,22 @@ class Encoder:
 
     def _numbers(self, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """The number under which each piece's ids are remembered."""
-        hashes, first, inverse = np.unique(piece_hashes(text, starts, ends), return_index=True, return_inverse=True)
-        numbers = list(map(self.known.get, hashes.tolist()))
-        if None in numbers:
-            new = [k for k, number in enumerate(numbers) if number is None]
-            raw = text.tobytes()
-            cuts = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+        hashes = piece_hashes(text, starts, ends)
+        numbers = self.known.find(hashes)
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            new, first = np.unique(hashes[missing], return_index=True)
+            raw, first = text.tobytes(), missing[first]
+            cuts = zip(starts[first].tolist(), ends[first].tolist(), strict=True)
             order, ids, sizes = self.encode_pieces([raw[a:b].decode() for a, b in cuts])
-            self.ids.append(ids)
-            self.sizes.append(sizes)
-            values = hashes.tolist()
-            for k in order:
-                numbers[new[k]] = self.known[values[new[k]]] = len(self.known)
-        return np.array(numbers, dtype=np.int64)[inverse]
+            self.ids, self.sizes = np.concatenate([self.ids, ids]), np.concatenate([self.sizes, sizes])
+            self.uses = np.pad(self.uses, (0, len(new)))
+            self.known.add(new[order])
+            numbers[missing] = self.known.find(hashes[missing])
+        met = np.zeros(len(self.uses), dtype=bool)
+        met[numbers] = True
+        self.uses += met
+        return numbers
 
     def encode(self, texts: list[str | bytes | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where each text's ids start."""
@@ -181,7 +254,7 @@ class Encoder:
         return out, np.concatenate([[0], np.cumsum(many)]).astype(np.int64)
 
     def _encode_cut(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.known) > CACHE_PIECES:
+        if len(self.sizes) > CACHE_PIECES:
             self._forget()
         text = _LOWER[np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)]
         starts, ends = pieces(text)
@@ -191,8 +264,7 @@ class Encoder:
         numbers = np.zeros(len(starts), dtype=np.int64)
         if short.any():
             numbers[short] = self._numbers(text, starts[short], ends[short])
-        self.ids, self.sizes = [np.concatenate(self.ids)], [np.concatenate(self.sizes)]
-        ids, sizes = self.ids[0], self.sizes[0]
+        ids, sizes = self.ids, self.sizes
         if not short.all():
             held = text.tobytes()
             cuts = zip(starts[~short], ends[~short], strict=True)
@@ -202,6 +274,6 @@ class Encoder:
         many = sizes[numbers]
         stops = np.cumsum(many)
         places = np.arange(stops[-1]) + np.repeat((np.cumsum(sizes) - sizes)[numbers] - stops + many, many)
-        begins = np.cumsum([0, *(len(own) + 1 for own in raw)])[:-1]
-        of = np.searchsorted(begins, starts, "right") - 1
-        return ids[places], np.bincount(of, weights=many, minlength=len(raw)).astype(np.int64)
+        # A text's ids are those of the pieces between its start and the next text's.
+        begins = np.cumsum([0, *(len(own) + 1 for own in raw)])
+        return ids[places], np.diff(np.concatenate([[0], stops])[np.searchsorted(starts, begins)])

@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import chat, html, packing, tokencount, urls
+from telemetry_lake.llm import chat, html, packing, tokencount, tokens, urls
 from telemetry_lake.llm.queries import pieces
 from telemetry_lake.llm.tokens import Encoder
 
@@ -129,6 +129,57 @@ def test_encoder_equals_the_tokenizer():
         assert encoder.tokenizer.encode(text or "", add_special_tokens=False).ids == ids[starts[k] : starts[k + 1]].tolist()
 
 
+def test_full_encoder_keeps_the_pieces_it_meets_again(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 200)
+    encoder, rng = Encoder(PATH), random.Random(6)
+    often = ["".join(rng.choices("abcdeé", k=rng.randrange(1, 30))) for _ in range(50)]
+    asked, inner = [], encoder.encode_pieces
+    monkeypatch.setattr(encoder, "encode_pieces", lambda found: asked.extend(found) or inner(found))
+    for _ in range(12):
+        texts = [" ".join([*often, *("".join(rng.choices("fghij", k=9)) for _ in range(40))])]
+        ids, _ = encoder.encode(texts)
+        assert ids.tolist() == encoder.tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert sum(piece in set(often) for piece in asked) == len(set(often))
+    assert len(encoder.sizes) <= 300
+
+
+def test_piece_hashes_tell_pieces_apart():
+    """Pieces that differ in one place or in their length only, up to 256 bytes."""
+    found = {b"a" * n for n in range(1, 257)} | {b"a" * k + b"b" + b"a" * (39 - k) for k in range(40)} | {b"a\0", b"a\0\0"}
+    found |= {b"a" * 7 + bytes([x]) + b"a" * 7 + bytes([y]) for x in range(97, 123) for y in range(97, 123)}
+    own = sorted(found)
+    text, ends = np.frombuffer(b"".join(own), dtype=np.uint8), np.cumsum([len(piece) for piece in own])
+    hashes = tokens.piece_hashes(text, ends - [len(piece) for piece in own], ends)
+    assert len(set(hashes.tolist())) == len(own) and hashes.all()
+
+
+def test_numbers_of_hashes_that_share_slots():
+    rng = np.random.default_rng(8)
+    hashes = np.unique(rng.integers(1, 1 << 40, 50_000, dtype=np.uint64))  # all in the first slots
+    hashes[::2] <<= np.uint64(20)
+    hashes = rng.permutation(np.unique(hashes))
+    numbers = tokens.Numbers(hashes[:0])
+    for k in range(0, len(hashes), 3000):
+        part = hashes[k : k + 3000][:40]
+        assert (numbers.find(part) == -1).all()
+        numbers.add(part)
+        assert (numbers.find(numbers.hashes) == np.arange(len(numbers.hashes))).all()
+
+
+def test_names_of_a_piece_equal_a_full_sort():
+    rng, distinct = np.random.default_rng(9), packing.Distinct()
+    df = rng.integers(0, 6, 400)
+    idf = np.log1p((300 - df + 0.5) / (df + 0.5))
+    for _ in range(300):
+        piece = rng.integers(0, rng.integers(1, 400), rng.integers(0, 200)).astype("<u2")
+        terms, counts = np.unique(piece, return_counts=True)
+        weight = counts * (packing.K1 + 1) / (counts + packing.K1 * (1 - packing.B + packing.B * len(piece) / 90)) * idf[terms]
+        best = [t for _, t in sorted((-w, t) for w, t in zip(weight.tolist(), terms.tolist(), strict=True) if df[t] > 1)][: packing.NAMES]
+        found, many = distinct.of(piece)
+        assert dict(zip(found.tolist(), many.tolist(), strict=True)) == dict(zip(terms.tolist(), counts.tolist(), strict=True))
+        assert packing.strongest(found, many, len(piece), df, idf, 90) == best + [-1] * (packing.NAMES - len(best))
+
+
 def check_packed(rows, texts, window=4096):
     """Every id in exactly one piece, sequences gapless and full but for powers of two."""
     tokenizer = Encoder(PATH).tokenizer
