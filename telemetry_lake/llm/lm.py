@@ -23,21 +23,20 @@ model stays as it starts; texts and words are scored whole; only id and text are
 from __future__ import annotations
 
 import math
-from collections import Counter
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telemetry_lake.llm import attention as A
-from telemetry_lake.llm.common import map_arrow, stage
+from telemetry_lake.llm.common import SLICE_BYTES, map_arrow, stage
 from telemetry_lake.llm.shingles import as_bytes
-from telemetry_lake.llm.tokens import worker_encoder
+from telemetry_lake.llm.tokens import HASHED, Numbers, piece_hashes, worker_encoder
 
 ROUNDS, BATCH, RATE = 3, 64, 0.01
 OVERLAP = 8
@@ -45,20 +44,54 @@ OVERLAP = 8
 WORD_SHARE = 0.5
 # Words whose counts and ids go to every task: 2^20 take some 30 MB.
 SENT_WORDS = 1 << 20
-# Distinct words that a task counts before it passes them on, or remembers when scoring.
+# Distinct words that a task counts before it passes them on.
 HELD_WORDS = 1 << 19
 # Windows that are scored at once.
-CHUNK = 256
+CHUNK = 128
 # Log probabilities are rounded, as the last bits of a product depend on the rows beside.
 DECIMALS = 4
 # Stands for a document's end among the words, none of which has white space.
 END = b"\n"
 
 
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[list(b" \t\n\x0b\x0c\r")] = True
+_LOWER = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+
+
 def word_hash(word: bytes) -> int:
-    """Signed 64-bit hash of a word."""
-    value = xxhash.xxh3_64_intdigest(word)
-    return value - (1 << 64) if value >> 63 else value
+    """64-bit hash of a long word."""
+    return xxhash.xxh3_64_intdigest(word) or 1
+
+
+def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of a text's bytes, none 0; the rare words over HASHED bytes one by one."""
+    out = piece_hashes(text, starts, np.minimum(ends, starts + HASHED))
+    for k in np.flatnonzero(ends - starts > HASHED):
+        out[k] = word_hash(text[starts[k] : ends[k]].tobytes())
+    return out
+
+
+def split(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes of texts, where their words start and end, and the number of words up to each text's end.
+
+    A text's END is a word, too: the line break that is put behind each text.
+    """
+    text = _LOWER[np.frombuffer(b"".join([part for own in texts for part in (own, END)]), dtype=np.uint8)]
+    white = _WHITE[text]
+    borders = np.flatnonzero(white[1:] != white[:-1]) + 1
+    if len(text) and not white[0]:
+        borders = np.concatenate([[0], borders])
+    starts, ends = borders[::2], borders[1::2]
+    breaks = np.cumsum([len(own) + 1 for own in texts], dtype=np.int64) - 1
+    before = np.searchsorted(starts, breaks)
+    return text, np.insert(starts, before, breaks), np.insert(ends, before, breaks + 1), before + np.arange(1, len(texts) + 1)
+
+
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of runs that begin at `starts`, one after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
 class Ids:
@@ -78,7 +111,8 @@ class Ids:
         firsts = np.cumsum(sizes) - sizes
         out = np.zeros(int(sizes.sum()), dtype=np.int64)
         out[np.arange(len(ids)) + np.repeat(firsts - starts[:-1], many)] = ids
-        out[firsts[[k for k, word in enumerate(words) if word == END]]] = self.end_id
+        if END in words:
+            out[firsts[[k for k, word in enumerate(words) if word == END]]] = self.end_id
         return out, sizes
 
 
@@ -86,39 +120,62 @@ def count_words(texts: DataFrame) -> DataFrame:
     """word and n over all texts, ends included; summed in each task before the shuffle."""
 
     def work(batches):
-        held: Counter = Counter()
-
-        def passed_on():
-            rows = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-            held.clear()
-            return rows
-
+        seen, words, counts = Numbers(np.zeros(0, dtype=np.uint64)), [], np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for text in as_bytes(batch.column(1)):
-                held.update(text.lower().split())
-            held[END] += batch.num_rows
-            if len(held) > HELD_WORDS:
-                yield passed_on()
-        if held:
-            yield passed_on()
+            text, starts, ends, _ = split(as_bytes(batch.column(1)))
+            hashes = word_hashes(text, starts, ends)
+            numbers = seen.find(hashes)
+            missing = np.flatnonzero(numbers < 0)
+            new, first = np.unique(hashes[missing], return_index=True)
+            words += spans(text, starts[missing[first]], ends[missing[first]])
+            seen.add(new)
+            numbers[missing] = seen.find(hashes[missing])
+            counts = np.pad(counts, (0, len(new)))
+            counts += np.bincount(numbers, minlength=len(counts))
+            if len(words) > HELD_WORDS:
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(counts)], ["word", "n"])
+                seen, words, counts = Numbers(new[:0]), [], counts[:0]
+        if words:
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(counts)], ["word", "n"])
 
     return map_arrow(texts, work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def spans(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw = text.tobytes()
+    return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
 def with_ids(counts: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """hash, n and ids of each distinct word."""
 
     def work(batches):
         encoder = Ids(tokenizer, end_id)
-        for batch in batches:
-            words = batch.column(0).to_pylist()
+        for words, counts in gathered(batches):
             ids, sizes = encoder.of(words)
             lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), ids.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in words], pa.int64()), batch.column(1), lists], ["hash", "n", "ids"])
+            ends = np.cumsum([len(word) for word in words], dtype=np.int64)
+            hashes = word_hashes(np.frombuffer(b"".join(words), dtype=np.uint8), np.concatenate([[0], ends[:-1]]), ends)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64()), lists], ["hash", "n", "ids"])
 
     return map_arrow(counts, work, "hash long, n long, ids array<int>", text_column=0)
 
 
+def gathered(batches):
+    """Words and counts of many batches at once, as each call of the encoder has a price, but not more than the bytes of a slice and a batch."""
+    words, counts, held = [], [], 0
+    for batch in batches:
+        new = batch.column(0).to_pylist()
+        words += new
+        counts += batch.column(1).to_pylist()
+        held += sum(map(len, new))
+        if held > SLICE_BYTES // 4:
+            yield words, counts
+            words, counts, held = [], [], 0
+    if words:
+        yield words, counts
+
+
 @dataclass
 class Vocabulary:
     """Units of the model: the most frequent ids one each, all others share the last."""
@@ -167,36 +224,51 @@ def neighbours(windows: DataFrame) -> np.ndarray:
     return total.reshape(A.UNITS + 1, A.UNITS)
 
 
-def training_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, end_id: int) -> DataFrame:
+# Hashes of words, their counts, where the ids of each start (and the last end), and these ids.
+Table = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+NO_WORDS: Table = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.int64))
+
+
+class Words:
+    """Ids of texts, word by word: those of the words sent from their table, others by the tokenizer."""
+
+    def __init__(self, table: Table, encoder: Ids | None):
+        hashes, _, self.starts, self.ids = table
+        self.numbers, self.encoder = Numbers(hashes.view(np.uint64)), encoder
+        self.sizes = np.diff(self.starts)
+
+    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word its hash, its number in the table (or -1) and how many ids it has; all ids; words up to each text's end."""
+        text, starts, ends, stops = split(texts)
+        hashes = word_hashes(text, starts, ends)
+        numbers = self.numbers.find(hashes)
+        others = np.flatnonzero(numbers < 0)
+        first, sizes, ids = self.starts.take(numbers, mode="clip"), np.zeros(len(numbers), dtype=np.int64), self.ids
+        if len(self.sizes):
+            self.sizes.take(numbers, out=sizes, mode="clip")
+        if len(others):
+            _, at, of = np.unique(hashes[others], return_index=True, return_inverse=True)
+            more, many = self.encoder.of(spans(text, starts[others[at]], ends[others[at]]))
+            first[others] = (len(ids) + np.cumsum(many) - many)[of]
+            sizes[others] = many[of]
+            ids = np.concatenate([ids, more])
+        return hashes, numbers, sizes, ids[runs(first, sizes)], stops
+
+
+def training_windows(texts: DataFrame, vocabulary: Vocabulary, tokenizer: str, end_id: int, sent: Broadcast | None = None) -> DataFrame:
     """`units`: the unit before a window (or START), then its up to WINDOW targets; `round`: when it is learnt from.
 
     A text's units, its end included, are cut into consecutive windows, so each is a target once.
-    A task's windows are dealt to the rounds in turn.
+    A task's windows are dealt to the rounds in turn. `sent` holds a Table of words whose ids are known.
     """
-    unit = texts.sparkSession.sparkContext.broadcast(vocabulary.unit)
+    unit = texts.sparkSession.sparkContext.broadcast(vocabulary.unit.astype(np.int32))
 
     def work(batches):
-        encoder = Ids(tokenizer, end_id)
-        known: dict[bytes, int] = {}
-        held_ids, held_sizes = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        words = Words(NO_WORDS if sent is None else sent.value, Ids(tokenizer, end_id))
         dealt = 0
         for batch in batches:
-            if len(known) > HELD_WORDS:
-                known, held_ids, held_sizes = {}, held_ids[:0], held_sizes[:0]
-            split = [[*text.lower().split(), END] for text in as_bytes(batch.column(1))]
-            flat = list(chain.from_iterable(split))
-            new = sorted(set(flat).difference(known))
-            if new:
-                ids, sizes = encoder.of(new)
-                known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-                held_ids, held_sizes = np.concatenate([held_ids, ids]), np.concatenate([held_sizes, sizes])
-            at = np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=len(flat))
-            many = held_sizes[at]
-            ends = np.cumsum(many)
-            places = np.arange(many.sum()) + np.repeat((np.cumsum(held_sizes) - held_sizes)[at] - ends + many, many)
-            units = unit.value[held_ids[places]]
-            stops = ends[np.cumsum([len(own) for own in split]) - 1] if split else ends
-            rows, starts = cut(units, stops)
+            _, _, sizes, ids, stops = words.read(as_bytes(batch.column(1)))
+            rows, starts = cut(unit.value[ids], np.cumsum(sizes)[stops - 1])
             number = (dealt + np.arange(len(starts) - 1)) % ROUNDS
             dealt += len(number)
             windows = pa.ListArray.from_arrays(starts.astype(np.int32), rows.astype(np.int32))
@@ -215,7 +287,7 @@ def cut(units: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.minimum(A.WINDOW, stops[text] - first) + 1
     starts = np.concatenate([[0], np.cumsum(lengths)])
     # A row begins one unit before its first target.
-    rows = units[np.arange(starts[-1]) - np.repeat(starts[:-1] - first + 1, lengths)] if len(units) else units
+    rows = units[runs(first - 1, lengths)] if len(units) else units
     rows[starts[:-1][number == 0]] = A.START
     return rows, starts
 
@@ -239,17 +311,17 @@ def train(windows: DataFrame, parameters: A.Parameters) -> A.Parameters:
         sent = windows.sparkSession.sparkContext.broadcast(A.flatten(parameters))
 
         def work(batches, sent=sent, number=number):
-            own = A.unflatten(sent.value.copy())
-            adam, seen = A.Adam(own, RATE), 0
+            own = A.Trainer(A.unflatten(sent.value), BATCH)
+            adam, seen = A.Adam({"all": own.all}, RATE), 0
             for batch in batches:
                 column = batch.column(0)
                 inputs, targets = _windows(column.flatten().to_numpy(), column.offsets.to_numpy())
                 for k in range(0, len(inputs), BATCH):
                     adam.rate = RATE / (1 + number + seen / 500_000)
-                    adam.step(A.gradients(own, inputs[k : k + BATCH], targets[k : k + BATCH]))
-                    seen += int((targets[k : k + BATCH] != A.NONE).sum())
+                    seen += own.gradients(inputs[k : k + BATCH], targets[k : k + BATCH])
+                    adam.step({"all": own.gradient})
             if seen:
-                values = np.append(A.flatten(own).astype(np.float64) * seen, seen)
+                values = np.append(A.flatten(A.Trainer.named(own.p)).astype(np.float64) * seen, seen)
                 yield _slices({k // PART: values[k : k + PART] for k in range(0, len(values), PART)})
 
         def add_up(batches):
@@ -309,10 +381,10 @@ def score(
     counts = np.zeros(ids)
     counts[counted["id"].to_numpy(dtype=int)] = counted["n"].to_numpy(dtype=float)
     vocabulary = Vocabulary.of(counts)
-    windows = stage(training_windows(learnt, vocabulary, tokenizer, end_id), "windows")
-    parameters = train(windows, A.start(vocabulary.counts, neighbours(windows)))
     least = _threshold(words, SENT_WORDS)
-    sent = words.where(F.col("n") >= least)
+    sent = spark.sparkContext.broadcast(_table(words.where(F.col("n") >= least), ids))
+    windows = stage(training_windows(learnt, vocabulary, tokenizer, end_id, sent), "windows")
+    parameters = train(windows, A.start(vocabulary.counts, neighbours(windows)))
     rows = stage(_scored(texts, sent, tokens, vocabulary, parameters, tokenizer, end_id), "scored")
     open_words = rows.select("row", F.explode(F.arrays_zip("hashes", "spelt")).alias("one")).select("row", "one.hashes", "one.spelt")
     found = open_words.join(words.where(F.col("n") < least).select(F.col("hash").alias("hashes"), "n"), "hashes", "left")
@@ -332,24 +404,27 @@ def score(
     return rows.where(F.size("hashes") > 0).join(sums, "row").select(*columns).union(whole.select(*columns))
 
 
-def _scored(
-    texts: DataFrame, sent: DataFrame, tokens: int, vocabulary: Vocabulary, parameters: A.Parameters, tokenizer: str, end_id: int
-) -> DataFrame:
-    """Per text the sums over the sent words; of each other word its hash and log probability as spelt by the model."""
+def _table(words: DataFrame, ids: int) -> Table:
+    """The words for every task."""
     # As Arrow arrays from end to end: a million Python lists would not fit the driver.
-    found = sent.select("hash", "n", "ids").toArrow().sort_by("hash").combine_chunks()
+    found = words.select("hash", "n", "ids").toArrow().sort_by("hash").combine_chunks()
     lists = found["ids"].chunk(0) if found.num_rows else pa.array([], pa.list_(pa.int32()))
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-    small = np.uint16 if len(vocabulary.unit) <= 1 << 16 else np.uint32
-    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(small)
-    table = (found["hash"].to_numpy(), found["n"].to_numpy(), np.concatenate([[0], np.cumsum(sizes)]), flat)
-    shared = texts.sparkSession.sparkContext.broadcast((table, vocabulary.unit, vocabulary.share, A.flatten(parameters)))
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint16 if ids <= 1 << 16 else np.uint32)
+    return found["hash"].to_numpy(), found["n"].to_numpy(), np.concatenate([[0], np.cumsum(sizes)]), flat
+
+
+def _scored(
+    texts: DataFrame, sent: Broadcast, tokens: int, vocabulary: Vocabulary, parameters: A.Parameters, tokenizer: str, end_id: int
+) -> DataFrame:
+    """Per text the sums over the sent words; of each other word its hash and log probability as spelt by the model."""
+    shared = texts.sparkSession.sparkContext.broadcast((vocabulary.unit, vocabulary.share, A.flatten(parameters)))
     kind = texts.schema["doc_id"].dataType.simpleString()
     with_row = texts.select("doc_id", "text", "training", F.monotonically_increasing_id().alias("row"))
 
     def work(batches):
-        table, unit, share, values = shared.value
-        scorer = _Scorer(table, tokens, unit, share, A.unflatten(values), Ids(tokenizer, end_id))
+        unit, share, values = shared.value
+        scorer = _Scorer(sent.value, tokens, unit, share, A.unflatten(values), Ids(tokenizer, end_id))
         for batch in batches:
             n, known, logs, scores, ends, *rest = scorer.score(as_bytes(batch.column(1)))
             lists = [pa.ListArray.from_arrays(ends.astype(np.int32), part) for part in rest]
@@ -361,64 +436,30 @@ def _scored(
 
 
 class _Scorer:
-    """Scores texts of one task; remembers the words it has met."""
+    """Scores texts of one task."""
 
     def __init__(self, table, tokens, unit, share, parameters, encoder):
-        self.table, self.tokens, self.unit, self.share = table, tokens, unit, share
-        self.reader, self.encoder = A.Reader(parameters), encoder
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        empty = np.zeros(0, dtype=np.int64)
-        self.columns = [[empty], [empty], [empty], [empty]]  # hash, count (-1: open), ids' number, ids
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Look new words up among those sent; encode the others."""
-        all_hashes, all_counts, starts, flat = self.table
-        hashes = np.array([word_hash(w) for w in words], dtype=np.int64)
-        at = np.minimum(np.searchsorted(all_hashes, hashes), max(0, len(all_hashes) - 1))
-        sent = all_hashes[at] == hashes if len(all_hashes) else np.zeros(len(words), dtype=bool)
-        order = np.argsort(~sent, kind="stable")  # sent words first
-        own = at[sent]
-        many = starts[own + 1] - starts[own]
-        places = np.arange(many.sum()) + np.repeat(starts[own] - np.cumsum(many) + many, many)
-        ids, sizes = self.encoder.of([words[k] for k in order[len(own) :]])
-        counts = np.concatenate([all_counts[own], np.full(len(sizes), -1)])
-        self.known.update(zip((words[k] for k in order), range(len(self.known), len(self.known) + len(words)), strict=True))
-        new = hashes[order], counts, np.concatenate([many, sizes]), np.concatenate([flat[places], ids])
-        for column, values in zip(self.columns, new, strict=True):
-            column.append(values.astype(np.int64))
+        self.words, self.unit, self.share = Words(table, encoder), unit, share
+        self.reader = A.Reader(parameters)
+        # A word that was not sent takes the last place.
+        self.logs = np.append(np.log10(table[1] + 0.5), 0.0)
+        self.word_shares = np.append(np.log(table[1] * (WORD_SHARE / max(1, tokens))), 0.0)
 
     def score(self, texts: list[bytes]):
-        if len(self.known) > HELD_WORDS:
-            self._forget()
-        split = [[*text.lower().split(), END] for text in texts]
-        flat = list(chain.from_iterable(split))
-        numbers = list(map(self.known.get, flat))
-        if None in numbers:
-            self._learn(sorted({w for w, number in zip(flat, numbers, strict=True) if number is None}))
-            numbers = list(map(self.known.get, flat))
-        self.columns = [[np.concatenate(column)] for column in self.columns]
-        hashes, counts, sizes, ids = (column[0] for column in self.columns)
-        at = np.array(numbers, dtype=np.int64)
-        lengths = np.array([len(own) for own in split], dtype=np.int64)
-        firsts = np.cumsum(lengths) - lengths
-        many = sizes[at]
+        hashes, numbers, many, ids, stops = self.words.read(texts)
+        lengths = np.diff(stops, prepend=0)
+        firsts = stops - lengths
         ends = np.cumsum(many)
-        places = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[at] - ends + many, many)
-        spelt = self._spelt(ids[places], np.concatenate([[0], ends[firsts + lengths - 1]]))
+        spelt = self._spelt(ids, np.concatenate([[0], ends[stops - 1]]))
         spelt = np.add.reduceat(spelt, ends - many)
-        own = counts[at]
-        is_open = own < 0
-        with np.errstate(divide="ignore"):
-            share = np.log(np.maximum(own, 0) * (WORD_SHARE / max(1, self.tokens)))
-        mixed = np.logaddexp(share, spelt + math.log(1 - WORD_SHARE)) / math.log(10)
-        logs = np.add.reduceat(np.where(is_open, 0.0, np.log10(np.maximum(own, 0) + 0.5)), firsts)
-        scores = np.add.reduceat(np.where(is_open, 0.0, mixed), firsts)
-        known = np.add.reduceat((own > 0).astype(np.int64), firsts)
-        open_ends = np.concatenate([[0], np.cumsum(np.add.reduceat(is_open.astype(np.int64), firsts))])
-        return lengths, known, logs, scores, open_ends, hashes[at[is_open]], spelt[is_open]
+        is_open = numbers < 0
+        mixed = np.logaddexp(self.word_shares[numbers], spelt + math.log(1 - WORD_SHARE)) / math.log(10)
+        mixed[is_open] = 0.0
+        logs = np.add.reduceat(self.logs[numbers], firsts)
+        scores = np.add.reduceat(mixed, firsts)
+        known = np.add.reduceat((~is_open).astype(np.int64), firsts)
+        open_ends = np.concatenate([[0], np.cumsum(lengths - known)])
+        return lengths, known, logs, scores, open_ends, hashes[is_open].view(np.int64), spelt[is_open]
 
     def _spelt(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Log probability of each id in its text; no text is empty, as each has its end."""
@@ -431,20 +472,30 @@ class _Scorer:
         first = starts[text] + number * step
         logs = np.zeros(len(ids))
         columns = np.arange(A.WINDOW)
-        ends, begins = starts[text + 1], number == 0
         # The unit before each place, and one more of each, so that windows may reach beyond.
         units = np.concatenate([[A.START], units, np.full(A.WINDOW, A.START)])
+        rows = np.lib.stride_tricks.sliding_window_view(units, A.WINDOW + 1)
+        lengths = np.minimum(starts[text + 1] - first, A.WINDOW)
         places: list[np.ndarray] = []
-        for k in range(0, len(first), CHUNK):
-            part = slice(k, k + CHUNK)
-            at = first[part, None] + columns
-            inputs = units[at]
-            inputs[begins[part], 0] = A.START
-            wanted = at < ends[part, None]
-            wanted[~begins[part], :OVERLAP] = False
-            self.reader.add(inputs, units[at + 1], wanted)
-            places.append(at[wanted])
-            if self.reader.rows >= A.OUTPUT_ROWS or k + CHUNK >= len(first):
-                logs[np.concatenate(places)] = np.round(self.reader.take().astype(np.float64), DECIMALS)
-                places = []
+
+        def read_off():
+            logs[np.concatenate(places)] = np.round(self.reader.take().astype(np.float64), DECIMALS)
+            places.clear()
+
+        # Texts' first windows apart, as all of their targets are wanted.
+        for skipped, kind in ((0, np.flatnonzero(number == 0)), (OVERLAP, np.flatnonzero(number))):
+            for k in range(0, len(kind), CHUNK):
+                part = kind[k : k + CHUNK]
+                own = rows[first[part]]
+                inputs, targets = own[:, :-1], own[:, 1:]
+                if not skipped:
+                    inputs[:, 0] = A.START
+                wanted = columns < lengths[part, None]
+                wanted[:, :skipped] = False
+                self.reader.add(inputs, targets, wanted)
+                places.append((first[part, None] + columns)[wanted])
+                if self.reader.rows >= A.OUTPUT_ROWS:
+                    read_off()
+        if places:
+            read_off()
         return logs + self.share[ids]

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -529,6 +530,82 @@ def test_attention_gradients_and_sums():
     assert again == pytest.approx(logs)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("aBÉ \n\t\x0b\x0c\r\0\u2003", max_size=12), max_size=4), st.integers(1, 400))
+def test_words_and_hashes_are_those_of_each_word(texts, many):
+    """As bytes.split has them, each text's end behind; equal words, also long ones, have one hash."""
+    raw = [(text * many).encode() for text in texts]
+    expected = [[*text.lower().split(), lm.END] for text in raw]
+    text, starts, ends, stops = lm.split(raw)
+    words = [word for own in expected for word in own]
+    assert lm.spans(text, starts, ends) == words
+    assert stops.tolist() == np.cumsum([len(own) for own in expected]).tolist()
+    hashes = lm.word_hashes(text, starts, ends).tolist()
+    assert len(set(zip(words, hashes, strict=True))) == len(set(words)) == len(set(hashes)) and 0 not in hashes
+
+
+def test_sent_words_are_not_encoded_again():
+    """Ids of the table's words come from the table, all others, once a batch, from the tokenizer."""
+    encoder = lm.Ids(TOKENIZER, 49_407)
+    known = [b"the", b"house", lm.END]
+    ids, sizes = encoder.of(known)
+    ends = np.cumsum([len(word) for word in known])
+    hashes = lm.word_hashes(np.frombuffer(b"".join(known), dtype=np.uint8), ends - [len(word) for word in known], ends).view(np.int64)
+    table = (hashes, np.array([5, 4, 3]), np.concatenate([[0], np.cumsum(sizes)]), ids.astype(np.uint16))
+    asked = []
+
+    class Asked(lm.Ids):
+        def of(self, words):
+            asked.append(sorted(words))
+            return super().of(words)
+
+    words = lm.Words(table, Asked(TOKENIZER, 49_407))
+    _, numbers, sizes, got, stops = words.read([b"The house the", b""])
+    assert asked == [] and numbers.tolist() == [0, 1, 0, 2, 2] and stops.tolist() == [4, 5]
+    texts = [b"the garden\xe2\x80\x83 house", b"", b"\xe2\x80\x83 garden garden-house the"]
+    _, numbers, sizes, got, stops = words.read(texts)
+    flat = [word for text in texts for word in [*text.lower().split(), lm.END]]
+    expected, many = encoder.of(flat)
+    assert got.tolist() == expected.tolist() and sizes.tolist() == many.tolist() and stops.tolist() == [4, 5, 10]
+    assert len(asked) == 1 and asked[0] == sorted({word for word in flat if word not in known})
+
+
+def test_distinct_words_are_encoded_many_at_a_time(monkeypatch):
+    """Small batches of words go to the tokenizer together, up to a bound of their bytes."""
+    words = [b"w%04d" % k for k in range(1_000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(words[k : k + 10], pa.binary()), pa.array(range(k, k + 10))], ["word", "n"]) for k in range(0, 1_000, 10)]
+    assert list(lm.gathered(batches)) == [(words, list(range(1_000)))]
+    monkeypatch.setattr(lm, "SLICE_BYTES", 4_000)
+    sizes = [len(own) for own, _ in lm.gathered(batches)]
+    assert sum(sizes) == 1_000 and max(sizes) <= 210
+
+
+def test_scores_beyond_the_bound():
+    """Scores over the bound count as the bound, in attention, groups and units; all stays finite."""
+    rng = np.random.default_rng(3)
+    p = attention.start(rng.integers(0, 50, attention.UNITS).astype(float), rng.integers(0, 3, (attention.UNITS + 1, attention.UNITS)).astype(float))
+    p["qkv"][:, : 2 * attention.WIDTH] *= 300
+    p["group_bias"][3], p["unit_bias"][3, 7], p["unit_bias"][5, 9] = 200, 150, -150
+    inputs = rng.integers(0, attention.UNITS, (4, attention.WINDOW))
+    targets = rng.integers(0, attention.UNITS, (4, attention.WINDOW))
+    targets[0, :3] = 3 * 32 + 7, 5 * 32 + 9, 3 * 32
+    got = attention.log_probabilities(p, inputs, targets, np.ones(targets.shape, dtype=bool)).reshape(targets.shape)
+    wide = {name: value.astype(np.float64) for name, value in p.items()}
+    x = wide["embed"][inputs] + wide["place"]
+    q, k, v = np.split(x @ wide["qkv"], 3, axis=2)
+    scores = q @ k.transpose(0, 2, 1) / math.sqrt(attention.WIDTH)
+    assert scores.max() > 2 * attention.BOUND
+    weights = np.tril(np.exp(np.minimum(scores, attention.BOUND)))
+    # Rows of nothing but very low scores mix no values.
+    hidden = x + weights / (weights.sum(axis=2, keepdims=True) + float(attention.LEAST)) @ v @ wide["out"]
+    by_group = np.minimum(hidden @ wide["group"] + wide["group_bias"], attention.BOUND)
+    by_unit = np.minimum(np.einsum("nkw,gwm->nkgm", hidden, wide["unit"]) + wide["unit_bias"], attention.BOUND)
+    logs = (by_group - np.logaddexp.reduce(by_group, axis=2)[..., None])[..., None] + by_unit - np.logaddexp.reduce(by_unit, axis=3)[..., None]
+    expected = np.take_along_axis(logs.reshape(4, attention.WINDOW, -1), targets[..., None], axis=2)[..., 0]
+    assert got == pytest.approx(expected, rel=1e-3, abs=1e-3)
+    assert all(np.isfinite(value).all() for value in attention.gradients(p, inputs, targets).values())
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text("aB \n\t\0\u2003", max_size=40), st.integers(1, 9))
 def test_normal_form_does_not_depend_on_parts(text, size):
